@@ -266,3 +266,284 @@ def analytic_sql() -> dict[str, str]:
         "treatment_priority_snowflake": u1(SNOW_DIMS),
         "treatment_priority_distinct": u1(STAR_DIMS, 14, 8, True),
     }
+
+
+# ---------------------------------------------------------------------------
+# model builders
+# ---------------------------------------------------------------------------
+FIRST_CONTACT = """
+contact AS (
+  SELECT c.c_custkey AS ContactID, c.c_custkey AS PatientID, n.n_name AS Address, n.n_name AS City,
+         CAST(c.c_nationkey AS VARCHAR) AS State, lpad(CAST(c.c_nationkey AS VARCHAR), 5, '0') AS ZipCode,
+         CAST(NULL AS VARCHAR) AS Phone, CAST(NULL AS VARCHAR) AS Email
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+),
+first_contact AS (
+  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY PatientID ORDER BY ContactID) AS rn FROM contact)
+  WHERE rn = 1
+),
+patients AS (
+  SELECT c_custkey AS PatientID, c_name AS FirstName, c_mktsegment AS LastName,
+         CAST(NULL AS DATE) AS DateOfBirth, CAST(NULL AS VARCHAR) AS Gender, printf('%09d', c_custkey) AS SSN
+  FROM customer
+)"""
+
+SPEC_KEYS = """
+spec AS (
+  SELECT Specialty, DENSE_RANK() OVER (ORDER BY Specialty) AS SpecialtyID
+  FROM (SELECT DISTINCT r.r_name AS Specialty FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+        WHERE r.r_name IS NOT NULL)
+)"""
+
+ICD_KEYS = """
+icd AS (
+  SELECT ICD10Code, DENSE_RANK() OVER (ORDER BY ICD10Code) AS ICD10CodeID
+  FROM (SELECT DISTINCT p_brand AS ICD10Code FROM part WHERE p_brand IS NOT NULL)
+)"""
+
+DIM_PATIENTS_STAR = _with(FIRST_CONTACT) + """
+SELECT p.PatientID, p.FirstName, p.LastName, p.DateOfBirth, p.Gender, p.SSN, fc.Address, fc.City,
+       fc.State, fc.ZipCode AS Zipcode, fc.Phone, fc.Email
+FROM patients p LEFT JOIN first_contact fc ON p.PatientID = fc.PatientID"""
+
+DIM_DOCTORS_STAR = """
+SELECT s.s_suppkey AS DoctorID, s.s_name AS FirstName, split_part(s.s_name, '#', 1) AS LastName,
+       printf('MD%06d', s.s_suppkey) AS License, n.n_name AS DepartmentName,
+       'Region ' || CAST(n.n_regionkey AS VARCHAR) AS Location, r.r_name AS Specialty
+FROM supplier s
+LEFT JOIN nation n ON CAST(s.s_nationkey AS BIGINT) = CAST(n.n_nationkey AS BIGINT)
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+DIM_DIAGNOSES_STAR = """
+SELECT p_partkey AS DiagnosisID, concat_ws(' ', p_type, p_brand) AS DiagnosisName, p_brand AS ICD10Code
+FROM part"""
+
+
+def builder_sql() -> dict[str, str]:
+    fact = _with(FACT.replace(
+        "o.o_orderpriority AS Symptoms",
+        """o.o_orderpriority AS Symptoms, CAST(NULL AS VARCHAR) AS Notes, l.l_orderkey AS RecordID,
+         CAST(trunc(l.l_quantity) AS INTEGER)::VARCHAR || 'mg' AS Dosage,
+         (['QD', 'BID', 'TID', 'QID'])[((l.l_linenumber % 4) + 4) % 4 + 1] AS Frequency,
+         CAST(l.l_shipdate AS DATE) AS StartDate, CAST(l.l_shipdate AS DATE) + 30 AS EndDate""",
+    )) + " SELECT * FROM fact"
+    return {
+        "build_fact": fact,
+        "dim_patients_star": DIM_PATIENTS_STAR,
+        "dim_doctors_star": DIM_DOCTORS_STAR,
+        "dim_diagnoses_star": DIM_DIAGNOSES_STAR,
+        "dim_medications": """
+SELECT p_partkey AS MedicationID, p_name AS MedicationName, p_brand AS Manufacturer, p_type AS Description
+FROM part""",
+        "dim_insurance": """
+SELECT c_custkey AS InsuranceID, c_custkey AS PatientID, c_mktsegment AS CompanyName,
+       printf('POL%06d', c_custkey) AS PolicyNumber, CAST(NULL AS VARCHAR) AS CoverageDetails,
+       CAST(NULL AS DATE) AS EffectiveDate, CAST(NULL AS DATE) AS ExpiryDate
+FROM customer""",
+        "dim_patient_allergies": """
+SELECT l.l_partkey AS AllergyID, l.l_orderkey AS PatientID, p.p_name AS AllergyName, p.p_type AS Severity,
+       CAST(l.l_shipdate AS DATE) AS DateDiagnosed
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
+        "dim_patients_snowflake": _with(FIRST_CONTACT) + """
+SELECT p.PatientID, p.FirstName, p.LastName, p.DateOfBirth, p.Gender, p.SSN, fc.ContactID AS ContactInfoID
+FROM patients p LEFT JOIN first_contact fc ON p.PatientID = fc.PatientID""",
+        "dim_patient_contact_info": _with(FIRST_CONTACT) + """
+SELECT ContactID AS ContactInfoID, Address, City, State, ZipCode AS Zipcode, Phone, Email FROM contact""",
+        "dim_doctors_snowflake": """
+SELECT s_suppkey AS DoctorID, s_name AS FirstName, split_part(s_name, '#', 1) AS LastName,
+       printf('MD%06d', s_suppkey) AS License, CAST(s_nationkey AS BIGINT) AS DepartmentID
+FROM supplier""",
+        "dim_department_specialty": _with(SPEC_KEYS) + " SELECT SpecialtyID, Specialty FROM spec",
+        "dim_departments": _with(SPEC_KEYS) + """
+SELECT CAST(n.n_nationkey AS BIGINT) AS DepartmentID, n.n_name AS DepartmentName,
+       'Region ' || CAST(n.n_regionkey AS VARCHAR) AS Location, spec.SpecialtyID
+FROM nation n LEFT JOIN (SELECT n2.n_nationkey, spec.SpecialtyID
+                         FROM nation n2 JOIN region r ON n2.n_regionkey = r.r_regionkey
+                         JOIN spec ON spec.Specialty = r.r_name) spec
+  ON n.n_nationkey = spec.n_nationkey""",
+        "dim_icd10_codes": _with(ICD_KEYS) + " SELECT ICD10CodeID, ICD10Code FROM icd",
+        "dim_diagnoses_snowflake": _with(ICD_KEYS) + """
+SELECT p.p_partkey AS DiagnosisID, concat_ws(' ', p.p_type, p.p_brand) AS DiagnosisName, icd.ICD10CodeID
+FROM part p LEFT JOIN icd ON icd.ICD10Code = p.p_brand""",
+        "snowflake_to_star_patients": DIM_PATIENTS_STAR,
+        "snowflake_to_star_doctors": DIM_DOCTORS_STAR,
+        "snowflake_to_star_diagnoses": DIM_DIAGNOSES_STAR,
+    }
+
+
+# ---------------------------------------------------------------------------
+# quality rules
+# ---------------------------------------------------------------------------
+QUALITY_RULES = {
+    "unique_order_key": "SELECT o_orderkey, COUNT(*) AS n FROM orders GROUP BY o_orderkey HAVING COUNT(*) > 1",
+    "unique_line_key": """
+SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""",
+    "fk_line_order": """
+SELECT * FROM lineitem l WHERE l.l_orderkey IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)""",
+    "fk_order_line": """
+SELECT * FROM orders o WHERE o.o_orderkey IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""",
+    "temporal_ship_after_order": """
+SELECT l.l_orderkey, l.l_linenumber, o.o_orderdate, l.l_shipdate
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+WHERE o.o_orderdate IS NOT NULL AND l.l_shipdate IS NOT NULL
+  AND date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) < 0""",
+    "domain_order_status": """
+SELECT * FROM orders WHERE NOT coalesce(o_orderstatus IN ('F', 'O'), false)""",
+    "max_three_lines": """
+SELECT l_orderkey, COUNT(*) AS n FROM lineitem GROUP BY l_orderkey HAVING COUNT(*) > 3""",
+    "lines_only_when_completed": """
+SELECT * FROM lineitem l
+WHERE l.l_orderkey IN (SELECT o_orderkey FROM orders WHERE NOT coalesce(o_orderstatus = 'P', false))""",
+}
+
+
+def quality_sql() -> dict[str, str]:
+    report = " UNION ALL ".join(
+        f"SELECT '{rule}' AS rule, COUNT(*) AS violations FROM ({sql})" for rule, sql in QUALITY_RULES.items()
+    )
+    return {
+        "check_unique": QUALITY_RULES["unique_line_key"],
+        "check_unique_clean": QUALITY_RULES["unique_order_key"],
+        "check_foreign_key": QUALITY_RULES["fk_line_order"],
+        "check_foreign_key_reverse": QUALITY_RULES["fk_order_line"],
+        "check_temporal": QUALITY_RULES["temporal_ship_after_order"],
+        "check_domain": QUALITY_RULES["domain_order_status"],
+        "check_business": QUALITY_RULES["max_three_lines"],
+        "check_business_status": QUALITY_RULES["lines_only_when_completed"],
+        "quality_report": report,
+    }
+
+
+# ---------------------------------------------------------------------------
+# seeded derivations
+# ---------------------------------------------------------------------------
+def bucket(key: str, n: int | str, seed: str = "") -> str:
+    """md5(seed || key) -> first 32 bits -> mod n, as in ``seeded_bucket``."""
+    return f"(('0x' || substr(md5('{seed}' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT % {n})"
+
+
+def derive_sql() -> dict[str, str]:
+    b = bucket("o_orderkey", 100, "status")
+    return {
+        "weighted_bucket": f"""
+SELECT o_orderkey, CASE WHEN {b} < 10 THEN 'Scheduled' WHEN {b} < 90 THEN 'Completed' ELSE 'Cancelled' END
+       AS DrawnStatus
+FROM orders""",
+        "sample_k_per_key": """
+SELECT * FROM (
+  SELECT o_custkey, o_orderkey,
+         ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY md5('sample' || CAST(o_orderkey AS VARCHAR)),
+                            o_orderkey) AS SampleRank
+  FROM orders) WHERE SampleRank <= 2""",
+        "fan_out": """
+SELECT o_orderkey, CAST(i AS BIGINT) AS ChildIndex
+FROM orders, LATERAL (SELECT unnest(range(1, ((o_orderkey % 4) + 4) % 4 + 1)) AS i)""",
+        "assign_foreign_key": f"""
+WITH s AS (SELECT s_suppkey, DENSE_RANK() OVER (ORDER BY s_suppkey) AS no FROM (SELECT DISTINCT s_suppkey
+           FROM supplier WHERE s_suppkey IS NOT NULL)),
+     n AS (SELECT COUNT(*) AS cnt FROM s)
+SELECT o.o_orderkey, s.s_suppkey AS AssignedDoctorID
+FROM orders o, n LEFT JOIN s ON s.no = {bucket('o.o_orderkey', 'n.cnt', 'doctor')} + 1""",
+        "null_out_fraction": f"""
+SELECT o_orderkey, CASE WHEN {bucket('o_orderkey', 100, 'notes')} < 30 THEN NULL ELSE o_orderpriority END
+       AS Notes
+FROM orders""",
+        "lookup_default": """
+SELECT c.c_custkey, coalesce(n.n_name, 'Unknown') AS NationName
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""",
+        "format_code": "SELECT s_suppkey, printf('MD%06d', s_suppkey) AS License FROM supplier",
+        "apportion": """
+WITH shares(AllergyName, Share) AS (VALUES
+  ('Peanuts', 0.15::DOUBLE), ('Shellfish', 0.12::DOUBLE), ('Penicillin', 0.1::DOUBLE),
+  ('Latex', 0.08::DOUBLE), ('Eggs', 0.07::DOUBLE), ('Milk', 0.06::DOUBLE), ('Tree Nuts', 0.05::DOUBLE),
+  ('Pollen', 0.04::DOUBLE), ('Dust Mites', 0.03::DOUBLE), ('Other', 0.2::DOUBLE)),
+t AS (SELECT COUNT(*)::DOUBLE AS total FROM supplier)
+SELECT AllergyName, CAST(i AS BIGINT) AS ItemIndex
+FROM shares, t, LATERAL (SELECT unnest(range(1, CAST(floor(t.total * Share) AS BIGINT) + 1)) AS i)""",
+        "clamp_range": """
+SELECT * FROM (
+  SELECT l.l_orderkey, l.l_linenumber,
+         greatest(CAST(o.o_orderdate AS DATE) + 30, CAST(l.l_shipdate AS DATE)) AS RangeStart,
+         CAST(o.o_orderdate AS DATE) + 120 AS e
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+WHERE RangeStart < e""".replace("SELECT * FROM (", "SELECT l_orderkey, l_linenumber, RangeStart FROM ("),
+        "derive_period": f"""
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS StartDate,
+       CAST(o_orderdate AS DATE) + CAST({bucket('o_orderkey', 24, 'period')} + 7 AS INTEGER) AS EndDate
+FROM orders""",
+    }
+
+
+# ---------------------------------------------------------------------------
+# generic operators over events by day
+# ---------------------------------------------------------------------------
+DAILY = """
+daily AS (
+  SELECT event_type, CAST(ts AS DATE) AS EventDay, COUNT(*) AS EventCount FROM events GROUP BY 1, 2
+)"""
+
+PER_USER = """
+per_user AS (
+  SELECT user_id, COUNT(*) AS Events,
+         COUNT(*) FILTER (WHERE event_type = 'click') AS Clicks,
+         COUNT(*) FILTER (WHERE event_type = 'error') AS Errors
+  FROM events GROUP BY user_id
+)"""
+
+
+def generic_sql() -> dict[str, str]:
+    rate5 = percent_units_sql("c", "t", 5, "duckdb")
+    return {
+        "period_change": _with(DAILY) + f"""
+SELECT event_type, EventDay, EventCount, PreviousCount,
+       {pct('EventCount - PreviousCount', 'PreviousCount')} AS ChangePercentage
+FROM (SELECT *, LAG(EventCount) OVER (PARTITION BY event_type ORDER BY EventDay) AS PreviousCount FROM daily)""",
+        "rank_in_period": _with(DAILY) + """
+SELECT event_type, EventDay, EventCount,
+       CAST(RANK() OVER (PARTITION BY EventDay ORDER BY EventCount DESC) AS INTEGER) AS RankInDay
+FROM daily""",
+        "share_of_total": _with(DAILY) + f"""
+SELECT event_type, EventDay, EventCount, DayTotal, {pct('EventCount', 'DayTotal')} AS SharePercentage
+FROM (SELECT *, CAST(SUM(EventCount) OVER (PARTITION BY EventDay) AS BIGINT) AS DayTotal FROM daily)""",
+        "rolling_rate": f"""
+WITH d AS (
+  SELECT strftime(ts, '%Y-%m-%d') AS EventDay, COUNT(*) FILTER (WHERE event_type = 'error') AS c,
+         COUNT(*) AS t
+  FROM events GROUP BY 1),
+r AS (SELECT EventDay, {rate5} AS rate5 FROM d),
+w AS (SELECT EventDay, rate5,
+             SUM(rate5) OVER (ORDER BY EventDay ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS s,
+             COUNT(rate5) OVER (ORDER BY EventDay ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS k
+      FROM r)
+SELECT EventDay, CAST(rate5 AS DOUBLE) / 100000 AS ErrorRate,
+       CAST({rolling_mean_sql('s', 'k', 'duckdb')} AS DOUBLE) / 1000000 AS RollingErrorRate
+FROM w""",
+        "conditional_counts": _with(PER_USER) + " SELECT * FROM per_user",
+        "tiered_label": _with(PER_USER) + """
+SELECT user_id, Events, Errors,
+       CASE WHEN Errors >= 20 THEN 'High' WHEN Events >= 100 THEN 'Medium' ELSE 'Low' END AS Tier
+FROM per_user""",
+    }
+
+
+def primitive_sql() -> dict[str, str]:
+    return {
+        "between_date_boundary": """
+SELECT event_id, ts FROM events WHERE ts BETWEEN DATE '2024-01-01' AND DATE '2024-01-02'""",
+        "between_date_boundary_inclusive": """
+SELECT event_id, ts FROM events WHERE ts >= DATE '2024-01-01' AND ts < DATE '2024-01-03'""",
+        "csv_roundtrip": DIM_PATIENTS_STAR,
+        "symptom_counts": """
+SELECT Symptom, COUNT(*) AS Visits
+FROM (SELECT unnest(string_split(p_name, ' ')) AS Symptom FROM part) GROUP BY Symptom""",
+    }
+
+
+def all_sql() -> dict[str, str]:
+    out: dict[str, str] = {}
+    for group in (analytic_sql, builder_sql, quality_sql, derive_sql, generic_sql, primitive_sql):
+        out.update(group())
+    return out

@@ -11,10 +11,17 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clinistar import oracle
+from clinistar.functions.scalar import ts_range
 from clinistar.operators import analytics as A
+from clinistar.operators import derive as E
+from clinistar.operators import generic as G
+from clinistar.operators import quality as Q
+from clinistar.plans import builders as B
 from clinistar.sources import proxy
+from clinistar.sources.files import csv_roundtrip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,9 +67,232 @@ def analytic_queries() -> dict[str, Query]:
     return q
 
 
+# ---------------------------------------------------------------------------
+# M: model builders on the proxy OLTP tables
+# ---------------------------------------------------------------------------
+def _oltp(fn: Callable[[dict], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(proxy.oltp_tables(spark, sf_dir))
+
+    return run
+
+
+def builder_queries() -> dict[str, Query]:
+    q: dict[str, Query] = {
+        "build_fact": _oltp(B.fact_from_oltp),
+        "dim_patients_star": _oltp(lambda o: B.dim_patients_star(o["Patients"], o["PatientContactInfo"])),
+        "dim_doctors_star": _oltp(
+            lambda o: B.dim_doctors_star(o["Doctors"], o["Departments"], o["DepartmentSpecialty"])
+        ),
+        "dim_diagnoses_star": _oltp(lambda o: B.dim_diagnoses_star(o["Diagnoses"])),
+        "dim_medications": _oltp(lambda o: B.dim_medications(o["Medications"])),
+        "dim_insurance": _oltp(lambda o: B.dim_insurance(o["Insurance"])),
+        "dim_patient_allergies": _oltp(
+            lambda o: B.dim_patient_allergies(o["PatientAllergies"], o["Allergies"])
+        ),
+        "dim_patients_snowflake": _oltp(
+            lambda o: B.dim_patients_snowflake(o["Patients"], o["PatientContactInfo"])
+        ),
+        "dim_patient_contact_info": _oltp(lambda o: B.dim_patient_contact_info(o["PatientContactInfo"])),
+        "dim_doctors_snowflake": _oltp(lambda o: B.dim_doctors_snowflake(o["Doctors"])),
+        "dim_department_specialty": _oltp(lambda o: B.dim_department_specialty(o["DepartmentSpecialty"])),
+        "dim_departments": _oltp(
+            lambda o: B.dim_departments(
+                o["Departments"], o["DepartmentSpecialty"],
+                B.dim_department_specialty(o["DepartmentSpecialty"]),
+            )
+        ),
+        "dim_icd10_codes": _oltp(lambda o: B.dim_icd10_codes(o["Diagnoses"], o["ICD10Codes"])),
+        "dim_diagnoses_snowflake": _oltp(
+            lambda o: B.dim_diagnoses_snowflake(
+                o["Diagnoses"], B.dim_icd10_codes(o["Diagnoses"], o["ICD10Codes"])
+            )
+        ),
+    }
+    for dim in ("Patients", "Doctors", "Diagnoses"):
+        q[f"snowflake_to_star_{dim.lower()}"] = (
+            lambda spark, sf_dir, dim=dim: B.snowflake_to_star(proxy.snowflake(spark, sf_dir)).table(
+                f"Dim_{dim}"
+            )
+        )
+    return q
+
+
+# ---------------------------------------------------------------------------
+# D: quality rules on the proxy tables
+# ---------------------------------------------------------------------------
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return proxy.read_table(spark, sf_dir, name)
+
+
+def quality_checks(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    orders, lineitem = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem")
+    lo = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
+    return {
+        "unique_order_key": Q.check_unique(orders, ["o_orderkey"]),
+        "unique_line_key": Q.check_unique(lineitem, ["l_orderkey", "l_linenumber"]),
+        "fk_line_order": Q.check_foreign_key(lineitem, ["l_orderkey"], orders, ["o_orderkey"]),
+        "fk_order_line": Q.check_foreign_key(orders, ["o_orderkey"], lineitem, ["l_orderkey"]),
+        "temporal_ship_after_order": Q.check_temporal(
+            lo.select("l_orderkey", "l_linenumber", "o_orderdate", "l_shipdate"), "o_orderdate", "l_shipdate"
+        ),
+        "domain_order_status": Q.check_domain(orders, "o_orderstatus", ["F", "O"]),
+        "max_three_lines": Q.check_max_children(lineitem, "l_orderkey", 3),
+        "lines_only_when_completed": Q.check_children_only_when(
+            orders, "o_orderkey", F.col("o_orderstatus") == "P", lineitem, "l_orderkey"
+        ),
+    }
+
+
+def quality_queries() -> dict[str, Query]:
+    def pick(rule: str) -> Query:
+        return lambda spark, sf_dir: quality_checks(spark, sf_dir)[rule]
+
+    return {
+        "check_unique": pick("unique_line_key"),
+        "check_unique_clean": pick("unique_order_key"),
+        "check_foreign_key": pick("fk_line_order"),
+        "check_foreign_key_reverse": pick("fk_order_line"),
+        "check_temporal": pick("temporal_ship_after_order"),
+        "check_domain": pick("domain_order_status"),
+        "check_business": pick("max_three_lines"),
+        "check_business_status": pick("lines_only_when_completed"),
+        "quality_report": lambda spark, sf_dir: Q.quality_report(quality_checks(spark, sf_dir)),
+    }
+
+
+# ---------------------------------------------------------------------------
+# E: seeded derivation steps on the proxy tables
+# ---------------------------------------------------------------------------
+def derive_queries() -> dict[str, Query]:
+    def orders(spark, sf_dir):
+        return _t(spark, sf_dir, "orders")
+
+    def shares(spark, sf_dir):
+        total = _t(spark, sf_dir, "supplier").count()
+        cats = spark.createDataFrame(list(E.ALLERGY_SHARES), "AllergyName string, Share double")
+        return E.apportion(cats, total, "AllergyName", "Share").select("AllergyName", "ItemIndex")
+
+    def clamp(spark, sf_dir):
+        lo = _t(spark, sf_dir, "lineitem").join(
+            orders(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey")
+        )
+        out = E.clamp_range(
+            lo,
+            [F.date_add(F.to_date("o_orderdate"), 30), F.to_date("l_shipdate")],
+            F.date_add(F.to_date("o_orderdate"), 120),
+        )
+        return out.select("l_orderkey", "l_linenumber", "RangeStart")
+
+    return {
+        "weighted_bucket": lambda s, d: orders(s, d).select(
+            "o_orderkey", E.weighted_bucket("o_orderkey", E.STATUS_WEIGHTS, "status").alias("DrawnStatus")
+        ),
+        "sample_k_per_key": lambda s, d: E.sample_k_per_key(
+            orders(s, d).select("o_custkey", "o_orderkey"), "o_custkey", "o_orderkey", 2, "sample"
+        ),
+        "fan_out": lambda s, d: E.fan_out(
+            orders(s, d).select("o_orderkey"), F.pmod("o_orderkey", F.lit(4))
+        ),
+        "assign_foreign_key": lambda s, d: E.assign_foreign_key(
+            orders(s, d).select("o_orderkey"), "o_orderkey",
+            _t(s, d, "supplier").select("s_suppkey"), "s_suppkey", "AssignedDoctorID", "doctor",
+        ),
+        "null_out_fraction": lambda s, d: orders(s, d).select(
+            "o_orderkey", E.null_out_fraction("o_orderpriority", 0.3, "o_orderkey", "notes").alias("Notes")
+        ),
+        "lookup_default": lambda s, d: E.lookup_default(
+            _t(s, d, "customer").select("c_custkey", "c_nationkey"), "c_nationkey",
+            _t(s, d, "nation"), "Unknown", "NationName", "n_nationkey", "n_name",
+        ).select("c_custkey", "NationName"),
+        "format_code": lambda s, d: _t(s, d, "supplier").select(
+            "s_suppkey", E.format_code("MD%06d", "s_suppkey").alias("License")
+        ),
+        "apportion": shares,
+        "clamp_range": clamp,
+        "derive_period": lambda s, d: E.derive_period(
+            orders(s, d).select("o_orderkey", "o_orderdate"), "o_orderdate", "o_orderkey", seed="period"
+        ).select("o_orderkey", "StartDate", "EndDate"),
+    }
+
+
+# ---------------------------------------------------------------------------
+# P: the generic operators on their own, over `events` by day
+# ---------------------------------------------------------------------------
+def generic_queries() -> dict[str, Query]:
+    def daily(spark, sf_dir):
+        ev = _t(spark, sf_dir, "events")
+        return ev.groupBy("event_type", F.to_date("ts").alias("EventDay")).agg(
+            F.count(F.lit(1)).alias("EventCount")
+        )
+
+    def per_user(spark, sf_dir):
+        ev = _t(spark, sf_dir, "events")
+        return G.conditional_counts(
+            ev, ["user_id"],
+            {"Clicks": F.col("event_type") == "click", "Errors": F.col("event_type") == "error"},
+            total_col="Events",
+        )
+
+    return {
+        "period_change": lambda s, d: G.period_change(
+            daily(s, d), ["event_type"], "EventDay", "EventCount", "PreviousCount", "ChangePercentage"
+        ),
+        "rank_in_period": lambda s, d: G.rank_in_period(daily(s, d), "EventDay", "EventCount", "RankInDay"),
+        "share_of_total": lambda s, d: G.share_of_total(
+            daily(s, d), "EventCount", ["EventDay"], "DayTotal", "SharePercentage"
+        ),
+        "rolling_rate": lambda s, d: G.rolling_rate(
+            _t(s, d, "events"), F.date_format("ts", "yyyy-MM-dd"), "EventDay",
+            F.col("event_type") == "error", "ErrorRate", "RollingErrorRate", n=3,
+        ),
+        "conditional_counts": per_user,
+        "tiered_label": lambda s, d: per_user(s, d).select(
+            "user_id", "Events", "Errors",
+            G.tiered_label(
+                [(F.col("Errors") >= 20, "High"), (F.col("Events") >= 100, "Medium")], "Low"
+            ).alias("Tier"),
+        ),
+    }
+
+
+# ---------------------------------------------------------------------------
+# single primitives worth their own key
+# ---------------------------------------------------------------------------
+def primitive_queries() -> dict[str, Query]:
+    def boundary(inclusive: bool) -> Query:
+        def run(spark, sf_dir):
+            ev = _t(spark, sf_dir, "events")
+            cond = ts_range("ts", dt.date(2024, 1, 1), dt.date(2024, 1, 2), end_inclusive_day=inclusive)
+            return ev.where(cond).select("event_id", "ts")
+
+        return run
+
+    def roundtrip(spark, sf_dir):
+        o = proxy.oltp_tables(spark, sf_dir)
+        dim = B.dim_patients_star(o["Patients"], o["PatientContactInfo"])
+        return csv_roundtrip(dim, "Dim_Patients")
+
+    def symptom_counts(spark, sf_dir):
+        part = _t(spark, sf_dir, "part")
+        words = part.select(F.explode(F.split("p_name", " ")).alias("Symptom"))
+        return words.groupBy("Symptom").agg(F.count(F.lit(1)).alias("Visits"))
+
+    return {
+        "between_date_boundary": boundary(False),
+        "between_date_boundary_inclusive": boundary(True),
+        "csv_roundtrip": roundtrip,
+        "symptom_counts": symptom_counts,
+    }
+
+
 def queries() -> dict[str, Query]:
-    return analytic_queries()
+    q: dict[str, Query] = {}
+    for group in (analytic_queries, builder_queries, quality_queries, derive_queries,
+                  generic_queries, primitive_queries):
+        q.update(group())
+    return q
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.analytic_sql()
+    return oracle.all_sql()
