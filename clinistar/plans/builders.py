@@ -288,7 +288,9 @@ def snowflake_to_star(snow: Warehouse) -> Warehouse:
     )
 
 
-def materialize(wh: Warehouse, path: str, mode: str = "overwrite") -> Warehouse:
+def materialize(
+    wh: Warehouse, path: str, mode: str = "overwrite", tables: tuple[str, ...] | None = None
+) -> Warehouse:
     """Write every table under ``path`` and return the warehouse read back.
 
     The fact is range-partitioned on (year, timestamp) before the write: each
@@ -296,10 +298,14 @@ def materialize(wh: Warehouse, path: str, mode: str = "overwrite") -> Warehouse:
     and each file's min/max statistics on AppointmentDateTime are tight,
     letting date-range filters skip row groups as well as directories. A hot
     year is split across several slices by the timestamp component.
+    ``tables`` limits the write to those tables (the others pass through).
     """
     spark = wh.fact().sparkSession
     out: dict[str, DataFrame] = {}
     for name, df in wh.tables.items():
+        if tables is not None and name not in tables:
+            out[name] = df
+            continue
         target = f"{path.rstrip('/')}/{name}"
         if name == "Fact_PatientInteractions":
             laid = df.withColumn(YEAR_PARTITION, F.year("AppointmentDateTime")).repartitionByRange(
