@@ -216,22 +216,29 @@ def appointment_summary(wh: Warehouse, *, distinct_appointments: bool = False) -
 # ---------------------------------------------------------------------------
 # V2 DiagnosisTreatmentSummary
 # ---------------------------------------------------------------------------
-def diagnosis_treatment_summary(wh: Warehouse, *, distinct_appointments: bool = False) -> DataFrame:
+def _per_patient_diagnosis_medication(wh: Warehouse) -> DataFrame:
+    """COUNT(AppointmentID) per (PatientID, DiagnosisID, MedicationID) - the one
+    fact aggregate V2 and the treatment-priority update are built from."""
+    return wh.fact().groupBy("PatientID", "DiagnosisID", "MedicationID").agg(
+        F.count("AppointmentID").alias("_n")
+    )
+
+
+def diagnosis_treatment_summary(
+    wh: Warehouse, *, distinct_appointments: bool = False, per_key: DataFrame | None = None,
+) -> DataFrame:
     """PatientID, DiagnosisName, ICD10Code, MedicationName, TreatmentCount."""
-    f = wh.fact()
     keys = ["PatientID", "DiagnosisName", "ICD10Code", "MedicationName"]
     if distinct_appointments:
         # distinct rows first: several IDs may share a name, so distinct
         # appointments can only be counted after the names are resolved.
-        per_key = f.select("PatientID", "DiagnosisID", "MedicationID", "AppointmentID").where(
+        rows = wh.fact().select("PatientID", "DiagnosisID", "MedicationID", "AppointmentID").where(
             F.col("AppointmentID").isNotNull()
         ).distinct()
-        joined = per_key.join(wh.diagnoses(), "DiagnosisID").join(wh.medications(), "MedicationID")
+        joined = rows.join(wh.diagnoses(), "DiagnosisID").join(wh.medications(), "MedicationID")
         return joined.groupBy(*keys).agg(F.countDistinct("AppointmentID").alias("TreatmentCount"))
-    per_key = f.groupBy("PatientID", "DiagnosisID", "MedicationID").agg(
-        F.count("AppointmentID").alias("_n")
-    )
-    joined = per_key.join(wh.diagnoses(), "DiagnosisID").join(wh.medications(), "MedicationID")
+    per = per_key if per_key is not None else _per_patient_diagnosis_medication(wh)
+    joined = per.join(wh.diagnoses(), "DiagnosisID").join(wh.medications(), "MedicationID")
     return joined.groupBy(*keys).agg(F.sum("_n").alias("TreatmentCount"))
 
 
@@ -253,15 +260,25 @@ def priority_by_key(
     matches the highest priority wins (the CASE is monotone in both counts,
     so this is the max count's label) - deterministic, where the reference
     UPDATE leaves it open."""
-    a = appointment_summary(wh, distinct_appointments=distinct_appointments).groupBy("PatientID").agg(
-        F.max("TotalAppointments").alias("_appts")
+    if distinct_appointments:
+        summary = appointment_summary(wh, distinct_appointments=True)
+        dts = diagnosis_treatment_summary(wh, distinct_appointments=True)
+        pairs = wh.fact().select("PatientID", "DiagnosisID")
+    else:
+        # One pass over the fact: every input below is derived from this
+        # aggregate (Spark reuses its shuffle output for all three).
+        per = _per_patient_diagnosis_medication(wh)
+        per_patient = per.groupBy("PatientID").agg(F.sum("_n").alias("_total"))
+        summary = per_patient.join(wh.patients(), "PatientID").groupBy(
+            "PatientID", "FirstName", "LastName"
+        ).agg(F.sum("_total").alias("TotalAppointments"))
+        dts = diagnosis_treatment_summary(wh, per_key=per)
+        pairs = per.select("PatientID", "DiagnosisID")
+    a = summary.groupBy("PatientID").agg(F.max("TotalAppointments").alias("_appts"))
+    dts = dts.groupBy("PatientID", "DiagnosisName", "ICD10Code").agg(
+        F.max("TreatmentCount").alias("_treat")
     )
-    dts = diagnosis_treatment_summary(wh, distinct_appointments=distinct_appointments).groupBy(
-        "PatientID", "DiagnosisName", "ICD10Code"
-    ).agg(F.max("TreatmentCount").alias("_treat"))
-    pairs = wh.fact().select("PatientID", "DiagnosisID").where(
-        F.col("PatientID").isNotNull() & F.col("DiagnosisID").isNotNull()
-    ).distinct()
+    pairs = pairs.where(F.col("PatientID").isNotNull() & F.col("DiagnosisID").isNotNull()).distinct()
     matched = (
         pairs.join(wh.diagnoses(), "DiagnosisID")
         .join(dts, ["PatientID", "DiagnosisName", "ICD10Code"])

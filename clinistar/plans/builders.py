@@ -293,11 +293,12 @@ def materialize(
 ) -> Warehouse:
     """Write every table under ``path`` and return the warehouse read back.
 
-    The fact is range-partitioned on (year, timestamp) before the write: each
-    task gets one contiguous time slice, so a year directory holds few files
-    and each file's min/max statistics on AppointmentDateTime are tight,
-    letting date-range filters skip row groups as well as directories. A hot
-    year is split across several slices by the timestamp component.
+    The fact is written as it comes out of its build join (spread by
+    AppointmentID, so no year can pile up in one task), each task sorted by
+    (year, timestamp): a task writes one time-sorted file per year, whose
+    row-group min/max statistics on AppointmentDateTime are tight, so
+    date-range filters skip row groups inside the year directories they
+    prune. No extra shuffle and no sampling pass over the join are needed.
     ``tables`` limits the write to those tables (the others pass through).
     """
     spark = wh.fact().sparkSession
@@ -308,7 +309,7 @@ def materialize(
             continue
         target = f"{path.rstrip('/')}/{name}"
         if name == "Fact_PatientInteractions":
-            laid = df.withColumn(YEAR_PARTITION, F.year("AppointmentDateTime")).repartitionByRange(
+            laid = df.withColumn(YEAR_PARTITION, F.year("AppointmentDateTime")).sortWithinPartitions(
                 YEAR_PARTITION, "AppointmentDateTime"
             )
             laid.write.mode(mode).partitionBy(YEAR_PARTITION).parquet(target)
