@@ -157,13 +157,14 @@ SELECT DiagnosisMonth, Symptoms, DiagnosisName, PairCount, TotalPairCount,
 FROM w ORDER BY DiagnosisMonth, PairCount DESC"""
 
 
-def q4() -> str:
+def q4(in_range: bool = False) -> str:
     rate5 = percent_units_sql("c", "t", 5, "duckdb")
+    where = f"WHERE {RANGE}" if in_range else ""
     return _with(FACT, f"""
 m AS (
   SELECT strftime(AppointmentDateTime, '%Y-%m') AS AppointmentMonth,
          SUM(CASE WHEN Status = 'Cancelled' THEN 1 ELSE 0 END) AS c, COUNT(*) AS t
-  FROM fact GROUP BY 1
+  FROM fact f {where} GROUP BY 1
 ),
 r AS (SELECT AppointmentMonth, {rate5} AS rate5 FROM m),
 w AS (
@@ -542,8 +543,22 @@ FROM (SELECT unnest(string_split(p_name, ' ')) AS Symptom FROM part) GROUP BY Sy
     }
 
 
+def sql_surface_sql() -> dict[str, str]:
+    return {
+        "sql_trending_diagnoses": q1(STAR_DIMS),
+        "sql_trending_diagnoses_snowflake": q1(SNOW_DIMS),
+        "sql_medication_trends": q2(STAR_DIMS),
+        "sql_symptom_diagnosis": q3(STAR_DIMS),
+        "sql_rolling_cancellations": q4(in_range=True),
+        "sql_top_doctors": q5(STAR_DIMS, False),
+        "sql_appointment_summary": v1(STAR_DIMS),
+        "sql_diagnosis_treatment_summary": v2(SNOW_DIMS),
+    }
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for group in (analytic_sql, builder_sql, quality_sql, derive_sql, generic_sql, primitive_sql):
+    for group in (analytic_sql, builder_sql, quality_sql, derive_sql, generic_sql, primitive_sql,
+                  sql_surface_sql):
         out.update(group())
     return out

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from clinistar import oracle
 from clinistar.functions.scalar import ts_range
+from clinistar.functions.sql import register_sql
 from clinistar.operators import analytics as A
 from clinistar.operators import derive as E
 from clinistar.operators import generic as G
@@ -286,10 +287,35 @@ def primitive_queries() -> dict[str, Query]:
     }
 
 
+# ---------------------------------------------------------------------------
+# SQL surface: the procedures as SQL table functions, the views as temp views
+# ---------------------------------------------------------------------------
+def sql_queries() -> dict[str, Query]:
+    rng = f"DATE'{oracle.START}', DATE'{oracle.END}'"
+
+    def via_sql(kind: str, text: str) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            register_sql(spark, proxy.model(spark, sf_dir, kind))
+            return spark.sql(text)
+
+        return run
+
+    return {
+        "sql_trending_diagnoses": via_sql("star", f"SELECT * FROM GetTrendingDiagnoses({rng})"),
+        "sql_trending_diagnoses_snowflake": via_sql("snowflake", f"SELECT * FROM GetTrendingDiagnoses({rng})"),
+        "sql_medication_trends": via_sql("star", f"SELECT * FROM GetMedicationPrescriptionTrends({rng})"),
+        "sql_symptom_diagnosis": via_sql("star", f"SELECT * FROM GetSymptomDiagnosisCorrelation({rng})"),
+        "sql_rolling_cancellations": via_sql("star", f"SELECT * FROM GetRollingAvgCancellations({rng})"),
+        "sql_top_doctors": via_sql("star", f"SELECT * FROM GetTopDoctorsByGrowthRate({rng}, {TOP_N})"),
+        "sql_appointment_summary": via_sql("star", "SELECT * FROM AppointmentSummary"),
+        "sql_diagnosis_treatment_summary": via_sql("snowflake", "SELECT * FROM DiagnosisTreatmentSummary"),
+    }
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for group in (analytic_queries, builder_queries, quality_queries, derive_queries,
-                  generic_queries, primitive_queries):
+                  generic_queries, primitive_queries, sql_queries):
         q.update(group())
     return q
 
