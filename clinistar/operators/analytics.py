@@ -317,3 +317,27 @@ def treatment_priority(
     if unmatched == "low":
         out = out.withColumn("TreatmentPriority", F.coalesce("TreatmentPriority", F.lit("Low")))
     return out.select(*wh.fact().columns, "TreatmentPriority")
+
+
+def write_treatment_priority(wh: Warehouse, target: str, *, unmatched: str = "keep", **thresholds) -> str:
+    """Materialize U1 as a *new* version of the fact (Parquet, by year).
+
+    Parquet has no in-place UPDATE; the reference's statement becomes a
+    rewrite into ``target``, which must not be where the fact is read from
+    (Spark would read and delete the same files). Returns ``target``.
+    """
+    from clinistar.plans.model import YEAR_PARTITION
+
+    def norm(p: str) -> str:
+        return p.replace("file://", "").replace("file:", "").rstrip("/")
+
+    tgt = norm(target)
+    if any(norm(f).startswith(tgt + "/") for f in wh.fact().inputFiles()):
+        raise ValueError(f"{target} holds the fact being read; write the new version elsewhere")
+    out = treatment_priority(wh, unmatched=unmatched, **thresholds)
+    if YEAR_PARTITION not in out.columns:
+        out = out.withColumn(YEAR_PARTITION, F.year("AppointmentDateTime"))
+    out.sortWithinPartitions(YEAR_PARTITION, "AppointmentDateTime").write.mode("overwrite").partitionBy(
+        YEAR_PARTITION
+    ).parquet(target)
+    return target

@@ -106,3 +106,17 @@ def test_materialized_fact_prunes_year_partitions(spark, tmp_path):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(AppointmentYear" in plan
     assert q.count() == wh.fact_in_range(dt.date(1997, 1, 1), dt.date(1997, 12, 31)).count()
+
+
+def test_write_treatment_priority_new_version(spark, tmp_path):
+    import pytest
+
+    from clinistar.operators import analytics as A
+
+    wh = B.materialize(proxy.star(spark, SF0001), str(tmp_path / "v1"))
+    with pytest.raises(ValueError):
+        A.write_treatment_priority(wh, str(tmp_path / "v1" / "Fact_PatientInteractions"))
+    path = A.write_treatment_priority(wh, str(tmp_path / "v2"))
+    back = spark.read.parquet(path)
+    assert back.count() == wh.fact().count()
+    assert "TreatmentPriority" in back.columns
