@@ -36,10 +36,6 @@ FACT_COLUMNS: tuple[tuple[str, str], ...] = (
 )
 
 
-class ModelError(ValueError):
-    """The OLTP input breaks an assumption the model relies on."""
-
-
 # ---------------------------------------------------------------------------
 # M1: fact table
 # ---------------------------------------------------------------------------
@@ -92,11 +88,22 @@ def fact_from_oltp(oltp: dict[str, DataFrame]) -> DataFrame:
 # ---------------------------------------------------------------------------
 # checks the builders rely on
 # ---------------------------------------------------------------------------
-def assert_at_most_one(df: DataFrame, key: str, what: str) -> None:
-    """Raise ModelError if some ``key`` has more than one row (C5)."""
-    dup = df.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
-    if dup:
-        raise ModelError(f"{what}: {key}={dup[0][key]} has {dup[0]['count']} rows")
+def one_per_key(df: DataFrame, key: str, value: str, what: str) -> DataFrame:
+    """``(key, value)`` with one row per key; a key with several distinct
+    values makes the job fail with a message naming it (C5).
+
+    The check is part of the plan: a map-side combined aggregate (min, max
+    and distinct count are all mergeable), no driver-side action, evaluated
+    whenever the dimension is.
+    """
+    agg = df.groupBy(key).agg(
+        F.min(value).alias("_v"), F.max(value).alias("_vmax"), F.count(F.lit(1)).alias("_n")
+    )
+    clash = (F.col("_v") != F.col("_vmax")) | (F.col("_v").isNull() & (F.col("_n") > 1))
+    message = F.concat(
+        F.lit(f"{what}: {key}="), F.col(key).cast("string"), F.lit(f" has several {value} values")
+    )
+    return agg.select(key, F.when(clash, F.raise_error(message)).otherwise(F.col("_v")).alias(value))
 
 
 def _first_contact(contacts: DataFrame) -> DataFrame:
@@ -126,9 +133,9 @@ def dim_patients_star(patients: DataFrame, contacts: DataFrame) -> DataFrame:
 
 
 def dim_doctors_star(doctors: DataFrame, departments: DataFrame, specialty: DataFrame) -> DataFrame:
-    assert_at_most_one(specialty, "DepartmentID", "DepartmentSpecialty")
+    spec = one_per_key(specialty, "DepartmentID", "Specialty", "DepartmentSpecialty")
     dept = departments.select("DepartmentID", "DepartmentName", "Location").join(
-        specialty.select("DepartmentID", "Specialty"), "DepartmentID", "left"
+        spec, "DepartmentID", "left"
     )
     return doctors.select("DoctorID", "FirstName", "LastName", "License", "DepartmentID").join(
         dept, "DepartmentID", "left"
@@ -187,8 +194,8 @@ def dim_department_specialty(specialty: DataFrame) -> DataFrame:
 def dim_departments(
     departments: DataFrame, specialty: DataFrame, specialty_dim: DataFrame
 ) -> DataFrame:
-    assert_at_most_one(specialty, "DepartmentID", "DepartmentSpecialty")
-    keyed = specialty.select("DepartmentID", "Specialty").join(specialty_dim, "Specialty")
+    spec = one_per_key(specialty, "DepartmentID", "Specialty", "DepartmentSpecialty")
+    keyed = spec.join(specialty_dim, "Specialty")
     return departments.select("DepartmentID", "DepartmentName", "Location").join(
         keyed.select("DepartmentID", "SpecialtyID"), "DepartmentID", "left"
     )
