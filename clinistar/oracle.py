@@ -455,6 +455,10 @@ FROM orders""",
         "lookup_default": """
 SELECT c.c_custkey, coalesce(n.n_name, 'Unknown') AS NationName
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""",
+        "status_lookup": """
+SELECT o_orderkey, coalesce(CASE o_orderstatus WHEN 'F' THEN 'Cancelled' WHEN 'O' THEN 'Scheduled'
+                                               WHEN 'P' THEN 'Completed' END, 'Unknown') AS Status
+FROM orders""",
         "format_code": "SELECT s_suppkey, printf('MD%06d', s_suppkey) AS License FROM supplier",
         "apportion": """
 WITH shares(AllergyName, Share) AS (VALUES

@@ -206,6 +206,10 @@ def derive_queries() -> dict[str, Query]:
             _t(s, d, "customer").select("c_custkey", "c_nationkey"), "c_nationkey",
             _t(s, d, "nation"), "Unknown", "NationName", "n_nationkey", "n_name",
         ).select("c_custkey", "NationName"),
+        "status_lookup": lambda s, d: E.lookup_default(
+            orders(s, d).select("o_orderkey", "o_orderstatus"), "o_orderstatus",
+            proxy.STATUS_MAP, "Unknown", "Status",
+        ).select("o_orderkey", "Status"),
         "format_code": lambda s, d: _t(s, d, "supplier").select(
             "s_suppkey", E.format_code("MD%06d", "s_suppkey").alias("License")
         ),
