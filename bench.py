@@ -58,7 +58,7 @@ def _time(fn, repeat: int) -> float:
 
 def main() -> None:
     spark = get_spark(
-        f"local[{CPUS}]", app_name="clinistar-bench", shuffle_partitions=max(8, 2 * CPUS),
+        f"local[{CPUS}]", app_name="clinistar-bench", shuffle_partitions=CPUS,
         extra_conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
     )
     times: dict[str, float] = {}

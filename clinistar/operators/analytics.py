@@ -341,3 +341,17 @@ def write_treatment_priority(wh: Warehouse, target: str, *, unmatched: str = "ke
         YEAR_PARTITION
     ).parquet(target)
     return target
+
+
+def write_priority_table(wh: Warehouse, target: str, **thresholds) -> str:
+    """Materialize U1 at its natural grain: one row per (PatientID,
+    DiagnosisID) the update reaches, with its TreatmentPriority.
+
+    The priority depends only on that pair, so this table is far smaller
+    than the fact and writing it needs no shuffle of the fact's rows; a
+    reader joins it on (PatientID, DiagnosisID) when it needs the column
+    (rows without a match are the unreached ones). The full rewrite of
+    :func:`write_treatment_priority` shuffles every fact row by that key.
+    """
+    priority_by_key(wh, **thresholds).write.mode("overwrite").parquet(target)
+    return target

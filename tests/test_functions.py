@@ -137,3 +137,16 @@ def test_oltp_csv_files_to_star_end_to_end(spark, make_oltp, tmp_path):
     assert [(r.DiagnosisYear, r.DiagnosisCount, r.PreviousYearCount, r.YoYChangePercentage) for r in out] == [
         (2021, 3, 2, 50.0)
     ]
+
+
+def test_priority_table_joined_back_equals_rewrite(spark, tmp_path):
+    from clinistar.operators import analytics as A
+
+    wh = proxy.star(spark, SF0001)
+    path = A.write_priority_table(wh, str(tmp_path / "prio"))
+    prio = spark.read.parquet(path)
+    joined = wh.fact().join(prio, ["PatientID", "DiagnosisID"], "left").select(
+        "AppointmentID", "PatientID", "DiagnosisID", "MedicationID", "TreatmentPriority")
+    direct = A.treatment_priority(wh).select(
+        "AppointmentID", "PatientID", "DiagnosisID", "MedicationID", "TreatmentPriority")
+    assert sorted(map(tuple, joined.collect()), key=repr) == sorted(map(tuple, direct.collect()), key=repr)
