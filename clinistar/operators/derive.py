@@ -124,6 +124,14 @@ def format_code(pattern: str, col: str | Column) -> Column:
     return F.format_string(pattern, _key(col))
 
 
+def capitalize(col: str | Column) -> Column:
+    """First character upper case, the rest lower case (Python's
+    ``str.capitalize``, which the generator applies to names; ``initcap``
+    would capitalize every word instead)."""
+    c = _key(col)
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
+
+
 # E8 -----------------------------------------------------------------------
 def apportion(shares: DataFrame, total: int, category: str, share: str,
               index_col: str = "ItemIndex") -> DataFrame:

@@ -459,6 +459,8 @@ FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""",
 SELECT o_orderkey, coalesce(CASE o_orderstatus WHEN 'F' THEN 'Cancelled' WHEN 'O' THEN 'Scheduled'
                                                WHEN 'P' THEN 'Completed' END, 'Unknown') AS Status
 FROM orders""",
+        "capitalize_names": """
+SELECT p_partkey, upper(substr(p_name, 1, 1)) || lower(substr(p_name, 2)) AS MedicationName FROM part""",
         "format_code": "SELECT s_suppkey, printf('MD%06d', s_suppkey) AS License FROM supplier",
         "apportion": """
 WITH shares(AllergyName, Share) AS (VALUES

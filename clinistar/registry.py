@@ -210,6 +210,9 @@ def derive_queries() -> dict[str, Query]:
             orders(s, d).select("o_orderkey", "o_orderstatus"), "o_orderstatus",
             proxy.STATUS_MAP, "Unknown", "Status",
         ).select("o_orderkey", "Status"),
+        "capitalize_names": lambda s, d: _t(s, d, "part").select(
+            "p_partkey", E.capitalize("p_name").alias("MedicationName")
+        ),
         "format_code": lambda s, d: _t(s, d, "supplier").select(
             "s_suppkey", E.format_code("MD%06d", "s_suppkey").alias("License")
         ),

@@ -150,3 +150,9 @@ def test_priority_table_joined_back_equals_rewrite(spark, tmp_path):
     direct = A.treatment_priority(wh).select(
         "AppointmentID", "PatientID", "DiagnosisID", "MedicationID", "TreatmentPriority")
     assert sorted(map(tuple, joined.collect()), key=repr) == sorted(map(tuple, direct.collect()), key=repr)
+
+
+def test_capitalize_is_python_capitalize(spark):
+    words = ["small ring", "BLUE bolt", "x", "", "éclair pie"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    assert [r.c for r in df.select(E.capitalize("w").alias("c")).collect()] == [w.capitalize() for w in words]
