@@ -259,21 +259,22 @@ def priority_by_key(
     name + code) has a treatment-summary row for that patient. Among several
     matches the highest priority wins (the CASE is monotone in both counts,
     so this is the max count's label) - deterministic, where the reference
-    UPDATE leaves it open."""
+    UPDATE leaves it open. ``distinct_appointments`` counts a patient's
+    appointments rather than fact rows; treatments stay the view's count."""
+    # One pass over the fact: the treatment counts, the pairs to update and
+    # (by default) the appointment totals all derive from this aggregate.
+    per = _per_patient_diagnosis_medication(wh)
     if distinct_appointments:
+        # "appointments" counted as distinct appointments; treatments stay
+        # the view's count of prescription lines.
         summary = appointment_summary(wh, distinct_appointments=True)
-        dts = diagnosis_treatment_summary(wh, distinct_appointments=True)
-        pairs = wh.fact().select("PatientID", "DiagnosisID")
     else:
-        # One pass over the fact: every input below is derived from this
-        # aggregate (Spark reuses its shuffle output for all three).
-        per = _per_patient_diagnosis_medication(wh)
         per_patient = per.groupBy("PatientID").agg(F.sum("_n").alias("_total"))
         summary = per_patient.join(wh.patients(), "PatientID").groupBy(
             "PatientID", "FirstName", "LastName"
         ).agg(F.sum("_total").alias("TotalAppointments"))
-        dts = diagnosis_treatment_summary(wh, per_key=per)
-        pairs = per.select("PatientID", "DiagnosisID")
+    dts = diagnosis_treatment_summary(wh, per_key=per)
+    pairs = per.select("PatientID", "DiagnosisID")
     a = summary.groupBy("PatientID").agg(F.max("TotalAppointments").alias("_appts"))
     dts = dts.groupBy("PatientID", "DiagnosisName", "ICD10Code").agg(
         F.max("TreatmentCount").alias("_treat")

@@ -229,7 +229,7 @@ def v2(dims: str) -> str:
 def u1(dims: str, high_appts: int = 5, med_appts: int = 3, distinct: bool = False) -> str:
     return _with(FACT, dims, f"""
 a AS ({_v1_body(distinct)}),
-dts AS ({_v2_body(distinct)}),
+dts AS ({_v2_body(False)}),
 hit AS (
   SELECT pr.PatientID, pr.DiagnosisID,
          MAX(CASE WHEN a.TotalAppointments > {high_appts} OR dts.TreatmentCount > 3 THEN 3
