@@ -156,3 +156,35 @@ def test_capitalize_is_python_capitalize(spark):
     words = ["small ring", "BLUE bolt", "x", "", "éclair pie"]
     df = spark.createDataFrame([(w,) for w in words], "w string")
     assert [r.c for r in df.select(E.capitalize("w").alias("c")).collect()] == [w.capitalize() for w in words]
+
+
+def test_hot_key_on_detail_side_is_split(spark):
+    """A key holding most detail rows: AQE splits it in the inner part of our
+    left join (it cannot split the non-preserved side of a native LEFT JOIN)."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    }
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        appts = spark.range(1, 2001).select(F.col("id").alias("AppointmentID"))
+        hot = spark.range(0, 60000).select(F.lit(1).cast("long").alias("AppointmentID"), F.col("id").alias("m"))
+        rest = spark.range(2, 1500).select(F.col("id").alias("AppointmentID"), F.col("id").alias("m"))
+        details = hot.unionByName(rest)
+        ours = left_outer_join(appts, details, ["AppointmentID"])
+        got = ours.groupBy("AppointmentID").count().collect()
+        native = appts.join(details, "AppointmentID", "left").groupBy("AppointmentID").count().collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, native))
+        ours.collect()
+        assert "SortMergeJoin(skew=true)" in ours._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
