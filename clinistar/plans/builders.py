@@ -16,23 +16,11 @@ from pyspark.sql import functions as F
 from clinistar.functions.joins import full_outer_join, left_outer_join
 from clinistar.functions.keys import dense_keys
 from clinistar.plans.model import YEAR_PARTITION, Warehouse
+from clinistar.schemas import FACT_SCHEMA
 
 #: Fact_PatientInteractions columns and types, in model order.
-FACT_COLUMNS: tuple[tuple[str, str], ...] = (
-    ("AppointmentID", "bigint"),
-    ("PatientID", "bigint"),
-    ("DoctorID", "bigint"),
-    ("DiagnosisID", "bigint"),
-    ("MedicationID", "bigint"),
-    ("AppointmentDateTime", "timestamp_ntz"),
-    ("Status", "string"),
-    ("Notes", "string"),
-    ("RecordID", "bigint"),
-    ("Symptoms", "string"),
-    ("Dosage", "string"),
-    ("Frequency", "string"),
-    ("StartDate", "date"),
-    ("EndDate", "date"),
+FACT_COLUMNS: tuple[tuple[str, str], ...] = tuple(
+    (f.name, f.dataType.simpleString()) for f in FACT_SCHEMA.fields
 )
 
 
