@@ -557,6 +557,10 @@ def sql_surface_sql() -> dict[str, str]:
         "sql_symptom_diagnosis": q3(STAR_DIMS),
         "sql_rolling_cancellations": q4(in_range=True),
         "sql_top_doctors": q5(STAR_DIMS, False),
+        "sql_trending_diagnoses_top": q1(STAR_DIMS).replace(
+            "ORDER BY YoYChangePercentage DESC",
+            f"ORDER BY YoYChangePercentage DESC, DiagnosisName, ICD10Code, DiagnosisYear LIMIT {TOP_N}",
+        ),
         "sql_appointment_summary": v1(STAR_DIMS),
         "sql_diagnosis_treatment_summary": v2(SNOW_DIMS),
     }

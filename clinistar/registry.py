@@ -314,11 +314,23 @@ def sql_queries() -> dict[str, Query]:
         "sql_symptom_diagnosis": via_sql("star", f"SELECT * FROM GetSymptomDiagnosisCorrelation({rng})"),
         "sql_rolling_cancellations": via_sql("star", f"SELECT * FROM GetRollingAvgCancellations({rng})"),
         "sql_top_doctors": via_sql("star", f"SELECT * FROM GetTopDoctorsByGrowthRate({rng}, {TOP_N})"),
+        "sql_trending_diagnoses_top": _parameterized_top_diagnoses,
         "sql_appointment_summary": via_sql("star", "SELECT * FROM AppointmentSummary"),
         "sql_diagnosis_treatment_summary": via_sql("snowflake", "SELECT * FROM DiagnosisTreatmentSummary"),
     }
 
 
+def _parameterized_top_diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Named parameter markers, including ``LIMIT :n`` (a bound parameter is
+    foldable, so the top-n plan is TakeOrderedAndProject)."""
+    register_sql(spark, proxy.star(spark, sf_dir))
+    return spark.sql(
+        "SELECT * FROM GetTrendingDiagnoses(:start_date, :end_date) "
+        "ORDER BY YoYChangePercentage DESC, DiagnosisName, ICD10Code, DiagnosisYear LIMIT :n",
+        args={"start_date": START, "end_date": END, "n": TOP_N},
+    )
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for group in (analytic_queries, builder_queries, quality_queries, derive_queries,

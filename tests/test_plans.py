@@ -52,7 +52,7 @@ def test_plan_guards(spark, name):
 
 def test_limits_are_pushed(spark):
     assert "WindowGroupLimit" in _plan(spark, "sample_k_per_key")
-    for name in ("top_doctors_star", "top_doctors_snowflake", "sql_top_doctors"):
+    for name in ("top_doctors_star", "top_doctors_snowflake", "sql_top_doctors", "sql_trending_diagnoses_top"):
         assert "TakeOrderedAndProject" in _plan(spark, name)
 
 
