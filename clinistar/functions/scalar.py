@@ -75,14 +75,19 @@ def ts_range(col: str, start, end, end_inclusive_day: bool = False) -> Column:
     """``col BETWEEN start AND end`` with DATE bounds on a datetime column.
 
     As in the reference, a DATE bound becomes midnight, so the end day only
-    counts at 00:00:00. ``end_inclusive_day`` takes the whole end day.
+    counts at 00:00:00. ``end_inclusive_day`` takes the whole end day. A
+    ``None`` bound leaves that side open.
     """
-    lo = F.lit(start).cast("timestamp_ntz")
-    hi = F.lit(end).cast("timestamp_ntz")
     c = F.col(col)
-    if end_inclusive_day:
-        return (c >= lo) & (c < F.date_add(F.lit(end), 1).cast("timestamp_ntz"))
-    return c.between(lo, hi)
+    cond = F.lit(True)
+    if start is not None:
+        cond = cond & (c >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        if end_inclusive_day:
+            cond = cond & (c < F.date_add(F.lit(end), 1).cast("timestamp_ntz"))
+        else:
+            cond = cond & (c <= F.lit(end).cast("timestamp_ntz"))
+    return cond
 
 
 def year_of(col: str) -> Column:

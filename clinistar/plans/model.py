@@ -69,7 +69,7 @@ class Warehouse:
     ) -> DataFrame:
         """The fact rows with AppointmentDateTime BETWEEN start AND end.
 
-        ``None`` bounds mean the whole table. When the fact is laid out by
+        A ``None`` bound leaves that side open. When the fact is laid out by
         year we add the implied partition predicate, so the scan prunes
         whole directories; the timestamp predicate is pushed to Parquet.
         """
@@ -78,7 +78,10 @@ class Warehouse:
             return f
         cond = ts_range("AppointmentDateTime", start, end, end_inclusive_day)
         if YEAR_PARTITION in f.columns:
-            cond = cond & F.col(YEAR_PARTITION).between(start.year, end.year)
+            if start is not None:
+                cond = cond & (F.col(YEAR_PARTITION) >= start.year)
+            if end is not None:
+                cond = cond & (F.col(YEAR_PARTITION) <= end.year)
         return f.where(cond)
 
     # -- dimension lookups (star-shaped columns from either model) ------------

@@ -68,6 +68,15 @@ def test_end_boundary_counts_only_midnight(make_oltp):
     assert wh.fact_in_range(Y(2021, 1, 1), Y(2021, 1, 31), end_inclusive_day=True).count() == 2
 
 
+def test_open_bounds(make_oltp):
+    vis = [(1, 1, 1, "2019-06-01 00:00:00", "Completed", "Fever", 1),
+           (2, 1, 1, "2021-06-01 00:00:00", "Completed", "Fever", 1)]
+    wh = _star(make_oltp, vis)
+    assert wh.fact_in_range(None, Y(2020, 1, 1)).count() == 1
+    assert wh.fact_in_range(Y(2020, 1, 1), None).count() == 1
+    assert wh.fact_in_range(None, None).count() == 2
+
+
 def test_missing_month_rolling_rows_vs_calendar(make_oltp):
     def month(start, n, cancelled, when):
         return [(start + i, 1, 1, when, "Cancelled" if i < cancelled else "Completed", "Fever", 1)
