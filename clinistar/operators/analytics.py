@@ -261,20 +261,18 @@ def priority_by_key(
     so this is the max count's label) - deterministic, where the reference
     UPDATE leaves it open. ``distinct_appointments`` counts a patient's
     appointments rather than fact rows; treatments stay the view's count."""
-    # One pass over the fact: the treatment counts, the pairs to update and
-    # (by default) the appointment totals all derive from this aggregate.
+    # Each input is its own narrow aggregate of the fact, so every shuffle
+    # carries combined rows: per-patient totals combine map-side to one row
+    # per patient and task (deriving them from the (patient, diagnosis,
+    # medication) aggregate would shuffle about one row per fact row first),
+    # and the pairs are a distinct of two columns. Catalyst pushes each
+    # consumer's own filters into its scan. ``distinct_appointments`` counts
+    # a patient's appointments rather than fact rows; treatments stay the
+    # view's count of prescription lines.
+    summary = appointment_summary(wh, distinct_appointments=distinct_appointments)
     per = _per_patient_diagnosis_medication(wh)
-    if distinct_appointments:
-        # "appointments" counted as distinct appointments; treatments stay
-        # the view's count of prescription lines.
-        summary = appointment_summary(wh, distinct_appointments=True)
-    else:
-        per_patient = per.groupBy("PatientID").agg(F.sum("_n").alias("_total"))
-        summary = per_patient.join(wh.patients(), "PatientID").groupBy(
-            "PatientID", "FirstName", "LastName"
-        ).agg(F.sum("_total").alias("TotalAppointments"))
     dts = diagnosis_treatment_summary(wh, per_key=per)
-    pairs = per.select("PatientID", "DiagnosisID")
+    pairs = wh.fact().select("PatientID", "DiagnosisID")
     a = summary.groupBy("PatientID").agg(F.max("TotalAppointments").alias("_appts"))
     dts = dts.groupBy("PatientID", "DiagnosisName", "ICD10Code").agg(
         F.max("TreatmentCount").alias("_treat")
