@@ -90,3 +90,95 @@ def quality_report(checks: Mapping[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# ---------------------------------------------------------------------------
+# The reference model's rule set over the 14 OLTP tables
+# ---------------------------------------------------------------------------
+# Fixed values of the reference model.
+# 1:N relationships as (parent, key, child, foreign key), in the model's order;
+# the last two are links of the generator's tables (allergy master, and the
+# appointment link we require on prescriptions).
+RELATIONSHIPS = (
+    ("Departments", "DepartmentID", "DepartmentSpecialty", "DepartmentID"),
+    ("Departments", "DepartmentID", "Doctors", "DepartmentID"),
+    ("Patients", "PatientID", "PatientContactInfo", "PatientID"),
+    ("Patients", "PatientID", "Appointments", "PatientID"),
+    ("Doctors", "DoctorID", "Appointments", "DoctorID"),
+    ("Appointments", "AppointmentID", "MedicalRecords", "AppointmentID"),
+    ("Diagnoses", "DiagnosisID", "MedicalRecords", "DiagnosisID"),
+    ("ICD10Codes", "ICD10Code", "Diagnoses", "ICD10Code"),
+    ("Medications", "MedicationID", "Prescriptions", "MedicationID"),
+    ("Patients", "PatientID", "PatientAllergies", "PatientID"),
+    ("Patients", "PatientID", "Insurance", "PatientID"),
+    ("Allergies", "AllergyID", "PatientAllergies", "AllergyID"),
+    ("Appointments", "AppointmentID", "Prescriptions", "AppointmentID"),
+)
+# Keys that must be unique: primary keys and the generator's asserted ones.
+UNIQUE_KEYS = (
+    ("Departments", ("DepartmentID",)), ("Doctors", ("DoctorID",)), ("Doctors", ("License",)),
+    ("Patients", ("PatientID",)), ("Patients", ("SSN",)), ("PatientContactInfo", ("ContactID",)),
+    ("Allergies", ("AllergyID",)), ("PatientAllergies", ("PatientID", "AllergyID")),
+    ("Diagnoses", ("DiagnosisID",)), ("ICD10Codes", ("ICD10Code",)),
+    ("Appointments", ("AppointmentID",)), ("MedicalRecords", ("RecordID",)),
+    ("Medications", ("MedicationID",)), ("Prescriptions", ("PrescriptionID",)),
+    ("Insurance", ("InsuranceID",)), ("Insurance", ("PolicyNumber",)),
+)
+# Value domains.
+DOMAINS = (
+    ("Appointments", "Status", ("Scheduled", "Completed", "Cancelled")),
+    ("Patients", "Gender", ("Male", "Female", "Other")),
+    ("Allergies", "Severity", ("Low", "Medium", "High")),
+    ("Prescriptions", "Frequency", ("QD", "BID", "TID", "QID")),
+    ("ICD10Codes", "ICD10Code", (
+        "A00-B99", "C00-D49", "D50-D89", "E00-E89", "F01-F99",
+        "G00-G99", "H00-H59", "H60-H95", "I00-I99", "J00-J99",
+    )),
+)
+# Temporal rules of the generator: appointments start 30 days after hire and
+# 5*365 days after birth; allergies are diagnosed no earlier than 5*365 days
+# after birth nor before 2010-01-01; prescriptions last 7 to 30 days.
+MIN_DAYS_AFTER_HIRE = 30
+MIN_DAYS_AFTER_BIRTH = 5 * 365
+ALLERGY_RECORDS_START = "2010-01-01"
+PRESCRIPTION_DAYS = (7, 30)
+MAX_PRESCRIPTIONS = 3
+
+
+def model_checks(oltp: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Every rule of the reference model as a lazy DataFrame of violations
+    (empty on clean data); feed it to :func:`quality_report`."""
+    t = oltp
+    checks: dict[str, DataFrame] = {}
+    for table, keys in UNIQUE_KEYS:
+        checks[f"unique:{table}.{'+'.join(keys)}"] = check_unique(t[table], list(keys))
+    for parent, pk, child, fk in RELATIONSHIPS:
+        checks[f"fk:{child}.{fk}->{parent}"] = check_foreign_key(t[child], [fk], t[parent], [pk])
+    for table, col, allowed in DOMAINS:
+        checks[f"domain:{table}.{col}"] = check_domain(t[table], col, allowed)
+
+    appt = t["Appointments"].select("AppointmentID", "PatientID", "DoctorID", "AppointmentDateTime")
+    hired = appt.join(t["Doctors"].select("DoctorID", "HireDate"), "DoctorID")
+    checks["temporal:appointment_after_hire"] = check_temporal(
+        hired, "HireDate", F.to_date("AppointmentDateTime"), min_days=MIN_DAYS_AFTER_HIRE)
+    born = appt.join(t["Patients"].select("PatientID", "DateOfBirth"), "PatientID")
+    checks["temporal:appointment_after_birth"] = check_temporal(
+        born, "DateOfBirth", F.to_date("AppointmentDateTime"), min_days=MIN_DAYS_AFTER_BIRTH)
+    allergy = t["PatientAllergies"].join(t["Patients"].select("PatientID", "DateOfBirth"), "PatientID")
+    earliest = F.greatest(F.date_add("DateOfBirth", MIN_DAYS_AFTER_BIRTH), F.lit(ALLERGY_RECORDS_START).cast("date"))
+    checks["temporal:allergy_dates"] = check_temporal(allergy, earliest, "DateDiagnosed", min_days=0)
+    lo, hi = PRESCRIPTION_DAYS
+    checks["temporal:prescription_length"] = check_temporal(
+        t["Prescriptions"], "StartDate", "EndDate", min_days=lo, max_days=hi)
+    checks["temporal:insurance_period"] = check_temporal(
+        t["Insurance"], "EffectiveDate", "ExpiryDate", min_days=0, strict=True)
+
+    checks["business:prescription_needs_completed"] = check_children_only_when(
+        t["Appointments"], "AppointmentID", F.col("Status") == "Completed", t["Prescriptions"])
+    checks["business:max_prescriptions"] = check_max_children(
+        t["Prescriptions"], "AppointmentID", MAX_PRESCRIPTIONS)
+    checks["business:one_record_per_appointment"] = check_max_children(
+        t["MedicalRecords"], "AppointmentID", 1)
+    checks["business:appointment_has_record"] = check_foreign_key(
+        t["Appointments"], ["AppointmentID"], t["MedicalRecords"], ["AppointmentID"])
+    return checks

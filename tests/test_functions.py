@@ -188,3 +188,34 @@ def test_hot_key_on_detail_side_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_model_rule_set_clean_and_violations(spark, make_oltp):
+    from conftest import ts
+
+    appts = [(1, 1, 1, ts("2021-01-01 09:00:00"), "Completed"), (2, 2, 2, ts("2021-02-01 09:00:00"), "Completed")]
+    recs = [(1, 1, "Fever", 1, "Rest"), (2, 2, "Cough", 3, "Rest")]
+    rx = [(1, 1, 1, "5mg", "QD", dt.date(2021, 1, 1), dt.date(2021, 1, 10))]
+    clean = make_oltp(Appointments=appts, MedicalRecords=recs, Prescriptions=rx)
+    report = {r.rule: r.violations for r in Q.quality_report(Q.model_checks(clean)).collect()}
+    assert len(report) == len(Q.UNIQUE_KEYS) + len(Q.RELATIONSHIPS) + len(Q.DOMAINS) + 9
+    assert {k: v for k, v in report.items() if v} == {}
+
+    bad = make_oltp(
+        Appointments=appts + [(3, 9, 1, ts("2021-03-01 09:00:00"), "Cancelled"),
+                              (4, 1, 1, ts("2000-01-10 09:00:00"), "Missed")],
+        MedicalRecords=recs + [(3, 3, "Rash", 1, "Rest"), (4, 3, "Rash", 1, "Rest")],
+        Prescriptions=rx + [(i, 3, 2, "1mg", "QD", dt.date(2021, 3, 1), dt.date(2021, 3, 3)) for i in (2, 3, 4, 5)],
+    )
+    report = {r.rule: r.violations for r in Q.quality_report(Q.model_checks(bad)).collect()}
+    flagged = {k: v for k, v in report.items() if v}
+    assert flagged == {
+        "fk:Appointments.PatientID->Patients": 1,        # patient 9 does not exist
+        "domain:Appointments.Status": 1,                 # 'Missed'
+        "temporal:appointment_after_hire": 1,            # 2000-01-10 < hire 2000-01-01 + 30 d
+        "temporal:prescription_length": 4,               # 2-day prescriptions
+        "business:prescription_needs_completed": 4,      # appointment 3 was cancelled
+        "business:max_prescriptions": 1,                 # 4 on appointment 3
+        "business:one_record_per_appointment": 1,        # 2 records on appointment 3
+        "business:appointment_has_record": 1,            # appointment 4 has none
+    }
