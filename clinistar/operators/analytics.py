@@ -33,6 +33,7 @@ from clinistar.functions.scalar import (
 )
 from clinistar.operators.generic import (
     conditional_counts,
+    partition_totals,
     period_change,
     rank_in_period,
     rolling_rate,
@@ -130,8 +131,12 @@ def symptom_diagnosis(
         per_key, wh.diagnoses(), "DiagnosisID",
         ["DiagnosisMonth", "Symptoms", "DiagnosisName"], "_n", "PairCount",
     )
+    # both totals come from the pairs themselves (one shared, reused shuffle)
     out = share_of_total(pairs, "PairCount", ["Symptoms", "DiagnosisName"], "TotalPairCount")
-    out = share_of_total(out, "PairCount", ["DiagnosisMonth"], "_MonthTotal", "PercentageOfMonth")
+    out = share_of_total(
+        out, "PairCount", ["DiagnosisMonth"], "_MonthTotal", "PercentageOfMonth",
+        totals=partition_totals(pairs, "PairCount", ["DiagnosisMonth"], "_MonthTotal"),
+    )
     return out.orderBy("DiagnosisMonth", F.col("PairCount").desc(), "Symptoms", "DiagnosisName").select(
         "DiagnosisMonth", "Symptoms", "DiagnosisName", "PairCount", "TotalPairCount", "PercentageOfMonth"
     )

@@ -94,13 +94,20 @@ def join_back(df: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFram
     return df.join(t, cond, "inner").drop(*[f"_k_{i}" for i in range(len(keys))])
 
 
+def partition_totals(df: DataFrame, measure: str, partition: Sequence[str], total_col: str) -> DataFrame:
+    """``SUM(measure)`` per ``partition`` key (a map-side combined aggregate)."""
+    return df.groupBy(*partition).agg(F.sum(measure).alias(total_col))
+
+
 def share_of_total(
     df: DataFrame, measure: str, partition: Sequence[str], total_col: str,
-    share_col: str | None = None,
+    share_col: str | None = None, totals: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``SUM(measure) OVER (PARTITION BY partition)`` as ``total_col`` and,
-    if ``share_col`` is given, ``ROUND(measure * 100.0 / total, 2)``."""
-    totals = df.groupBy(*partition).agg(F.sum(measure).alias(total_col))
+    if ``share_col`` is given, ``ROUND(measure * 100.0 / total, 2)``.
+    ``totals`` may be given precomputed (from the same rows as ``df``)."""
+    if totals is None:
+        totals = partition_totals(df, measure, partition, total_col)
     out = join_back(df, totals, partition)
     if share_col:
         out = out.withColumn(share_col, F.expr(pct_round2_sql(measure, total_col)))
