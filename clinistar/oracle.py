@@ -436,8 +436,8 @@ FROM orders""",
         "sample_k_per_key": """
 SELECT * FROM (
   SELECT o_custkey, o_orderkey,
-         ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY md5('sample' || CAST(o_orderkey AS VARCHAR)),
-                            o_orderkey) AS SampleRank
+         CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY md5('sample' || CAST(o_orderkey AS VARCHAR)),
+                                 o_orderkey) AS INTEGER) AS SampleRank
   FROM orders) WHERE SampleRank <= 2""",
         "fan_out": """
 SELECT o_orderkey, CAST(i AS BIGINT) AS ChildIndex

@@ -59,3 +59,16 @@ def test_query_matches_oracle(spark, duck, name):
     idx = [ocols.index(c) for c in cols]
     want = collections.Counter(tuple(_norm(r[i]) for i in idx) for r in cur.fetchall())
     assert got == want
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_column_types_match_oracle(spark, duck, name):
+    df = QUERIES[name](spark, SF0001)
+    ours = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in df.schema.fields}
+    rel = duck.sql(SQL[name])
+    theirs = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert ours == theirs
