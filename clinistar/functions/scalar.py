@@ -18,7 +18,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the reference model (kept as written there).
-STATUS_VALUES = ("Scheduled", "Completed", "Cancelled")
 CANCELLED = "Cancelled"
 # Symptoms are 1-3 entries joined by a comma and a space.
 SYMPTOM_SEPARATOR = ", "
