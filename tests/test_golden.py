@@ -195,3 +195,21 @@ def test_star_and_snowflake_agree_on_fixture(make_oltp):
         assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     s5 = A.top_doctors(snow, Y(2019, 1, 1), Y(2022, 1, 1), 5)
     assert rows(s5, "DoctorID", "Specialty") == [(3, "Cancer Treatment")]
+
+
+def test_snowflake_collapses_back_to_star(make_oltp):
+    vis = _repeat(1, 3, 1, 1, "2020-01-05 10:00:00", 1) + _repeat(10, 2, 2, 3, "2021-01-05 10:00:00", 3)
+    appts, recs = visits(vis)
+    oltp = make_oltp(Appointments=appts, MedicalRecords=recs)
+    star, snow = B.build_star(oltp), B.build_snowflake(oltp)
+    back = B.snowflake_to_star(snow)
+    for name in ("Dim_Patients", "Dim_Doctors", "Dim_Diagnoses", "Dim_Medications",
+                 "Dim_Insurance", "Dim_PatientAllergies"):
+        cols = star.table(name).columns
+        assert sorted(map(tuple, back.table(name).select(*cols).collect()), key=repr) == \
+            sorted(map(tuple, star.table(name).collect()), key=repr), name
+    # surrogate keys: dense, in natural order
+    assert rows(snow.table("Dim_ICD10Codes"), "ICD10CodeID", "ICD10Code") == [(1, "A00-B99"), (2, "C00-D49")]
+    assert rows(snow.table("Dim_DepartmentSpecialty"), "SpecialtyID", "Specialty") == [
+        (1, "Cancer Treatment"), (2, "Cardiac Care")]
+    assert rows(snow.table("Dim_Patients"), "PatientID", "ContactInfoID") == [(p, p) for p in range(1, 5)]
