@@ -72,6 +72,9 @@ def test_weighted_bucket_shares(spark):
     counts = {r.c: r["count"] for r in df.groupBy("c").count().collect()}
     assert abs(counts["Completed"] / 20000 - 0.8) < 0.02
     assert abs(counts["Cancelled"] / 20000 - 0.1) < 0.02
+    sev = spark.range(20000).select(E.weighted_bucket("id", E.SEVERITY_WEIGHTS, "sev").alias("c"))
+    shares = {r.c: r["count"] / 20000 for r in sev.groupBy("c").count().collect()}
+    assert all(abs(shares[label] - w) < 0.02 for label, w in E.SEVERITY_WEIGHTS)
 
 
 def test_quality_checks_on_fixture(spark, make_oltp):
