@@ -73,3 +73,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def scale_conf(
+    input_bytes: int,
+    target_partition_bytes: int = 128 * 1024**2,
+    broadcast_bytes: int = 64 * 1024**2,
+    max_partitions: int = 200_000,
+) -> dict[str, str]:
+    """Session settings sized for an input of ``input_bytes`` (e.g. the
+    fact's Parquet size).
+
+    Shuffle partitions are set so the largest possible shuffle - the whole
+    input - splits into ~``target_partition_bytes`` pieces; AQE then
+    coalesces the many small partitions of aggregated shuffles back to the
+    advisory size at runtime, and splits any partition over 4x that size in
+    joins (skew). Scans read splits of the same size. The broadcast
+    threshold is the size check for dimensions: anything larger is joined by
+    shuffle.
+    """
+    parts = max(8, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set runtime SQL settings on a live session."""
+    for key, value in conf.items():
+        spark.conf.set(key, value)
