@@ -247,6 +247,82 @@ SELECT f.AppointmentID, f.PatientID, f.DoctorID, f.DiagnosisID, f.MedicationID,
 FROM fact f LEFT JOIN hit ON f.PatientID = hit.PatientID AND f.DiagnosisID = hit.DiagnosisID"""
 
 
+def q1_strict(dims: str) -> str:
+    """Q1 where the previous count only counts if it is from the year before."""
+    return _with(FACT, dims, f"""
+yearly AS (
+  SELECT d.DiagnosisName, d.ICD10Code, CAST(year(f.AppointmentDateTime) AS INTEGER) AS DiagnosisYear,
+         COUNT(*) AS DiagnosisCount
+  FROM fact f JOIN dim_diag d ON f.DiagnosisID = d.DiagnosisID
+  WHERE {RANGE}
+  GROUP BY d.DiagnosisName, d.ICD10Code, year(f.AppointmentDateTime)
+),
+w AS (
+  SELECT *, LAG(DiagnosisCount) OVER (PARTITION BY DiagnosisName, ICD10Code ORDER BY DiagnosisYear) AS lag_count,
+            LAG(DiagnosisYear) OVER (PARTITION BY DiagnosisName, ICD10Code ORDER BY DiagnosisYear) AS lag_year
+  FROM yearly
+),
+w2 AS (
+  SELECT *, CASE WHEN lag_year = DiagnosisYear - 1 THEN lag_count END AS PreviousYearCount FROM w
+)""") + f"""
+SELECT DiagnosisName, ICD10Code, DiagnosisYear, DiagnosisCount, PreviousYearCount,
+       {pct('DiagnosisCount - PreviousYearCount', 'PreviousYearCount')} AS YoYChangePercentage
+FROM w2 WHERE PreviousYearCount IS NOT NULL"""
+
+
+def q4_calendar() -> str:
+    """Q4 with a calendar frame: this month and the two calendar months before."""
+    rate5 = percent_units_sql("c", "t", 5, "duckdb")
+    return _with(FACT, f"""
+m AS (
+  SELECT strftime(AppointmentDateTime, '%Y-%m') AS AppointmentMonth,
+         year(AppointmentDateTime) * 12 + month(AppointmentDateTime) AS idx,
+         SUM(CASE WHEN Status = 'Cancelled' THEN 1 ELSE 0 END) AS c, COUNT(*) AS t
+  FROM fact GROUP BY 1, 2
+),
+r AS (SELECT AppointmentMonth, idx, {rate5} AS rate5 FROM m),
+w AS (
+  SELECT AppointmentMonth, rate5,
+         SUM(rate5) OVER (ORDER BY idx RANGE BETWEEN 2 PRECEDING AND CURRENT ROW) AS s,
+         COUNT(rate5) OVER (ORDER BY idx RANGE BETWEEN 2 PRECEDING AND CURRENT ROW) AS k
+  FROM r
+)""") + f"""
+SELECT AppointmentMonth, CAST(rate5 AS DOUBLE) / 100000 AS CancellationRate,
+       CAST({rolling_mean_sql('s', 'k', 'duckdb')} AS DOUBLE) / 1000000 AS RollingAvgCancellationRate
+FROM w"""
+
+
+def q5_per_doctor(dims: str) -> str:
+    """Q5 keeping each doctor's best year (ties: earlier year) before the top-n."""
+    return _with(FACT, dims, f"""
+yearly AS (
+  SELECT d.DoctorID, d.FirstName, d.LastName, d.DepartmentName,
+         CAST(year(f.AppointmentDateTime) AS INTEGER) AS AppointmentYear, COUNT(*) AS AppointmentCount
+  FROM fact f JOIN dim_doc d ON f.DoctorID = d.DoctorID
+  WHERE {RANGE}
+  GROUP BY d.DoctorID, d.FirstName, d.LastName, d.DepartmentName, year(f.AppointmentDateTime)
+),
+w AS (
+  SELECT *, LAG(AppointmentCount) OVER (PARTITION BY DoctorID, FirstName, LastName, DepartmentName
+                                        ORDER BY AppointmentYear) AS PreviousYearCount
+  FROM yearly
+),
+g AS (
+  SELECT *, {pct('AppointmentCount - PreviousYearCount', 'PreviousYearCount')} AS YoYGrowthPercentage
+  FROM w WHERE PreviousYearCount IS NOT NULL
+),
+best AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY DoctorID, FirstName, LastName, DepartmentName
+                               ORDER BY YoYGrowthPercentage DESC, AppointmentYear) AS rn
+  FROM g
+)""") + f"""
+SELECT DoctorID, FirstName, LastName, DepartmentName, AppointmentYear, AppointmentCount, PreviousYearCount,
+       YoYGrowthPercentage
+FROM best WHERE rn = 1
+ORDER BY YoYGrowthPercentage DESC, DoctorID, AppointmentYear
+LIMIT {TOP_N}"""
+
+
 def analytic_sql() -> dict[str, str]:
     return {
         "trending_diagnoses_star": q1(STAR_DIMS),
@@ -259,6 +335,9 @@ def analytic_sql() -> dict[str, str]:
         "rolling_cancellations_snowflake": q4(),
         "top_doctors_star": q5(STAR_DIMS, False),
         "top_doctors_snowflake": q5(SNOW_DIMS, True),
+        "trending_diagnoses_strict_year": q1_strict(STAR_DIMS),
+        "rolling_cancellations_calendar": q4_calendar(),
+        "top_doctors_per_doctor": q5_per_doctor(STAR_DIMS),
         "appointment_summary": v1(STAR_DIMS),
         "appointment_summary_snowflake": v1(SNOW_DIMS),
         "diagnosis_treatment_summary_star": v2(STAR_DIMS),

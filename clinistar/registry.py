@@ -58,6 +58,10 @@ def analytic_queries() -> dict[str, Query]:
         q[f"rolling_cancellations_{kind}"] = _on(kind, A.rolling_cancellations, None, None)
         q[f"top_doctors_{kind}"] = _on(kind, A.top_doctors, START, END, TOP_N)
         q[f"diagnosis_treatment_summary_{kind}"] = _on(kind, A.diagnosis_treatment_summary)
+    # the options that resolve the reference's ambiguities
+    q["trending_diagnoses_strict_year"] = _on("star", A.trending_diagnoses, START, END, strict_year=True)
+    q["rolling_cancellations_calendar"] = _on("star", A.rolling_cancellations, None, None, calendar=True)
+    q["top_doctors_per_doctor"] = _on("star", A.top_doctors, START, END, TOP_N, per="doctor")
     q["appointment_summary"] = _on("star", A.appointment_summary)
     q["appointment_summary_snowflake"] = _on("snowflake", A.appointment_summary)
     q["treatment_priority"] = _priority("star")
