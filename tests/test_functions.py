@@ -232,3 +232,25 @@ def test_scale_conf_sizes_partitions_by_input():
     assert int(scale_conf(1024**4)["spark.sql.shuffle.partitions"]) == 8192
     assert scale_conf(10 * 1024**2)["spark.sql.shuffle.partitions"] == "8"   # floor for tiny inputs
     assert tb100["spark.sql.autoBroadcastJoinThreshold"] == str(64 * 1024**2)
+
+
+def test_jobs_build_run_priority(spark, make_oltp, tmp_path):
+    from clinistar import jobs
+    from conftest import visits
+
+    vis = [(i, 1 + i % 3, 1 + i % 2, f"{2020 + i % 2}-03-01 10:00:00", "Completed", "Fever", 1 + (i % 4 >= 2))
+           for i in range(1, 13)]
+    appts, recs = visits(vis)
+    rx = [(i, i, 1 + i % 3, "5mg", "QD", dt.date(2020, 3, 1), dt.date(2020, 3, 9)) for i in range(1, 13)]
+    files.write_oltp(make_oltp(Appointments=appts, MedicalRecords=recs, Prescriptions=rx), str(tmp_path / "oltp"))
+    jobs.main(["build", "--oltp", str(tmp_path / "oltp"), "--out", str(tmp_path / "wh"),
+               "--model", "snowflake", "--quality-report", str(tmp_path / "qr")], spark=spark)
+    report = {r.rule: r.violations for r in spark.read.parquet(str(tmp_path / "qr")).collect()}
+    assert report["fk:Appointments.PatientID->Patients"] == 0
+    jobs.main(["run", "--warehouse", str(tmp_path / "wh"), "--model", "snowflake",
+               "--query", "GetTrendingDiagnoses", "--start", "2020-01-01", "--end", "2021-12-31",
+               "--out", str(tmp_path / "q1")], spark=spark)
+    assert spark.read.parquet(str(tmp_path / "q1")).count() == 2
+    jobs.main(["priority", "--warehouse", str(tmp_path / "wh"), "--model", "snowflake",
+               "--table", str(tmp_path / "prio")], spark=spark)
+    assert spark.read.parquet(str(tmp_path / "prio")).count() > 0
