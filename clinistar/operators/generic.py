@@ -42,6 +42,8 @@ def period_change(
     that row is exactly the period before. The window partitions by the whole
     entity key, so ties on the period cannot make LAG ambiguous.
     """
+    if strict and df.schema[period].dataType.typeName() not in ("integer", "long", "short", "byte"):
+        raise ValueError(f"strict needs an integer period (e.g. a year), not {df.schema[period].dataType}")
     w = Window.partitionBy(*keys).orderBy(period)
     out = df.withColumn(prev_col, F.lag(measure).over(w))
     if strict:

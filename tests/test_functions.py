@@ -254,3 +254,16 @@ def test_jobs_build_run_priority(spark, make_oltp, tmp_path):
     jobs.main(["priority", "--warehouse", str(tmp_path / "wh"), "--model", "snowflake",
                "--table", str(tmp_path / "prio")], spark=spark)
     assert spark.read.parquet(str(tmp_path / "prio")).count() > 0
+
+
+def test_strict_period_change_needs_integer_period(spark):
+    import pytest
+
+    from clinistar.operators import generic as G
+
+    df = spark.createDataFrame([("a", "2021-01", 3)], "k string, p string, n long")
+    with pytest.raises(ValueError):
+        G.period_change(df, ["k"], "p", "n", strict=True)
+    yearly = spark.createDataFrame([("a", 2020, 4), ("a", 2021, 6), ("a", 2023, 3)], "k string, y int, n long")
+    out = G.period_change(yearly, ["k"], "y", "n", "prev", "chg", strict=True).orderBy("y").collect()
+    assert [(r.y, r.prev, r.chg) for r in out] == [(2020, None, None), (2021, 4, 50.0), (2023, None, None)]
