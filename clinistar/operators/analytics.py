@@ -92,11 +92,13 @@ def medication_trends(
     per_key = f.groupBy("MedicationID", "PrescriptionYear").agg(F.count(F.lit(1)).alias("_n"))
     entity = ["MedicationName", "Manufacturer"]
     yearly = _regroup(per_key, wh.medications(), "MedicationID", [*entity, "PrescriptionYear"], "_n", "PrescriptionCount")
-    ranked = rank_in_period(yearly, "PrescriptionYear", "PrescriptionCount", "RankInYear", k=top_k)
-    out = period_change(
-        ranked, entity, "PrescriptionYear", "PrescriptionCount",
+    # LAG over every year of the medication first, then rank (and cut to the
+    # top k): a top-k report still shows the change against the previous year.
+    changed = period_change(
+        yearly, entity, "PrescriptionYear", "PrescriptionCount",
         "PreviousYearCount", "YoYChangePercentage", strict=strict_year,
     )
+    out = rank_in_period(changed, "PrescriptionYear", "PrescriptionCount", "RankInYear", k=top_k)
     return out.orderBy("PrescriptionYear", "RankInYear", *entity).select(
         *entity, "PrescriptionYear", "PrescriptionCount", "RankInYear",
         "PreviousYearCount", "YoYChangePercentage",

@@ -107,6 +107,20 @@ def test_rank_ties(make_oltp):
     assert top1.count() == 2
 
 
+def test_top_k_keeps_change_against_previous_year(make_oltp):
+    # Med1: 2020 rank 1 (3), 2021 rank 2 (2); Med2: 2020 rank 2 (1), 2021 rank 1 (4)
+    vis, rx, i = [], [], 0
+    for med, year, n in ((1, 2020, 3), (2, 2020, 1), (1, 2021, 2), (2, 2021, 4)):
+        for _ in range(n):
+            i += 1
+            vis.append((i, 1, 1, f"{year}-06-01 10:00:00", "Completed", "Fever", 1))
+            rx.append((i, i, med, "5mg", "QD", Y(year, 6, 1), Y(year, 6, 9)))
+    wh = _star(make_oltp, vis, rx)
+    top1 = A.medication_trends(wh, Y(2020, 1, 1), Y(2021, 12, 31), top_k=1)
+    assert rows(top1, "MedicationName", "PrescriptionYear", "RankInYear", "PreviousYearCount",
+                "YoYChangePercentage") == [("Med1cin", 2020, 1, None, None), ("Med2cin", 2021, 1, 1, 300.0)]
+
+
 def test_null_and_reordered_symptoms(make_oltp):
     vis = [(1, 1, 1, "2021-03-01 10:00:00", "Completed", "Fever, Cough", 1),
            (2, 1, 1, "2021-03-02 10:00:00", "Completed", "Cough, Fever", 1),
