@@ -336,6 +336,7 @@ def analytic_sql() -> dict[str, str]:
         "top_doctors_star": q5(STAR_DIMS, False),
         "top_doctors_snowflake": q5(SNOW_DIMS, True),
         "trending_diagnoses_strict_year": q1_strict(STAR_DIMS),
+        "medication_trends_top3": f"SELECT * FROM ({q2(STAR_DIMS)}) WHERE RankInYear <= 3",
         "rolling_cancellations_calendar": q4_calendar(),
         "top_doctors_per_doctor": q5_per_doctor(STAR_DIMS),
         "appointment_summary": v1(STAR_DIMS),

@@ -60,6 +60,7 @@ def analytic_queries() -> dict[str, Query]:
         q[f"diagnosis_treatment_summary_{kind}"] = _on(kind, A.diagnosis_treatment_summary)
     # the options that resolve the reference's ambiguities
     q["trending_diagnoses_strict_year"] = _on("star", A.trending_diagnoses, START, END, strict_year=True)
+    q["medication_trends_top3"] = _on("star", A.medication_trends, START, END, top_k=3)
     q["rolling_cancellations_calendar"] = _on("star", A.rolling_cancellations, None, None, calendar=True)
     q["top_doctors_per_doctor"] = _on("star", A.top_doctors, START, END, TOP_N, per="doctor")
     q["appointment_summary"] = _on("star", A.appointment_summary)
