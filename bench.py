@@ -1,7 +1,7 @@
 """Benchmark: build the warehouse once, then time every analytic operator.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
-(default 8), BENCH_REPEAT (default 3; median reported). Prints ONE JSON
+(default 8), BENCH_REPEAT (default 5; median reported). Prints ONE JSON
 line: {"metric", "value", "unit", "queries", "sf", ...}.
 
 Shape of the run (the production shape): the star warehouse is built from
@@ -31,7 +31,7 @@ from clinistar.sources import files, proxy  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
+REPEAT = int(os.environ.get("BENCH_REPEAT", "5"))
 START, END, TOP_N = dt.date(1996, 1, 1), dt.date(1998, 12, 31), 10
 
 
