@@ -43,10 +43,10 @@ from clinistar.operators.generic import (
 from clinistar.plans.model import Warehouse
 
 
-def _regroup(per_key: DataFrame, dim: DataFrame, key: str, by: list[str], n: str, out: str) -> DataFrame:
-    """Join an aggregate keyed by a dimension key to the dimension, then sum
-    its count column ``n`` by the dimension attributes ``by``."""
-    return per_key.join(dim, key).groupBy(*by).agg(F.sum(n).alias(out))
+def _regroup(joined: DataFrame, by: list[str], n: str, out: str) -> DataFrame:
+    """Sum the count column ``n`` of an aggregate already joined to its
+    dimension by the dimension attributes ``by``."""
+    return joined.groupBy(*by).agg(F.sum(n).alias(out))
 
 
 # ---------------------------------------------------------------------------
@@ -64,7 +64,7 @@ def trending_diagnoses(
     )
     per_key = f.groupBy("DiagnosisID", "DiagnosisYear").agg(F.count(F.lit(1)).alias("_n"))
     entity = ["DiagnosisName", "ICD10Code"]
-    yearly = _regroup(per_key, wh.diagnoses(), "DiagnosisID", [*entity, "DiagnosisYear"], "_n", "DiagnosisCount")
+    yearly = _regroup(wh.with_diagnoses(per_key), [*entity, "DiagnosisYear"], "_n", "DiagnosisCount")
     out = period_change(
         yearly, entity, "DiagnosisYear", "DiagnosisCount",
         "PreviousYearCount", "YoYChangePercentage", strict=strict_year,
@@ -91,7 +91,7 @@ def medication_trends(
     )
     per_key = f.groupBy("MedicationID", "PrescriptionYear").agg(F.count(F.lit(1)).alias("_n"))
     entity = ["MedicationName", "Manufacturer"]
-    yearly = _regroup(per_key, wh.medications(), "MedicationID", [*entity, "PrescriptionYear"], "_n", "PrescriptionCount")
+    yearly = _regroup(wh.with_medications(per_key), [*entity, "PrescriptionYear"], "_n", "PrescriptionCount")
     # LAG over every year of the medication first, then rank (and cut to the
     # top k): a top-k report still shows the change against the previous year.
     changed = period_change(
@@ -130,8 +130,7 @@ def symptom_diagnosis(
     f = f.select(month_key("AppointmentDateTime").alias("DiagnosisMonth"), sym.alias("Symptoms"), "DiagnosisID")
     per_key = f.groupBy("DiagnosisMonth", "Symptoms", "DiagnosisID").agg(F.count(F.lit(1)).alias("_n"))
     pairs = _regroup(
-        per_key, wh.diagnoses(), "DiagnosisID",
-        ["DiagnosisMonth", "Symptoms", "DiagnosisName"], "_n", "PairCount",
+        wh.with_diagnoses(per_key), ["DiagnosisMonth", "Symptoms", "DiagnosisName"], "_n", "PairCount"
     )
     # both totals come from the pairs themselves (one shared, reused shuffle)
     out = share_of_total(pairs, "PairCount", ["Symptoms", "DiagnosisName"], "TotalPairCount")
@@ -186,7 +185,7 @@ def top_doctors(
     )
     per_key = f.groupBy("DoctorID", "AppointmentYear").agg(F.count(F.lit(1)).alias("_n"))
     entity = ["DoctorID", *wh.doctor_attributes]
-    yearly = _regroup(per_key, wh.doctors(), "DoctorID", [*entity, "AppointmentYear"], "_n", "AppointmentCount")
+    yearly = _regroup(wh.with_doctors(per_key), [*entity, "AppointmentYear"], "_n", "AppointmentCount")
     out = period_change(
         yearly, entity, "AppointmentYear", "AppointmentCount",
         "PreviousYearCount", "YoYGrowthPercentage", strict=strict_year,
@@ -242,10 +241,10 @@ def diagnosis_treatment_summary(
         rows = wh.fact().select("PatientID", "DiagnosisID", "MedicationID", "AppointmentID").where(
             F.col("AppointmentID").isNotNull()
         ).distinct()
-        joined = rows.join(wh.diagnoses(), "DiagnosisID").join(wh.medications(), "MedicationID")
+        joined = wh.with_medications(wh.with_diagnoses(rows))
         return joined.groupBy(*keys).agg(F.countDistinct("AppointmentID").alias("TreatmentCount"))
     per = per_key if per_key is not None else _per_patient_diagnosis_medication(wh)
-    joined = per.join(wh.diagnoses(), "DiagnosisID").join(wh.medications(), "MedicationID")
+    joined = wh.with_medications(wh.with_diagnoses(per))
     return joined.groupBy(*keys).agg(F.sum("_n").alias("TreatmentCount"))
 
 
@@ -286,7 +285,7 @@ def priority_by_key(
     )
     pairs = pairs.where(F.col("PatientID").isNotNull() & F.col("DiagnosisID").isNotNull()).distinct()
     matched = (
-        pairs.join(wh.diagnoses(), "DiagnosisID")
+        wh.with_diagnoses(pairs)
         .join(dts, ["PatientID", "DiagnosisName", "ICD10Code"])
         .join(a, "PatientID")
     )

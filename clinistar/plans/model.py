@@ -112,6 +112,43 @@ class Warehouse:
             .select("DoctorID", "FirstName", "LastName", "DepartmentName", "Specialty")
         )
 
+    # -- attach a dimension to an aggregate, one table at a time ---------------
+    # The operators join a (small) fact aggregate to the dimension chain. The
+    # inner joins are associative, so joining table by table gives the same
+    # rows as joining the pre-joined lookup, but every join's other side is
+    # then a plain table whose size Spark knows when it plans (a pre-joined
+    # chain only gets a product-of-sizes estimate): small tables are
+    # broadcast from the start instead of being discovered at runtime.
+    def with_diagnoses(self, df: DataFrame) -> DataFrame:
+        """``df`` + DiagnosisName, ICD10Code (inner join on DiagnosisID)."""
+        d = self.tables["Dim_Diagnoses"]
+        if self.kind == "star":
+            return df.join(d.select("DiagnosisID", "DiagnosisName", "ICD10Code"), "DiagnosisID")
+        icd = self.tables["Dim_ICD10Codes"].select("ICD10CodeID", "ICD10Code")
+        return (
+            df.join(d.select("DiagnosisID", "DiagnosisName", "ICD10CodeID"), "DiagnosisID")
+            .join(icd, "ICD10CodeID")
+            .drop("ICD10CodeID")
+        )
+
+    def with_medications(self, df: DataFrame) -> DataFrame:
+        """``df`` + MedicationName, Manufacturer (inner join on MedicationID)."""
+        return df.join(self.medications(), "MedicationID")
+
+    def with_doctors(self, df: DataFrame) -> DataFrame:
+        """``df`` + the doctor attributes (inner joins along the chain)."""
+        d = self.tables["Dim_Doctors"]
+        if self.kind == "star":
+            return df.join(d.select("DoctorID", "FirstName", "LastName", "DepartmentName"), "DoctorID")
+        dept = self.tables["Dim_Departments"].select("DepartmentID", "DepartmentName", "SpecialtyID")
+        spec = self.tables["Dim_DepartmentSpecialty"].select("SpecialtyID", "Specialty")
+        return (
+            df.join(d.select("DoctorID", "FirstName", "LastName", "DepartmentID"), "DoctorID")
+            .join(dept, "DepartmentID")
+            .join(spec, "SpecialtyID")
+            .drop("DepartmentID", "SpecialtyID")
+        )
+
     def patients(self) -> DataFrame:
         return self.tables["Dim_Patients"].select("PatientID", "FirstName", "LastName")
 
