@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinistar.llm import mix
+from clinistar.llm import bpe, mix, token_count
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix": mix.op1_mix,
+        "op2_token_counts": token_count.op2_token_counts,
+        "op3_bpe": bpe.op3_bpe,
     }
 
 
