@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinistar.llm import bpe, mix, token_count
+from clinistar.llm import ann, bpe, chat, mix, token_count, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,8 +14,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mix": mix.op1_mix,
         "op2_token_counts": token_count.op2_token_counts,
         "op3_bpe": bpe.op3_bpe,
+        "op4_nearest": ann.op4_nearest,
+        "op5_warc": warc.op5_warc,
+        "op10_chat": chat.op10_chat,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix": mix.ORACLE}
+    return {"op1_mix": mix.ORACLE, "op4_nearest": ann.ORACLE}
