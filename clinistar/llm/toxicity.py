@@ -30,10 +30,15 @@ from clinistar.llm.common import staged, table
 
 #: Labelled rows of each label that are learnt from, at most.
 SAMPLE = 4000
-#: A pattern is in this share of the toxic rows, and in so many, at least.
-SUPPORT, LEAST_ROWS = 0.01, 3
-#: So many times likelier in toxic rows, at least; patterns at most.
-LIFT, PATTERNS = 20.0, 2000
+#: A pattern is in so many toxic rows, so many times likelier there than in
+#: others, and this sure (log likelihood ratio), at least; candidates at most.
+LEAST_ROWS, LIFT, SURE, CANDIDATES = 3, 20.0, 24.0, 5000
+#: A row explained by so many words needs no further patterns.
+EXPLAINED = 3
+#: In a second pass, over rows that no word explains, this sure is enough.
+SURE_OF_REST = 12.0
+#: A stem may be in one other row for so many toxic ones.
+STEM_ROWS = 200
 #: Lengths of stems.
 STEMS = range(3, 8)
 THRESHOLD = 0.7
@@ -109,10 +114,13 @@ def compose() -> dict[tuple, tuple]:
 
 
 def kinds(state: tuple) -> Iterator[int]:
-    """What a clause that ends in this state is, by position in ``KINDS``."""
+    """What a clause that ends in this state is, by position in ``KINDS``; an
+    insult at a target is an insult too."""
     _, target, _, threat, _, met = state
     if "plain" in met:
-        yield 1 if target else 0
+        yield 0
+        if target:
+            yield 1
     elif "negated" in met:
         yield 2
     elif "reported" in met:
@@ -193,11 +201,17 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         yield pd.DataFrame([(p, 0, n) for p, n in clean.items() if p not in toxic], columns=["pattern", "toxic", "clean"])
 
     counts = rows.mapInPandas(count, "pattern string, toxic long, clean long").groupBy("pattern").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
-    least = max(LEAST_ROWS, math.ceil(SUPPORT * n_toxic))
     lift = ((F.col("t") + 0.5) / (n_toxic + 1)) / ((F.col("c") + 0.5) / (n_clean + 1))
-    best = counts.where(F.col("t") >= least).withColumn("lift", lift).where(F.col("lift") >= LIFT)
-    chosen = best.orderBy(F.desc("lift"), "pattern").limit(PATTERNS).collect()
-    model = Model({r["pattern"]: math.log(r["lift"]) for r in chosen})
+    best = counts.where(F.col("t") >= LEAST_ROWS).withColumn("lift", lift).where(F.col("lift") >= LIFT)
+    candidates = {r["pattern"] for r in best.orderBy(F.desc(F.col("t") * F.log("lift")), "pattern").limit(CANDIDATES).collect()}
+
+    def matching(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            words = [sorted(w for w in set(WORDS.findall((t or "").lower())) if not candidates.isdisjoint(patterns(w))) for t in b["text"]]
+            yield pd.DataFrame({"words": words, "toxic": b["toxic"].to_numpy()})
+
+    found = rows.mapInPandas(matching, "words array<string>, toxic boolean").where(F.size("words") > 0).orderBy("words", "toxic").collect()
+    model = Model(choose([(set(r["words"]), r["toxic"]) for r in found], candidates, n_toxic, n_clean))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -210,22 +224,82 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return model
 
 
+def choose(rows: list[tuple[set[str], bool]], candidates: set[str], n_toxic: int, n_clean: int) -> dict[str, float]:
+    """Patterns and their weights, chosen one after the other.
+
+    The next pattern is the one that best tells the labels apart on words
+    which no chosen pattern matches, in rows not yet explained. So neither the
+    longer stems of a chosen one nor the chance words of its rows' copies get
+    in. Of patterns nearly as good the most special one is taken.
+    """
+    where: dict[str, set[tuple[int, str]]] = {}
+    for i, (words, _) in enumerate(rows):
+        for w in words:
+            for p in patterns(w):
+                if p in candidates:
+                    where.setdefault(p, set()).add((i, w))
+    left, explained, chosen = [set(w) for w, _ in rows], [0] * len(rows), {}
+
+    def value(p: str) -> tuple[float, float]:
+        hit = {i for i, w in where[p] if w in left[i]}
+        t = sum(rows[i][1] for i in hit)
+        if p.endswith("*") and STEM_ROWS * (len(hit) - t) > t:
+            return 0.0, 0.0
+        return sureness(t, len(hit) - t, n_toxic, n_clean)
+
+    for sure, enough in ((SURE, EXPLAINED), (SURE_OF_REST, 1)):
+        for i, n in enumerate(explained):
+            if n >= enough:
+                left[i].clear()
+        # A pattern's value hardly rises, so the best is found among stale values from the top.
+        queue = sorted(((value(p), p) for p in where if p not in chosen), key=lambda x: (-x[0][0], x[1]))
+        while queue and queue[0][0][0] >= sure:
+            fresh = [(value(p), p) for _, p in queue[:64]]
+            top = max(v[0] for v, _ in fresh)
+            if len(queue) > 64 and top < queue[64][0][0]:
+                queue = sorted(fresh + queue[64:], key=lambda x: (-x[0][0], x[1]))
+                continue
+            if top < sure:
+                break
+            near = [(v, p) for v, p in fresh if v[0] >= 0.97 * top]
+            (_, lift), p = max(near, key=lambda x: (not x[1].endswith("*"), len(x[1]), x[0][0], x[1]))
+            chosen[p] = lift
+            for i, w in where[p]:
+                if w in left[i]:
+                    left[i].discard(w)
+                    explained[i] += 1
+                    if explained[i] >= enough:
+                        left[i].clear()
+            queue = sorted(((v, q) for v, q in fresh + queue[64:] if q != p), key=lambda x: (-x[0][0], x[1]))
+    return chosen
+
+
+def sureness(t: int, c: int, n_toxic: int, n_clean: int) -> tuple[float, float]:
+    """Log likelihood ratio of a pattern in ``t`` toxic and ``c`` other rows, and
+    its log lift; 0 if it isn't a sign of toxicity."""
+    lift = ((t + 0.5) / (n_toxic + 1)) / ((c + 0.5) / (n_clean + 1))
+    if t < LEAST_ROWS or lift < LIFT:
+        return 0.0, 0.0
+    all_of = n_toxic + n_clean
+    ratio = t * math.log(t * all_of / ((t + c) * n_toxic)) + (c * math.log(c * all_of / ((t + c) * n_clean)) if c else 0.0)
+    return 2 * ratio, math.log(lift)
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50) -> np.ndarray:
     """Weights by Newton's method; both labels weigh the same in sum, and no
-    kind of clause may speak for a document (weights of kinds are at least 0)."""
+    kind of clause may speak for a document: weights of kinds are at least 0."""
     w = np.zeros(x.shape[1])
     share = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)
-    free = np.ones(len(w), dtype=bool)
+    penalty = np.r_[np.full(len(w) - 1, ridge), 1e-6]
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        penalty = np.r_[np.full(len(w) - 1, ridge), 1e-6]
         gradient = x.T @ (share * (p - y)) + penalty * w
+        free = (w > 0) | (gradient < 0) | (np.arange(len(w)) == len(w) - 1)
         hessian = (x * (share * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
         step = np.zeros(len(w))
         step[free] = np.linalg.solve(hessian[np.ix_(free, free)], gradient[free])
         w = w - step
-        low = (w < 0) & (np.arange(len(w)) < len(w) - 1)
-        w[low], free[low] = 0.0, False
+        w[:-1] = np.maximum(w[:-1], 0.0)
     return w
 
 
