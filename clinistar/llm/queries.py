@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinistar.llm import ann, bpe, chat, jaccard, mix, quality, token_count, toxicity, warc
+from clinistar.llm import ann, bpe, chat, html_text, jaccard, mix, quality, token_count, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_bpe": bpe.op3_bpe,
         "op4_nearest": ann.op4_nearest,
         "op5_warc": warc.op5_warc,
+        "op6_html_text": html_text.op6_html_text,
         "op7_jaccard": jaccard.op7_jaccard,
         "op8_quality": quality.op8_quality,
         "op9_toxicity": toxicity.op9_toxicity,
