@@ -33,10 +33,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clinistar.llm.common import staged, table
+from clinistar.llm.common import ASCII_BLANKS, staged, table
 from clinistar.llm.components import components
 
 WORDS = 5
@@ -281,12 +281,21 @@ def groups(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the row
-    with its smallest id stays. Of repeated rows with that id one stays; rows
-    without an id or without shingles all stay."""
-    keep = groups(docs).where("doc_id is not null and n_shingles > 0 and doc_id <> component_id").select(F.col("doc_id").alias("drop_id")).distinct()
-    rest = docs.join(keep, docs["doc_id"] == F.col("drop_id"), "left_anti")
-    alone = rest.where("doc_id is null")
-    return rest.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).unionByName(alone)
+    with the smallest id stays; if several have it, the one whose text comes
+    first. Rows without an id or without shingles all stay.
+
+    The texts are shuffled once, by id.
+    """
+    found = groups(docs).where("doc_id is not null")
+    keep = found.groupBy("doc_id").agg(
+        F.max((F.col("n_shingles") > 0) & (F.col("doc_id") == F.col("component_id"))).alias("first"),
+        F.max(F.col("n_shingles") == 0).alias("empty"),
+    ).where("first or empty").select(F.col("doc_id").alias("keep_id"), F.col("first").alias("keep_first"))
+    blank = F.length(F.translate(F.coalesce("text", F.lit("")), ASCII_BLANKS, "")) == 0
+    one = Window.partitionBy("keep_id", blank).orderBy("text")
+    named = docs.join(keep, F.col("doc_id") == F.col("keep_id")).withColumn("keep_nth", F.row_number().over(one))
+    kept = named.where(blank | (F.col("keep_first") & (F.col("keep_nth") == 1))).select(*docs.columns)
+    return kept.unionByName(docs.where("doc_id is null"))
 
 
 def op7_jaccard(spark, sf_dir) -> DataFrame:

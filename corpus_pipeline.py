@@ -1,27 +1,58 @@
-"""The corpus pipeline: documents to encoded, mixed training data."""
+"""The corpus pipeline: from raw documents to mixed, encoded training data.
+
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
+written as Parquet and read again as the next stage's ``docs``. All but the
+last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clinistar.llm import mix
+from clinistar.llm import bpe, jaccard, mix, quality, toxicity
 from clinistar.llm.common import staged, table
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity grammar rejects go."""
+    return toxicity.clean_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules, or that a forest sets apart, go."""
+    return quality.good_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return jaccard.one_of_each(docs)
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat or cut each source to its target; the rows are whole documents."""
+    """Each source repeated or cut to its target; documents stay whole."""
     return mix.mixed_documents(docs)
 
 
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document of the mix encoded, and decoded again: token count and digests."""
+    return bpe.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
+    ("toxicity", toxicity_stage),
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
     ("mix", mix_stage),
+    ("encode", encode_stage),
 ]
 
+#: SQL can't express the grammar, the forests or the encoder.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply every stage in turn, each on the written result of the one before."""
+    """Apply every stage in turn, each to the written result of the one before."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
