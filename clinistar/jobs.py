@@ -1,7 +1,7 @@
 """Command-line jobs (for ``spark-submit`` or ``python -m clinistar.jobs``).
 
     build     OLTP tables (CSV or Parquet) -> quality report -> star/snowflake warehouse
-    run       one analysis on a written warehouse -> Parquet (or shown)
+    run       one analysis on a written warehouse -> Parquet (or its first rows printed)
     priority  the treatment-priority update as a new fact version or a priority table
 
 Examples:
@@ -40,6 +40,10 @@ QUERIES = {
 }
 
 
+#: Counts from which a treatment's priority is high or medium (fixed values of the model).
+PRIORITY_THRESHOLDS = {"high_appointments": 5, "high_treatments": 3, "medium_appointments": 3, "medium_treatments": 2}
+
+
 def read_warehouse(spark: SparkSession, path: str, kind: str) -> Warehouse:
     names = STAR_TABLES if kind == "star" else SNOWFLAKE_TABLES
     return Warehouse(kind, {n: spark.read.parquet(f"{path.rstrip('/')}/{n}") for n in names})
@@ -71,7 +75,9 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--strict-year", action="store_true")
     r.add_argument("--calendar", action="store_true")
     r.add_argument("--symptom-mode", choices=A.SYMPTOM_MODES, default="raw")
-    r.add_argument("--out", help="Parquet output folder; the result is shown when omitted")
+    o = r.add_mutually_exclusive_group(required=True)
+    o.add_argument("--out", help="Parquet output folder")
+    o.add_argument("--show", type=int, metavar="N", help="print the first N rows instead")
 
     u = sub.add_parser("priority", help="the treatment-priority update")
     u.add_argument("--warehouse", required=True)
@@ -79,6 +85,10 @@ def _parser() -> argparse.ArgumentParser:
     g = u.add_mutually_exclusive_group(required=True)
     g.add_argument("--new-version", help="rewrite the fact with TreatmentPriority into this folder")
     g.add_argument("--table", help="write the (PatientID, DiagnosisID) priority table here")
+    for name, default in PRIORITY_THRESHOLDS.items():
+        u.add_argument("--" + name.replace("_", "-"), type=int, default=default)
+    u.add_argument("--distinct-appointments", action="store_true")
+    u.add_argument("--unmatched", choices=("keep", "low"), default="keep", help="priority of fact rows the update doesn't reach")
     return p
 
 
@@ -94,18 +104,22 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
         return None
     wh = read_warehouse(spark, args.warehouse, args.model)
     if args.cmd == "priority":
+        options = {n: getattr(args, n) for n in (*PRIORITY_THRESHOLDS, "distinct_appointments")}
         if args.table:
-            A.write_priority_table(wh, args.table)
+            A.write_priority_table(wh, args.table, **options)
         else:
-            A.write_treatment_priority(wh, args.new_version)
+            A.write_treatment_priority(wh, args.new_version, unmatched=args.unmatched, **options)
         return None
-    if args.query.startswith("Get") and (args.start is None or args.end is None):
+    ranged = args.query.startswith("Get")
+    if ranged and (args.start is None or args.end is None):
         raise SystemExit(f"{args.query} needs --start and --end")
+    if not ranged and (args.start is not None or args.end is not None):
+        raise SystemExit(f"{args.query} has no date range")
     result = QUERIES[args.query](wh, args)
     if args.out:
         result.write.mode("overwrite").parquet(args.out)
         return None
-    result.show(50, truncate=False)
+    result.show(args.show, truncate=False)
     return result
 
 

@@ -19,6 +19,8 @@ rounding, tie-breaks, the non-executable update) follow SURVEY's ledger.
 
 from __future__ import annotations
 
+import re
+
 import datetime as dt
 
 from pyspark.sql import DataFrame, Window
@@ -324,6 +326,18 @@ def treatment_priority(
     return out.select(*wh.fact().columns, "TreatmentPriority")
 
 
+def scan_roots(df: DataFrame) -> list[str]:
+    """The folders that a DataFrame's file scans start from (not their files)."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    roots = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and "HadoopFsRelation" in leaf.relation().getClass().getName():
+            paths = leaf.relation().location().rootPaths()
+            roots += [paths.apply(k).toString() for k in range(paths.size())]
+    return roots
+
+
 def write_treatment_priority(wh: Warehouse, target: str, *, unmatched: str = "keep", **thresholds) -> str:
     """Materialize U1 as a *new* version of the fact (Parquet, by year).
 
@@ -334,17 +348,18 @@ def write_treatment_priority(wh: Warehouse, target: str, *, unmatched: str = "ke
     from clinistar.plans.model import YEAR_PARTITION
 
     def norm(p: str) -> str:
-        return p.replace("file://", "").replace("file:", "").rstrip("/")
+        return re.sub("^file:/+", "/", p).rstrip("/") + "/"
 
     tgt = norm(target)
-    if any(norm(f).startswith(tgt + "/") for f in wh.fact().inputFiles()):
-        raise ValueError(f"{target} holds the fact being read; write the new version elsewhere")
+    for root in map(norm, scan_roots(wh.fact())):
+        if root.startswith(tgt) or tgt.startswith(root):
+            raise ValueError(f"{target} and the fact being read, {root}, hold one another; write the new version elsewhere")
     out = treatment_priority(wh, unmatched=unmatched, **thresholds)
     if YEAR_PARTITION not in out.columns:
         out = out.withColumn(YEAR_PARTITION, F.year("AppointmentDateTime"))
-    out.sortWithinPartitions(YEAR_PARTITION, "AppointmentDateTime").write.mode("overwrite").partitionBy(
-        YEAR_PARTITION
-    ).parquet(target)
+    out.sortWithinPartitions(YEAR_PARTITION, "AppointmentDateTime").write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).partitionBy(YEAR_PARTITION).parquet(target)
     return target
 
 

@@ -307,7 +307,8 @@ def materialize(
             laid = df.withColumn(YEAR_PARTITION, F.year("AppointmentDateTime")).sortWithinPartitions(
                 YEAR_PARTITION, "AppointmentDateTime"
             )
-            laid.write.mode(mode).partitionBy(YEAR_PARTITION).parquet(target)
+            # static: a rebuild replaces the table, years it no longer has included
+            laid.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(YEAR_PARTITION).parquet(target)
         else:
             df.write.mode(mode).parquet(target)
         out[name] = spark.read.parquet(target)

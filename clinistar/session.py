@@ -1,13 +1,14 @@
 """Spark session defaults and the shared checkpoint folder.
 
-Every operator in the library is lazy DataFrame code; this module only
-decides how a *local* session is configured for tests and benchmarks. On
-a cluster the session comes from the platform and is used as it is.
+Every operator in the library is lazy DataFrame code. ``get_spark`` adds the
+few settings that the results or plans rely on (session zone, adaptive
+execution) and leaves sizes, such as shuffle partitions, to the platform.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -23,22 +24,23 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
 def get_spark(
     master: str | None = None,
     app_name: str = "clinistar",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Build (or reuse) a session with the library defaults."""
+    """Build (or reuse) a session with the library defaults. The number of
+    shuffle partitions is the platform's unless one is given."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", os.environ.get("CLINISTAR_DRIVER_MEMORY", "8g"))
     conf.update(extra_conf or {})
     for key, value in conf.items():
@@ -66,6 +68,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="clinistar-ckpt-")
         if sc is None:
             spark.conf.set("spark.checkpoint.dir", configured)
@@ -79,7 +84,6 @@ def scale_conf(
     input_bytes: int,
     target_partition_bytes: int = 128 * 1024**2,
     broadcast_bytes: int = 64 * 1024**2,
-    max_partitions: int = 200_000,
 ) -> dict[str, str]:
     """Session settings sized for an input of ``input_bytes`` (e.g. the
     fact's Parquet size).
@@ -92,7 +96,7 @@ def scale_conf(
     threshold is the size check for dimensions: anything larger is joined by
     shuffle.
     """
-    parts = max(8, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    parts = max(8, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.enabled": "true",

@@ -21,6 +21,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         spark.read.schema(schema)
         .option("header", True)
         .option("mode", "FAILFAST")
+        .option("enforceSchema", False)  # the header must name the schema's columns in order
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
         .csv(path)
     )
