@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +46,15 @@ def staged(df: DataFrame, label: str, partition_by: str | None = None) -> DataFr
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Remove staged tables that nothing will read again, and let Spark's
+    cleaner remove the shuffle files of plans that are no longer referenced."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folders = {f.rsplit("/", 1)[0] for t in tables for f in t.inputFiles()[:1]}
+    for f in folders:
+        path = hadoop.Path(f)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()

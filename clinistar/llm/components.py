@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinistar.llm.common import staged
+from clinistar.llm.common import discard, staged
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -21,6 +21,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = staged(links.where("a <> b").select(*above).distinct(), "links")
     seen = None
     while True:
+        last = edges
         both = edges.select("v", "u").union(edges.select("u", "v"))
         low = both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("low")).withColumnRenamed("v", "of")
         large = both.join(low, both["v"] == low["of"]).where("u > v").select(F.col("u").alias("v"), F.col("low").alias("u")).where("v <> u").distinct()
@@ -29,6 +30,7 @@ def components(links: DataFrame) -> DataFrame:
         small = small.select(F.col("u").alias("v"), F.col("low").alias("u")).union(low.select(F.col("of").alias("v"), F.col("low").alias("u")))
         edges = staged(small.where("v <> u").distinct(), "links")
         state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("v", "u"))).first()
+        discard(links.sparkSession, last)
         if state == seen:
             break
         seen = state

@@ -14,13 +14,16 @@ common with the other, so under any order of all tokens their first
    orders: lone tokens first, the rest by a different hash each.
 3. Candidates share a prefix token of the first order, their sizes without
    lone tokens allow the similarity, and they also share a prefix token under
-   each other order. Then the shared tokens are counted.
+   each other order. The sizes of a pair say how much it has to share, which
+   makes its prefixes shorter. Then the shared tokens are counted.
 4. Only the components matter, so not all pairs of a bucket (the sets with a
-   prefix token) are tried. First each set meets the one of the bucket with
-   the fewest lone tokens, the likeliest centre of a group of copies. Sets
-   that are then connected need no more. ``STARS`` rounds go on with a new
-   centre from the rest; after them every pair of a bucket that isn't yet
-   connected nor tried is tried. Nothing is capped.
+   prefix token) are tried. First each set meets one other: of its buckets'
+   centres, the sets with the fewest lone tokens, the best. Sets that are then
+   connected need no more. A second round has centres from the rest; after
+   it, all sets of the buckets that still hold unconnected ones are compared
+   block by block (``between``). Nothing is capped.
+5. A pair is first compared by 32 bits of its tokens, which can only find too
+   much in common, and what passes by all 64.
 
 Tokens and sets are known by 64-bit hashes.
 """
@@ -29,14 +32,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clinistar.llm.common import ASCII_BLANKS, staged, table
+from clinistar.llm.common import ASCII_BLANKS, discard, staged, table
 from clinistar.llm.components import components
 
 WORDS = 5
@@ -49,7 +53,11 @@ BITMAP_BITS, BITS_A_TOKEN = 1 << 28, 16
 RANGE_TOKENS = 1 << 21
 #: Tokens that a task gathers before it sends them on.
 GATHERED = 1 << 21
-STARS = 4
+STARS = 2
+#: Tokens of a block of sets that is compared with another.
+BLOCK_TOKENS = 1 << 20
+#: Ids of candidates that are sent to all tasks, at most; beyond that they are joined.
+SENT_IDS = 1 << 20
 
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
@@ -165,9 +173,10 @@ def prefixes(tokens: np.ndarray, n: int) -> list[np.ndarray]:
 
 def sets(docs: DataFrame, bits) -> DataFrame:
     """A row per text: ``doc_id, set_id, n``, and, once per task and set, if it
-    may be similar to another: ``alone, tokens`` and its prefixes."""
+    may be similar to another: ``alone, tokens``, their last 32 bits (``short``; so
+    many are ``hidden`` behind equal ones) and its prefixes."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "set_id", "n", "alone", "tokens", *(f"p{k}" for k in range(ORDERS))]
+    names = ["doc_id", "set_id", "n", "alone", "tokens", "short", "hidden", *(f"p{k}" for k in range(ORDERS))]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = bits.value
@@ -181,78 +190,160 @@ def sets(docs: DataFrame, bits) -> DataFrame:
                 tokens = every[(known[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1 == 1]
                 row = (doc_id, same, n, n - len(tokens))
                 if not n or len(tokens) < needed(n) or same in seen:
-                    out.append((*row, None, *[None] * ORDERS))
+                    out.append((*row, *[None] * (3 + ORDERS)))
                 else:
-                    out.append((*row, tokens.view(np.int64), *(p.view(np.int64) for p in prefixes(tokens, n))))
+                    first, *others = prefixes(tokens, n)
+                    short = np.unique(tokens.astype(np.uint32)).view(np.int32)
+                    out.append((*row, tokens.view(np.int64), short, len(tokens) - len(short), first.view(np.int64), *(p.astype(np.uint32).view(np.int32) for p in others)))
                     seen.add(same)
-            yield pd.DataFrame(out, columns=names).astype({"doc_id": "object"})
+            yield pd.DataFrame(out, columns=names).astype({"doc_id": "object", "hidden": "Int32"})
 
-    arrays = ", ".join(f"{x} array<long>" for x in names[4:])
-    return docs.select("doc_id", "text").mapInPandas(read, f"doc_id {kind}, set_id long, n long, alone long, {arrays}")
+    more = "".join(f", p{k} array<int>" for k in range(1, ORDERS))
+    schema = f"doc_id {kind}, set_id long, n long, alone long, tokens array<long>, short array<int>, hidden int, p0 array<long>{more}"
+    return docs.select("doc_id", "text").mapInPandas(read, schema)
 
 
-def similar(shared, a: str, b: str):
-    return 100 * shared >= PERCENT * (F.col(f"{a}n") + F.col(f"{b}n") - shared)
+def to_share(n: Column, m: Column) -> Column:
+    """The tokens that sets of these sizes share if they are similar, at least."""
+    return F.ceil(PERCENT * (n + m) / (100 + PERCENT))
+
+
+def similar(shared: Column) -> Column:
+    return 100 * shared >= PERCENT * (F.col("a_n") + F.col("b_n") - shared)
 
 
 def verified(pairs: DataFrame, alive: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` that are similar: first the other orders' prefixes,
-    then the shared tokens."""
-    side = lambda s: alive.select(*(F.col(c).alias(f"{s}_{c}") for c in alive.columns))
-    both = pairs.join(side("a"), F.col("a") == F.col("a_set_id")).join(side("b"), F.col("b") == F.col("b_set_id"))
+    """The pairs ``a, b`` that are similar: first by the other orders' prefixes
+    and short tokens, then by the tokens themselves."""
+    ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "jaccard-ids")
+    if ids.count() <= SENT_IDS:
+        ids = F.broadcast(ids)
+    some = alive.join(ids, F.col("set_id") == F.col("id"), "left_semi")
+
+    def both(pairs: DataFrame, columns: list[str]) -> DataFrame:
+        side = lambda s: some.select(F.col("set_id").alias(f"{s}_set_id"), *(F.col(c).alias(f"{s}_{c}") for c in columns))
+        return pairs.join(side("a"), F.col("a") == F.col("a_set_id")).join(side("b"), F.col("b") == F.col("b_set_id"))
+
+    short = both(pairs, ["n", "alone", "short", "hidden", *(f"p{k}" for k in range(1, ORDERS))])
+    least = to_share(F.col("a_n"), F.col("b_n"))
+    prefix = lambda s, k: F.slice(f"{s}_p{k}", F.lit(1), F.greatest(F.lit(0), F.col(f"{s}_n") - least + 1 - F.col(f"{s}_alone")).cast("int"))
     for k in range(1, ORDERS):
-        both = both.where(F.arrays_overlap(f"a_p{k}", f"b_p{k}"))
-    return both.where(similar(F.size(F.array_intersect("a_tokens", "b_tokens")), "a_", "b_")).select("a", "b")
+        short = short.where(F.arrays_overlap(prefix("a", k), prefix("b", k)))
+    most = F.size(F.array_intersect("a_short", "b_short")) + F.least("a_hidden", "b_hidden")
+    close = staged(short.where(similar(most)).select("a", "b"), "jaccard-close")
+    exact = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    found = staged(both(close, ["n", "tokens"]).where(similar(exact)).select("a", "b"), "jaccard-links")
+    discard(pairs.sparkSession, close)
+    return found
 
 
 def links(alive: DataFrame) -> DataFrame:
     """Links ``a, b`` between sets whose components are those of all similar pairs."""
     spark: SparkSession = alive.sparkSession
-    sizes = ["n", "alone"]
-    buckets = staged(alive.select("set_id", *sizes, F.explode("p0").alias("token")), "jaccard-buckets")
-    several = buckets.groupBy("token").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low < high").select("token")
-    buckets = staged(buckets.join(several, "token"), "jaccard-buckets")
+    sizes = ["n", "alone", "place"]
+    every_bucket = alive.select("set_id", "n", "alone", F.posexplode("p0").alias("place", "token")).withColumn("place", F.col("place") + F.col("alone"))
+    every_bucket = staged(every_bucket, "jaccard-tokens")
+    several = every_bucket.groupBy("token").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low < high").select("token")
+    buckets = staged(every_bucket.join(several, "token"), "jaccard-buckets")
+    discard(spark, every_bucket)
 
     def fits():
+        """The pair could share enough, and the token is in both prefixes as
+        this pair's sizes make them."""
         best = F.least(F.col("n") - F.col("alone"), F.col("c_n") - F.col("c_alone"))
-        return similar(best, "", "c_")
-
-    found, tried = [], []
-    labelled = buckets.withColumn("label", F.col("set_id"))
-    for _ in range(STARS + 1):
-        last = len(found) == STARS
-        rank = F.struct(F.col("alone") / F.col("n"), "set_id", *sizes, "label")
-        if not found:
-            centres = labelled.groupBy("token").agg(F.min(rank).alias("c"))
-        else:  # a bucket's centre is the first one not connected to its first centre
-            main = labelled.groupBy("token").agg(F.min(rank).alias("m")).select("token", F.col("m.label").alias("main"))
-            outside = labelled.join(main, "token").where("label <> main")
-            centres = outside.select("token", rank.alias("c")) if last else outside.groupBy("token").agg(F.min(rank).alias("c"))
-        centres = centres.select("token", F.col("c.set_id").alias("c_id"), F.col("c.n").alias("c_n"), F.col("c.alone").alias("c_alone"), F.col("c.label").alias("c_label"))
+        least = to_share(F.col("n"), F.col("c_n"))
+        return (best >= least) & (F.col("place") <= F.col("n") - least) & (F.col("c_place") <= F.col("c_n") - least)
+
+    rank = F.struct((F.col("alone") / F.col("n")).alias("share"), F.col("set_id").alias("id"), *sizes, "label")
+    labelled, found, tried = buckets.withColumn("label", F.col("set_id")), [], []
+    for turn in range(STARS):
+        centres = labelled.groupBy("token").agg(F.min(rank).alias("c"))
+        if turn:  # centres from those that aren't connected to the first one
+            outside = labelled.join(centres.select("token", F.col("c.label").alias("main")), "token").where("label <> main")
+            centres = outside.groupBy("token").agg(F.min(rank).alias("c"))
+        centres = centres.select("token", F.col("c.share").alias("share"), *(F.col(f"c.{x}").alias(f"c_{x}") for x in ("id", *sizes, "label")))
         met = labelled.join(centres, "token").where((F.col("label") != F.col("c_label")) & fits())
-        pairs = met.select(F.least("set_id", "c_id").alias("a"), F.greatest("set_id", "c_id").alias("b")).distinct()
+        pairs = met.select("set_id", "c_id", "share", F.least("set_id", "c_id").alias("a"), F.greatest("set_id", "c_id").alias("b"))
         for t in tried:
             pairs = pairs.join(t, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "jaccard-pairs")
-        if pairs.isEmpty() and last:
-            break
+        best = pairs.groupBy("set_id").agg(F.min(F.struct("share", "c_id", "a", "b")).alias("best")).select("best.a", "best.b")
+        pairs = staged(best.distinct(), "jaccard-pairs")
         tried.append(pairs)
-        found.append(staged(verified(pairs, alive), "jaccard-links"))
-        if last:
-            break
-        every = found[0]
-        for f in found[1:]:
-            every = every.unionByName(f)
-        roots = components(every)
+        found.append(verified(pairs, alive))
+        roots = components(reduce(DataFrame.unionByName, found))
+        before = labelled
         labelled = buckets.join(roots, F.col("set_id") == F.col("node"), "left").withColumn("label", F.coalesce("root", "set_id")).drop("node", "root")
         open_ = labelled.groupBy("token").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 < l1").select("token")
         labelled = staged(labelled.join(open_, "token"), "jaccard-open")
+        discard(spark, *[before] * bool(turn))
         if labelled.isEmpty():
             break
-    every = found[0]
-    for f in found[1:]:
-        every = every.unionByName(f)
-    return every
+    else:
+        found.append(between(labelled, alive))
+    return reduce(DataFrame.unionByName, found)
+
+
+def between(labelled: DataFrame, alive: DataFrame) -> DataFrame:
+    """Links that connect the labels of all pairs in a bucket that are similar.
+
+    Sets that share a bucket, directly or over others, are a family. A family
+    is dealt to blocks of about ``BLOCK_TOKENS`` tokens, and a task compares
+    two blocks: it counts shared tokens by sorted lists, and returns links only
+    between labels that it hasn't connected yet, so a family of any size
+    returns no more rows than it has sets for each pair of blocks.
+    """
+    spark = alive.sparkSession
+    low = labelled.groupBy("token").agg(F.min("set_id").alias("low"))
+    family = components(labelled.join(low, "token").select(F.col("set_id").alias("a"), F.col("low").alias("b")))
+    label = labelled.select("set_id", "label").distinct()
+    rows = family.join(label, F.col("node") == F.col("set_id")).select("set_id", "label", F.col("root").alias("family"))
+    rows = staged(alive.select("set_id", "n", "tokens").join(rows, "set_id"), "jaccard-family")
+    blocks = rows.groupBy("family").agg(F.ceil(F.sum(F.size("tokens")) / BLOCK_TOKENS).alias("blocks")).withColumnRenamed("family", "of")
+    dealt = rows.join(blocks, F.col("family") == F.col("of")).withColumn("block", F.pmod(F.xxhash64("set_id"), "blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = dealt.withColumn("other", other).select(
+        "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set_id", "n", "label", "tokens"
+    )
+
+    def compare(g: pd.DataFrame) -> pd.DataFrame:
+        left = g[g["block"] == g["i"]].sort_values("set_id")
+        right = g[g["block"] == g["j"]].sort_values("set_id")
+        return pd.DataFrame(cross_links(left, right), columns=["a", "b"])
+
+    out = staged(dealt.groupBy("family", "i", "j").applyInPandas(compare, "a long, b long"), "jaccard-links")
+    discard(spark, rows)
+    return out
+
+
+def cross_links(left: pd.DataFrame, right: pd.DataFrame) -> list[tuple[int, int]]:
+    """Similar pairs of two blocks with different labels, as many as connect the labels."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    lengths = [len(t) for t in right["tokens"]]
+    every = np.concatenate([*right["tokens"], np.empty(0, np.int64)]).astype(np.int64)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], owner[order]
+    n, ids, labels = (right[c].to_numpy(dtype=np.int64) for c in ("n", "set_id", "label"))
+    out = []
+    for a, n_a, label, tokens in zip(left["set_id"], left["n"], left["label"], left["tokens"]):
+        t = np.sort(np.asarray(tokens, dtype=np.int64))
+        start, stop = np.searchsorted(every, t), np.searchsorted(every, t, side="right")
+        size = stop - start
+        at = np.repeat(stop - size.cumsum(), size) + np.arange(size.sum())
+        shared = np.bincount(owner[at], minlength=len(ids))
+        for k in np.flatnonzero((100 * shared >= PERCENT * (n_a + n - shared)) & (labels != label)):
+            x, y = root(int(label)), root(int(labels[k]))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                out.append((int(a), int(ids[k])))
+    return out
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -268,10 +359,13 @@ def groups(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     bits = spark.sparkContext.broadcast(bitmap(docs))
-    rows = staged(sets(docs, bits), "jaccard-sets")
-    alive = rows.where("tokens is not null").select("set_id", "n", "alone", "tokens", *(f"p{k}" for k in range(ORDERS))).where("size(p0) > 0")
-    alive = staged(alive.dropDuplicates(["set_id"]), "jaccard-alive")
+    discard(spark)
+    read = staged(sets(docs, bits), "jaccard-sets")
+    rows = staged(read.select("doc_id", "set_id", "n"), "jaccard-ids")
+    alive = staged(read.where("size(p0) > 0").drop("doc_id").dropDuplicates(["set_id"]), "jaccard-alive")
+    discard(spark, read)
     roots = components(links(alive))
+    discard(spark, alive)
     named = rows.select("doc_id", "n", "set_id").join(roots, F.col("set_id") == F.col("node"), "left")
     named = named.withColumn("root", F.coalesce("root", "set_id"))
     least = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least")).withColumnRenamed("root", "of")
