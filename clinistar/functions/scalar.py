@@ -3,17 +3,17 @@
 All of these are built-in Spark expressions, so they stay inside
 whole-stage codegen; none of them is a Python UDF.
 
-Rounding follows the dialect of the reference SQL: ``x * 100.0 / y`` is an
-exact decimal whose scale is the dividend's scale (1) plus a division
-increment of 4, i.e. 5 places, rounded half away from zero; ``ROUND(.., 2)``
-then rounds that 5-place value again. We reproduce it with exact integer
-arithmetic, generated as SQL text for Spark (``div`` on decimal(38,0) is an
-exact integral quotient) and for DuckDB (``//`` on HUGEINT), so the library
-and its SQL oracle evaluate the very same formula.
+``ROUND(x * 100.0 / y, 2)`` of the reference is computed from the exact
+quotient, rounded once, half away from zero, in integer arithmetic (``div`` on
+decimal(38,0) is an exact integral quotient). Only the cancellation rate is
+first rounded to 5 places, the scale of the reference's division, because
+that rounded rate is what it averages.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 CANCELLED = "Cancelled"
 # Symptoms are 1-3 entries joined by a comma and a space.
 SYMPTOM_SEPARATOR = ", "
-# Places of the exact quotient `x * 100.0 / y` (dividend scale 1 + increment 4).
-QUOTIENT_PLACES = 5
 
 
 def _dialect(dialect: str) -> tuple[str, str]:
@@ -48,21 +46,9 @@ def percent_units_sql(num: str, den: str, places: int, dialect: str = "spark") -
     )
 
 
-def round_units_sql(units: str, from_places: int, to_places: int, dialect: str = "spark") -> str:
-    """Round a signed count of 10**-from_places half away from zero to
-    10**-to_places units."""
-    wide, div = _dialect(dialect)
-    step = 10 ** (from_places - to_places)
-    a = f"CAST(abs({units}) AS {wide})"
-    q = f"(({a} + {step // 2}) {div} {step})"
-    return f"(CASE WHEN ({units}) < 0 THEN -{q} ELSE {q} END)"
-
-
 def pct_round2_sql(num: str, den: str, dialect: str = "spark") -> str:
     """``ROUND(num * 100.0 / den, 2)`` of the reference, as DOUBLE."""
-    units5 = percent_units_sql(num, den, QUOTIENT_PLACES, dialect)
-    units2 = round_units_sql(units5, QUOTIENT_PLACES, 2, dialect)
-    return f"(CAST({units2} AS DOUBLE) / 100.0)"
+    return f"(CAST({percent_units_sql(num, den, 2, dialect)} AS DOUBLE) / 100.0)"
 
 
 def pct_round2(num: str, den: str) -> Column:
@@ -108,8 +94,23 @@ def normalized_symptoms(col: str, mode: str) -> Column:
     raise ValueError(f"unknown symptom mode {mode!r}")
 
 
-def seeded_bucket(key: Column, buckets: int = 100, seed: str = "") -> Column:
-    """Repeatable pseudo-random bucket in [0, buckets): first 32 bits of
-    md5(seed || key) modulo ``buckets``. Same value in DuckDB."""
+#: A seeded draw has this many bits.
+DRAW_BITS = 60
+
+
+def seeded_draw(key: Column, seed: str = "") -> Column:
+    """Repeatable pseudo-random number in [0, 2**60): the first 60 bits of
+    md5(seed || key). Same value in DuckDB."""
     text = F.concat(F.lit(seed), key.cast("string"))
-    return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"), F.lit(buckets))
+    return F.conv(F.substring(F.md5(text), 1, DRAW_BITS // 4), 16, 10).cast("long")
+
+
+def seeded_bucket(key: Column, buckets: int = 100, seed: str = "") -> Column:
+    """The seeded draw modulo ``buckets``."""
+    return F.pmod(seeded_draw(key, seed), F.lit(buckets))
+
+
+def draw_edge(share: float | str) -> int:
+    """Draws below this are the given share of all draws; the share is taken
+    as the decimal it is written as."""
+    return int(Fraction(str(share)) * 2**DRAW_BITS)

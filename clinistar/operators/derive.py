@@ -9,12 +9,16 @@ that has md5. Each function is a column expression or a lazy transform.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinistar.functions.keys import dense_keys
-from clinistar.functions.scalar import seeded_bucket
+from clinistar.functions.scalar import draw_edge, seeded_bucket, seeded_draw
+
+#: Parts that a key's items are ranked in before they meet.
+SAMPLE_PARTS = 32
 
 # Fixed values of the reference generator.
 # Appointment status weights.
@@ -35,29 +39,37 @@ def _key(c: str | Column) -> Column:
 
 # E1 -----------------------------------------------------------------------
 def weighted_bucket(key: str | Column, weights: Sequence[tuple[str, float]], seed: str = "") -> Column:
-    """Category drawn with the given weights: bucket in [0, 100) of
-    md5(seed || key), cut at the cumulative weights (in percent)."""
-    b = seeded_bucket(_key(key), 100, seed)
+    """Category drawn with the given weights: the 60-bit draw of
+    md5(seed || key), cut at the exact cumulative weights."""
+    draw = seeded_draw(_key(key), seed)
     expr = F.lit(weights[-1][0])
-    edges, acc = [], 0.0
+    edges, acc = [], Fraction(0)
     for label, w in weights[:-1]:
-        acc += w
-        edges.append((round(acc * 100), label))
+        acc += Fraction(str(w))
+        edges.append((draw_edge(acc), label))
     for edge, label in reversed(edges):
-        expr = F.when(b < edge, F.lit(label)).otherwise(expr)
+        expr = F.when(draw < edge, F.lit(label)).otherwise(expr)
     return expr
 
 
 # E2 -----------------------------------------------------------------------
-def sample_k_per_key(df: DataFrame, key: str, item: str, k: int, seed: str = "",
+def sample_k_per_key(df: DataFrame, key: str, item: str, k: int | Column, seed: str = "",
                      rank_col: str = "SampleRank") -> DataFrame:
-    """k distinct items per key without replacement: the k items with the
-    smallest md5(seed || item). ``row_number() <= k`` lets Spark limit each
-    key's rows inside every map task before the shuffle (window group limit),
-    so a key with a huge share of the rows sends at most k rows per task."""
-    order = F.md5(F.concat(F.lit(seed), F.col(item).cast("string")))
-    w = Window.partitionBy(key).orderBy(order, F.col(item))
-    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
+    """k distinct items per key without replacement, drawn for each key on its
+    own: the k items with the smallest md5(seed | key | item). ``k`` is a
+    number or a column of ``df`` that is constant per key.
+
+    A key is first cut to k rows in each of ``SAMPLE_PARTS`` parts, so a key
+    with a huge share of the rows, or a large k, is ranked in parts; only the
+    parts' winners meet.
+    """
+    order = [F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string"), F.col(item).cast("string"))), F.col(item)]
+    limit = k if isinstance(k, Column) else F.lit(k)
+    part = F.pmod(F.xxhash64(key, item), F.lit(SAMPLE_PARTS))
+    first = Window.partitionBy(key, "_part").orderBy(*order)
+    first_cut = df.withColumn("_part", part).withColumn(rank_col, F.row_number().over(first)).where(F.col(rank_col) <= limit)
+    w = Window.partitionBy(key).orderBy(*order)
+    return first_cut.drop("_part").withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= limit)
 
 
 # E3 -----------------------------------------------------------------------
@@ -89,10 +101,8 @@ def assign_foreign_key(
 
 # E5 -----------------------------------------------------------------------
 def null_out_fraction(col: str, fraction: float, key: str | Column, seed: str = "") -> Column:
-    """``col``, or NULL for a ``fraction`` of the rows (by md5 bucket)."""
-    return F.when(seeded_bucket(_key(key), 100, seed) < round(fraction * 100), F.lit(None)).otherwise(
-        F.col(col)
-    )
+    """``col``, or NULL for a ``fraction`` of the rows (by seeded draw)."""
+    return F.when(seeded_draw(_key(key), seed) < draw_edge(fraction), F.lit(None)).otherwise(F.col(col))
 
 
 # E6 -----------------------------------------------------------------------
@@ -133,11 +143,11 @@ def capitalize(col: str | Column) -> Column:
 
 
 # E8 -----------------------------------------------------------------------
-def apportion(shares: DataFrame, total: int, category: str, share: str,
+def apportion(shares: DataFrame, total: int | Column, category: str, share: str,
               index_col: str = "ItemIndex") -> DataFrame:
     """floor(total * share) rows per category (shares as DOUBLE, like the
     generator's float arithmetic), numbered 1..n within the category."""
-    n = F.floor(F.lit(total).cast("double") * F.col(share).cast("double")).cast("long")
+    n = F.floor((total if isinstance(total, Column) else F.lit(total)).cast("double") * F.col(share).cast("double")).cast("long")
     return fan_out(shares.withColumn("_n", n), "_n", index_col).drop("_n")
 
 

@@ -5,13 +5,11 @@ and runs these strings next to our Spark queries at sf0.01. Each string
 rebuilds the proxy binding (see ``clinistar.sources.proxy``) in plain SQL and
 states the query the way the reference writes it - window functions in the
 same SELECT, ``DENSE_RANK`` for surrogate keys, ``LAG``/``RANK``/``SUM OVER``
-- so it shares no plan with the Spark side. Only the exact-rounding formula
-is shared, as text, because it *is* the specification of the numbers.
+- so it shares no plan and no rounding formula with the Spark side.
 """
 
 from __future__ import annotations
 
-from clinistar.functions.scalar import pct_round2_sql, percent_units_sql
 from clinistar.operators.generic import rolling_mean_sql
 
 # Parameters of the registered proxy queries.
@@ -21,7 +19,15 @@ TOP_N = 10
 
 
 def pct(num: str, den: str) -> str:
-    return pct_round2_sql(num, den, "duckdb")
+    """num * 100 / den, rounded once to 2 places, half away from zero."""
+    return (
+        f"(CASE WHEN ({den}) <> 0 THEN CAST(sign({num}) * sign({den}) AS DOUBLE) * "
+        f"CAST((abs({num})::HUGEINT * 20000 + abs({den})::HUGEINT) // (abs({den})::HUGEINT * 2) AS DOUBLE) / 100.0 END)"
+    )
+
+
+#: c * 100 / t of two counts in units of 1e-5, rounded half up.
+RATE5 = "(CASE WHEN t <> 0 THEN (c::HUGEINT * 20000000 + t) // (t::HUGEINT * 2) END)"
 
 
 RANGE = f"f.AppointmentDateTime BETWEEN DATE '{START}' AND DATE '{END}'"
@@ -158,7 +164,7 @@ FROM w ORDER BY DiagnosisMonth, PairCount DESC"""
 
 
 def q4(in_range: bool = False) -> str:
-    rate5 = percent_units_sql("c", "t", 5, "duckdb")
+    rate5 = RATE5
     where = f"WHERE {RANGE}" if in_range else ""
     return _with(FACT, f"""
 m AS (
@@ -272,7 +278,7 @@ FROM w2 WHERE PreviousYearCount IS NOT NULL"""
 
 def q4_calendar() -> str:
     """Q4 with a calendar frame: this month and the two calendar months before."""
-    rate5 = percent_units_sql("c", "t", 5, "duckdb")
+    rate5 = RATE5
     return _with(FACT, f"""
 m AS (
   SELECT strftime(AppointmentDateTime, '%Y-%m') AS AppointmentMonth,
@@ -502,23 +508,37 @@ def quality_sql() -> dict[str, str]:
 # seeded derivations
 # ---------------------------------------------------------------------------
 def bucket(key: str, n: int | str, seed: str = "") -> str:
-    """md5(seed || key) -> first 32 bits -> mod n, as in ``seeded_bucket``."""
-    return f"(('0x' || substr(md5('{seed}' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT % {n})"
+    """md5(seed || key) -> first 60 bits -> mod n."""
+    return f"({draw(key, seed)} % {n})"
+
+
+def draw(key: str, seed: str = "") -> str:
+    return f"('0x' || substr(md5('{seed}' || CAST({key} AS VARCHAR)), 1, 15))::BIGINT"
 
 
 def derive_sql() -> dict[str, str]:
-    b = bucket("o_orderkey", 100, "status")
+    d, fine, whole = draw("o_orderkey", "status"), draw("o_orderkey", "fine"), 2**60
     return {
         "weighted_bucket": f"""
-SELECT o_orderkey, CASE WHEN {b} < 10 THEN 'Scheduled' WHEN {b} < 90 THEN 'Completed' ELSE 'Cancelled' END
-       AS DrawnStatus
+SELECT o_orderkey, CASE WHEN {d} < {whole // 10} THEN 'Scheduled' WHEN {d} < {whole * 9 // 10} THEN 'Completed'
+       ELSE 'Cancelled' END AS DrawnStatus
+FROM orders""",
+        "weighted_bucket_fine": f"""
+SELECT o_orderkey, CASE WHEN {fine} < {whole * 4 // 1000} THEN 'Rare' WHEN {fine} < {whole * 129 // 1000} THEN 'Some'
+       ELSE 'Most' END AS Drawn
 FROM orders""",
         "sample_k_per_key": """
 SELECT * FROM (
   SELECT o_custkey, o_orderkey,
-         CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY md5('sample' || CAST(o_orderkey AS VARCHAR)),
+         CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY md5('sample|' || o_custkey || '|' || o_orderkey),
                                  o_orderkey) AS INTEGER) AS SampleRank
   FROM orders) WHERE SampleRank <= 2""",
+        "sample_k_per_key_column": """
+SELECT * FROM (
+  SELECT l_suppkey, l_partkey,
+         CAST(ROW_NUMBER() OVER (PARTITION BY l_suppkey ORDER BY md5('allergy|' || l_suppkey || '|' || l_partkey),
+                                 l_partkey) AS INTEGER) AS SampleRank
+  FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem)) WHERE SampleRank <= l_suppkey % 4""",
         "fan_out": """
 SELECT o_orderkey, CAST(i AS BIGINT) AS ChildIndex
 FROM orders, LATERAL (SELECT unnest(range(1, ((o_orderkey % 4) + 4) % 4 + 1)) AS i)""",
@@ -529,8 +549,11 @@ WITH s AS (SELECT s_suppkey, DENSE_RANK() OVER (ORDER BY s_suppkey) AS no FROM (
 SELECT o.o_orderkey, s.s_suppkey AS AssignedDoctorID
 FROM orders o, n LEFT JOIN s ON s.no = {bucket('o.o_orderkey', 'n.cnt', 'doctor')} + 1""",
         "null_out_fraction": f"""
-SELECT o_orderkey, CASE WHEN {bucket('o_orderkey', 100, 'notes')} < 30 THEN NULL ELSE o_orderpriority END
+SELECT o_orderkey, CASE WHEN {draw('o_orderkey', 'notes')} < {whole * 3 // 10} THEN NULL ELSE o_orderpriority END
        AS Notes
+FROM orders""",
+        "null_out_fraction_fine": f"""
+SELECT o_orderkey, CASE WHEN {fine} < {whole * 4 // 1000} THEN NULL ELSE o_orderpriority END AS Notes
 FROM orders""",
         "lookup_default": """
 SELECT c.c_custkey, coalesce(n.n_name, 'Unknown') AS NationName
@@ -543,13 +566,10 @@ FROM orders""",
 SELECT p_partkey, upper(substr(p_name, 1, 1)) || lower(substr(p_name, 2)) AS MedicationName FROM part""",
         "format_code": "SELECT s_suppkey, printf('MD%06d', s_suppkey) AS License FROM supplier",
         "apportion": """
-WITH shares(AllergyName, Share) AS (VALUES
-  ('Peanuts', 0.15::DOUBLE), ('Shellfish', 0.12::DOUBLE), ('Penicillin', 0.1::DOUBLE),
-  ('Latex', 0.08::DOUBLE), ('Eggs', 0.07::DOUBLE), ('Milk', 0.06::DOUBLE), ('Tree Nuts', 0.05::DOUBLE),
-  ('Pollen', 0.04::DOUBLE), ('Dust Mites', 0.03::DOUBLE), ('Other', 0.2::DOUBLE)),
-t AS (SELECT COUNT(*)::DOUBLE AS total FROM supplier)
-SELECT AllergyName, CAST(i AS BIGINT) AS ItemIndex
-FROM shares, t, LATERAL (SELECT unnest(range(1, CAST(floor(t.total * Share) AS BIGINT) + 1)) AS i)""",
+WITH per AS (SELECT o_orderpriority, COUNT(*) AS n FROM orders GROUP BY 1),
+t AS (SELECT SUM(n)::DOUBLE AS total FROM per)
+SELECT o_orderpriority, CAST(i AS BIGINT) AS ItemIndex
+FROM per, t, LATERAL (SELECT unnest(range(1, CAST(floor(t.total * (n::DOUBLE / t.total)) AS BIGINT) + 1)) AS i)""",
         "clamp_range": """
 SELECT * FROM (
   SELECT l.l_orderkey, l.l_linenumber,
@@ -582,7 +602,7 @@ per_user AS (
 
 
 def generic_sql() -> dict[str, str]:
-    rate5 = percent_units_sql("c", "t", 5, "duckdb")
+    rate5 = RATE5
     return {
         "period_change": _with(DAILY) + f"""
 SELECT event_type, EventDay, EventCount, PreviousCount,

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clinistar import oracle
@@ -170,14 +170,25 @@ def quality_queries() -> dict[str, Query]:
 # ---------------------------------------------------------------------------
 # E: seeded derivation steps on the proxy tables
 # ---------------------------------------------------------------------------
+#: Shares finer than a percent.
+FINE_WEIGHTS = (("Rare", 0.004), ("Some", 0.125), ("Most", 0.871))
+
+
 def derive_queries() -> dict[str, Query]:
     def orders(spark, sf_dir):
         return _t(spark, sf_dir, "orders")
 
     def shares(spark, sf_dir):
-        total = _t(spark, sf_dir, "supplier").count()
-        cats = spark.createDataFrame(list(E.ALLERGY_SHARES), "AllergyName string, Share double")
-        return E.apportion(cats, total, "AllergyName", "Share").select("AllergyName", "ItemIndex")
+        # one item for every order, apportioned by each priority's share of them
+        per = orders(spark, sf_dir).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+        per = per.withColumn("Total", F.sum("n").over(Window.partitionBy()))
+        per = per.withColumn("Share", F.col("n").cast("double") / F.col("Total").cast("double"))
+        return E.apportion(per, F.col("Total"), "o_orderpriority", "Share").select("o_orderpriority", "ItemIndex")
+
+    def shared_items(spark, sf_dir):
+        # many suppliers draw from the same parts, none to three each
+        lines = _t(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").distinct()
+        return E.sample_k_per_key(lines, "l_suppkey", "l_partkey", F.pmod("l_suppkey", F.lit(4)), "allergy")
 
     def clamp(spark, sf_dir):
         lo = _t(spark, sf_dir, "lineitem").join(
@@ -197,6 +208,10 @@ def derive_queries() -> dict[str, Query]:
         "sample_k_per_key": lambda s, d: E.sample_k_per_key(
             orders(s, d).select("o_custkey", "o_orderkey"), "o_custkey", "o_orderkey", 2, "sample"
         ),
+        "weighted_bucket_fine": lambda s, d: orders(s, d).select(
+            "o_orderkey", E.weighted_bucket("o_orderkey", FINE_WEIGHTS, "fine").alias("Drawn")
+        ),
+        "sample_k_per_key_column": shared_items,
         "fan_out": lambda s, d: E.fan_out(
             orders(s, d).select("o_orderkey"), F.pmod("o_orderkey", F.lit(4))
         ),
@@ -207,6 +222,9 @@ def derive_queries() -> dict[str, Query]:
         "null_out_fraction": lambda s, d: orders(s, d).select(
             "o_orderkey", E.null_out_fraction("o_orderpriority", 0.3, "o_orderkey", "notes").alias("Notes")
         ),
+        "null_out_fraction_fine": lambda s, d: orders(s, d).select(
+            "o_orderkey", E.null_out_fraction("o_orderpriority", 0.004, "o_orderkey", "fine").alias("Notes")
+        ),
         "lookup_default": lambda s, d: E.lookup_default(
             _t(s, d, "customer").select("c_custkey", "c_nationkey"), "c_nationkey",
             _t(s, d, "nation"), "Unknown", "NationName", "n_nationkey", "n_name",
