@@ -19,6 +19,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from clinistar.functions.scalar import pct_round2_sql, percent_units_sql
 
@@ -67,8 +68,11 @@ def rank_in_period(
     distinct values per period, since distinct positive counts summing to N
     are that few - rank the histogram, and join the rank back. A period with
     millions of entities is thus never sorted in one task. ``k`` keeps ranks
-    <= k (the top-k report).
+    <= k (the top-k report). That bound needs a whole-number measure, so any
+    other type is refused.
     """
+    if not isinstance(df.schema[measure].dataType, IntegralType):
+        raise TypeError(f"rank_in_period ranks counts; {measure} is {df.schema[measure].dataType.simpleString()}")
     hist = df.groupBy(period, measure).agg(F.count(F.lit(1)).alias("_rows"))
     above = Window.partitionBy(period).orderBy(F.col(measure).desc()).rowsBetween(
         Window.unboundedPreceding, -1

@@ -228,7 +228,7 @@ def test_scale_conf_sizes_partitions_by_input():
     from clinistar.session import scale_conf
 
     tb100 = scale_conf(100 * 1024**4)
-    assert tb100["spark.sql.shuffle.partitions"] == "200000"          # capped
+    assert tb100["spark.sql.shuffle.partitions"] == "819200"          # no cap: partitions keep their size
     assert int(scale_conf(1024**4)["spark.sql.shuffle.partitions"]) == 8192
     assert scale_conf(10 * 1024**2)["spark.sql.shuffle.partitions"] == "8"   # floor for tiny inputs
     assert tb100["spark.sql.autoBroadcastJoinThreshold"] == str(64 * 1024**2)

@@ -12,11 +12,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from clinistar import registry
 from conftest import SF0001
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
 
 
 def _norm(v):
@@ -39,6 +40,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(SQL) == set(QUERIES)
+    assert QUERIES.keys() <= entry.queries().keys() and SQL.items() <= entry.oracle_sql().items()
 
 
 def test_entry_smoke(spark):

@@ -13,16 +13,17 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as entry
+from clinistar import registry
 from conftest import SF0001
 
-QUERIES = entry.queries()
+QUERIES = registry.queries()
 
 # key prefix / key -> why the single-partition input is bounded
 SINGLE_PARTITION_OK = {
     "rolling_cancellations": "window over the monthly aggregate: one row per calendar month",
     "sql_rolling_cancellations": "same, SQL table function",
     "rolling_rate": "window over the daily aggregate: one row per day",
+    "apportion": "window over the categories: one row each",
     "quality_report": "global counts: one partial row per task",
     "assign_foreign_key": "dense parent numbering: one row per range partition",
     "snowflake": "dense surrogate keys of the snowflake chains: one row per range partition",
