@@ -167,8 +167,26 @@ FROM Ranked WHERE rn <= top_n""",
 }
 
 
+def procedures(kind: str) -> dict[str, str]:
+    """The procedures of a model. On the snowflake, the doctors' report also
+    returns the specialty."""
+    out = dict(PROCEDURES)
+    if kind == "snowflake":
+        out["GetTopDoctorsByGrowthRate"] = (
+            out["GetTopDoctorsByGrowthRate"]
+            .replace("DepartmentName STRING,", "DepartmentName STRING, Specialty STRING,")
+            .replace("d.DepartmentName", "d.DepartmentName, d.Specialty")
+            .replace(" LastName, DepartmentName", " LastName, DepartmentName, Specialty")
+        )
+    return out
+
+
 def register_sql(spark: SparkSession, wh: Warehouse) -> None:
-    """Register the warehouse, lookups, views and procedures in ``spark``."""
+    """Register the warehouse, lookups, views and procedures in ``spark``.
+
+    A table function's rows have no order; say ``SELECT * FROM
+    GetTrendingDiagnoses(...) ORDER BY ...`` for the reference's order.
+    """
     for name, df in wh.tables.items():
         if name == "Fact_PatientInteractions" and YEAR_PARTITION not in df.columns:
             df = df.withColumn(YEAR_PARTITION, F.year("AppointmentDateTime"))
@@ -179,5 +197,5 @@ def register_sql(spark: SparkSession, wh: Warehouse) -> None:
     wh.patients().createOrReplaceTempView("PatientLookup")
     A.appointment_summary(wh).createOrReplaceTempView("AppointmentSummary")
     A.diagnosis_treatment_summary(wh).createOrReplaceTempView("DiagnosisTreatmentSummary")
-    for ddl in PROCEDURES.values():
+    for ddl in procedures(wh.kind).values():
         spark.sql(ddl)

@@ -657,6 +657,10 @@ def sql_surface_sql() -> dict[str, str]:
         "sql_symptom_diagnosis": q3(STAR_DIMS),
         "sql_rolling_cancellations": q4(in_range=True),
         "sql_top_doctors": q5(STAR_DIMS, False),
+        "sql_medication_trends_snowflake": q2(SNOW_DIMS),
+        "sql_symptom_diagnosis_snowflake": q3(SNOW_DIMS),
+        "sql_rolling_cancellations_snowflake": q4(in_range=True),
+        "sql_top_doctors_snowflake": q5(SNOW_DIMS, True),
         "sql_trending_diagnoses_top": q1(STAR_DIMS).replace(
             "ORDER BY YoYChangePercentage DESC",
             f"ORDER BY YoYChangePercentage DESC, DiagnosisName, ICD10Code, DiagnosisYear LIMIT {TOP_N}",

@@ -337,6 +337,10 @@ def sql_queries() -> dict[str, Query]:
         "sql_symptom_diagnosis": via_sql("star", f"SELECT * FROM GetSymptomDiagnosisCorrelation({rng})"),
         "sql_rolling_cancellations": via_sql("star", f"SELECT * FROM GetRollingAvgCancellations({rng})"),
         "sql_top_doctors": via_sql("star", f"SELECT * FROM GetTopDoctorsByGrowthRate({rng}, {TOP_N})"),
+        "sql_medication_trends_snowflake": via_sql("snowflake", f"SELECT * FROM GetMedicationPrescriptionTrends({rng})"),
+        "sql_symptom_diagnosis_snowflake": via_sql("snowflake", f"SELECT * FROM GetSymptomDiagnosisCorrelation({rng})"),
+        "sql_rolling_cancellations_snowflake": via_sql("snowflake", f"SELECT * FROM GetRollingAvgCancellations({rng})"),
+        "sql_top_doctors_snowflake": via_sql("snowflake", f"SELECT * FROM GetTopDoctorsByGrowthRate({rng}, {TOP_N})"),
         "sql_trending_diagnoses_top": _parameterized_top_diagnoses,
         "sql_appointment_summary": via_sql("star", "SELECT * FROM AppointmentSummary"),
         "sql_diagnosis_treatment_summary": via_sql("snowflake", "SELECT * FROM DiagnosisTreatmentSummary"),
