@@ -15,7 +15,15 @@ ASCII_BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Rows and bytes that Spark hands to a Python worker at once, at most. Texts
+#: can be long: the defaults, 10,000 rows or 64 MB, are several times that in a
+#: worker's memory.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -36,25 +44,25 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{base}/table"
 
 
-def staged(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as a Parquet table in the shared folder and read back.
 
     Later steps read the table, so a lost executor repeats its own tasks only,
     and every use sees the same rows.
     """
     path = scratch(df.sparkSession, label)
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_in = path.rsplit("/", 1)[0]
+    return out
 
 
 def discard(spark: SparkSession, *tables: DataFrame) -> None:
     """Remove staged tables that nothing will read again, and let Spark's
     cleaner remove the shuffle files of plans that are no longer referenced."""
     hadoop = spark._jvm.org.apache.hadoop.fs
-    folders = {f.rsplit("/", 1)[0] for t in tables for f in t.inputFiles()[:1]}
-    for f in folders:
-        path = hadoop.Path(f)
+    for t in tables:
+        path = hadoop.Path(t.staged_in)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     gc.collect()
     spark._jvm.System.gc()

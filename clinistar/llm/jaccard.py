@@ -52,7 +52,7 @@ BITMAP_BITS, BITS_A_TOKEN = 1 << 28, 16
 #: Tokens counted together, about.
 RANGE_TOKENS = 1 << 21
 #: Tokens that a task gathers before it sends them on.
-GATHERED = 1 << 21
+GATHERED = 1 << 19
 STARS = 2
 #: Tokens of a block of sets that is compared with another.
 BLOCK_TOKENS = 1 << 20
@@ -64,7 +64,7 @@ ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 300_000:
+        if len(self) >= 100_000:
             self.clear()
         got = self[word] = xxhash.xxh64_intdigest(word)
         return got
@@ -310,6 +310,8 @@ def between(labelled: DataFrame, alive: DataFrame) -> DataFrame:
         right = g[g["block"] == g["j"]].sort_values("set_id")
         return pd.DataFrame(cross_links(left, right), columns=["a", "b"])
 
+    # Pairs of blocks are few and heavy: spread them, whatever their bytes.
+    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "family", "i", "j")
     out = staged(dealt.groupBy("family", "i", "j").applyInPandas(compare, "a long, b long"), "jaccard-links")
     discard(spark, rows)
     return out

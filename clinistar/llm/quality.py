@@ -82,21 +82,28 @@ def rates() -> dict[str, Column]:
     return {name: F.coalesce(F.expr(f"try_divide({r.replace(' / ', ', ')})"), F.lit(0.0)) for name, r in RATES.items()}
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
-    """``docs`` with the rule statistics of its ``text``, and ``base_failed``."""
-    text = F.coalesce("text", F.lit(""))
-    without = lambda signs: F.translate(text, signs, "")
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, ASCII_BLANKS, "") != "")
-    return docs.drop(*STATS, "base_failed").withColumns({
-        "n_words": word_count(F.col("text")),
+def counted(text: Column) -> dict[str, Column]:
+    """The rule statistics that built-in functions count."""
+    whole = F.coalesce(text, F.lit(""))
+    without = lambda signs: F.translate(whole, signs, "")
+    lines = F.filter(F.split(whole, "\n"), lambda x: F.translate(x, ASCII_BLANKS, "") != "")
+    return {
+        "n_words": word_count(text),
         "word_chars": F.length(without(ASCII_BLANKS)).cast("long"),
-        "n_symbols": (F.length(text) - F.length(without(SYMBOLS))).cast("long"),
+        "n_symbols": (F.length(whole) - F.length(without(SYMBOLS))).cast("long"),
         "n_lines": F.size(lines).cast("long"),
         "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
-        "n_repeat_words": n_repeat_words(text),
-    }).withColumn(
-        "base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    )
+    }
+
+
+def base_failed(n_words, n_repeat_words):
+    return (n_words < LEAST_WORDS) | (100 * n_repeat_words > MOST_REPEATED * n_words)
+
+
+def with_statistics(docs: DataFrame) -> DataFrame:
+    """``docs`` with the rule statistics of its ``text``, and ``base_failed``."""
+    found = docs.drop(*STATS, "base_failed").withColumns(counted(F.col("text")) | {"n_repeat_words": n_repeat_words(F.col("text"))})
+    return found.withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
 
 
 def _usual_path(n: int) -> float:
@@ -153,16 +160,21 @@ class Model:
     thresholds: list[int]
 
 
+def bins_of(forests: list[list[np.ndarray]], columns: list[pd.Series]) -> np.ndarray:
+    """The bin of each forest's score, from the columns of ``RATES``."""
+    names = list(RATES)
+    x = np.column_stack([np.asarray(c, dtype=np.float64) for c in columns])
+    scores = [anomaly(f, x[:, [names.index(r) for r in g]]) for f, g in zip(forests, GROUPS)]
+    return np.minimum(np.column_stack(scores) * BINS, BINS - 1).astype(np.int32)
+
+
 def score_bins(forests: list[list[np.ndarray]]) -> Column:
     """The bin of each forest's score, as an array column."""
 
     @F.pandas_udf("array<int>")
     def bins(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        names = list(RATES)
         for columns in batches:
-            x = np.column_stack([c.to_numpy(dtype=np.float64) for c in columns])
-            scores = [anomaly(f, x[:, [names.index(r) for r in g]]) for f, g in zip(forests, GROUPS)]
-            yield pd.Series([*np.minimum(np.column_stack(scores) * BINS, BINS - 1).astype(np.int32)])
+            yield pd.Series([*bins_of(forests, columns)])
 
     return bins(*rates().values())
 
@@ -222,11 +234,26 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, whole."""
+    """The rows of ``docs`` that are kept, whole. The texts are read twice and
+    never shuffled: once for the model, once, in one pass, for the verdicts."""
     statistics = staged(with_statistics(docs.select("doc_id", "text")).drop("text"), "quality-statistics")
     model = fit(statistics, labels)
-    inside = docs.select(F.struct(*docs.columns).alias("document"), "doc_id", "text")
-    return judged(with_statistics(inside), model).where("kept").select("document.*")
+
+    @F.pandas_udf("boolean")
+    def kept(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for text, *columns in batches:
+            seen = pd.DataFrame(dict(zip(names, columns)))
+            seen["n_repeat_words"] = [repeated_words(t) for t in text]
+            of = {k: v.split(" / ") for k, v in RATES.items()}
+            rate = [(seen[a] / seen[b].where(seen[b] > 0)).fillna(0.0) for a, b in of.values()]
+            odd = (bins_of(model.forests, rate) >= np.array(model.thresholds)).any(axis=1)
+            yield ~base_failed(seen["n_words"], seen["n_repeat_words"]) & ~odd
+
+    text = F.col("document.text")
+    statistics_of = counted(text)
+    names = list(statistics_of)
+    inside = docs.select(F.struct(*docs.columns).alias("document"))
+    return inside.where(kept(text, *statistics_of.values())).select("document.*")
 
 
 def op8_quality(spark, sf_dir) -> DataFrame:

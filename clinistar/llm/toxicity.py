@@ -143,7 +143,7 @@ class Model:
     def read(self, word: str) -> tuple[str, float]:
         got = self.known.get(word)
         if got is None:
-            if len(self.known) >= 200_000:
+            if len(self.known) >= 50_000:
                 self.known.clear()
             got = self.known[word] = classes(word, self.patterns)
         return got
