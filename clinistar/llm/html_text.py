@@ -8,6 +8,8 @@ remains is the host's wrapper, an expression without alternatives. Its slots
 carry how many pages fill them, with how much text, how much of it in links,
 and whether the text is always the same; from that, and from the containers
 around it, a slot is main text or not. Each page is then read by its wrapper.
+Whether the article decides is up to each page: one with text in an article
+gives that text, and its figures stay out of the choice for the others.
 
 A host may hold a third of all pages, so no host is gathered in one task.
 Every task folds its own pages into one wrapper per host; wrappers are merged
@@ -24,6 +26,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 import xxhash
@@ -338,12 +341,22 @@ def is_boilerplate(path: str) -> bool:
     return False
 
 
+@lru_cache(4096)
+def is_article(path: str) -> bool:
+    """Whether a slot is the main text of its page, whatever else the page holds."""
+    return in_content(path) and not is_boilerplate(path)
+
+
+def uncounted(nodes: list[Node]) -> None:
+    """Tokens of a page with an article: they align like others, but have no figures."""
+    for n in nodes:
+        n.pages = n.chars = n.linked = 0
+        uncounted(n.body or [])
+
+
 def main_paths(wrapper: list[Node]) -> set[str]:
-    """The places of a host's pages whose slots are main text."""
-    every = [s for s in slots(wrapper) if not is_boilerplate(s.path)]
-    content = {s.path for s in every if in_content(s.path)}
-    if content:
-        return content
+    """The places of main text on a host's pages without an article."""
+    every = [s for s in slots(wrapper) if s.pages and not is_boilerplate(s.path)]
     varied = [s for s in every if not (s.same and s.pages >= TEMPLATE_PAGES) and 2 * s.linked <= s.chars] or every
     # Without an article: go down while one container holds most of the text.
     prefix = ""
@@ -369,11 +382,15 @@ class Wrappers:
         self.seen: dict[tuple, list[Node]] = {}
 
     def add(self, host: str, page: str) -> None:
-        expression = fold(tokens(page)[0])
+        stream = tokens(page)[0]
+        article = any(n.path is not None and is_article(n.path) for n in stream)
+        expression = fold(stream)
+        if article:
+            uncounted(expression)
         keys = (host, *(n.key for n in expression))
         if (known := self.seen.get(keys)) is not None:  # a page of a kind met before: only its figures are new
             for a, b in zip(known, expression):
-                a.pages += 1
+                a.pages += b.pages
                 absorb(a, b)
                 a.blocks = []
             return
@@ -427,9 +444,10 @@ class Reader:
         self.main = main_paths(self.wrapper)
         self.known: dict[tuple, list[bool]] = {}
 
-    def wanted(self, path: str, in_wrapper: bool) -> bool:
-        """A slot that the wrapper doesn't have is judged by its containers."""
-        return path in self.main or (not in_wrapper and in_content(path) and not is_boilerplate(path))
+    def wanted(self, paths: list[str]) -> list[bool]:
+        """Which of a page's slots are main text: those of its article if it has one."""
+        article = [is_article(p) for p in paths]
+        return article if any(article) else [p in self.main for p in paths]
 
     def text(self, page: str) -> str:
         stream, blocks = tokens(page)
@@ -437,7 +455,7 @@ class Reader:
         keys = tuple(n.key for n in expression)
         flags = self.known.get(keys)
         if flags is None:
-            flags = [self.wanted(s.path, w is not None) for w, p in align(self.wrapper, expression) if p is not None for s in slots([p])]
+            flags = self.wanted([s.path for _, p in align(self.wrapper, expression) if p is not None for s in slots([p])])
             if len(self.known) >= 1000:
                 self.known.clear()
             self.known[keys] = flags

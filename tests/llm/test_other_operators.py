@@ -135,6 +135,14 @@ def test_main_text_without_an_article(spark):
     assert got[1] == "\n".join(f"Sentence {k} of page 1 says something of its own." for k in range(3))
 
 
+def test_articles_and_other_templates_on_one_host(spark):
+    article = lambda i: f'<div class="lead">Lead {"long " * 200}{i}</div><article><p>Article {i}</p></article>'
+    other = lambda i: f'<div class="lead">Lead {i}</div><div class="content"><p>Content {i} is told in a text of its own.</p></div>'
+    for host in ("http://h/", None):
+        got = read(spark, [(i, host, page(article(i) if i % 2 else other(i))) for i in range(12)])
+        assert got == {i: f"Article {i}" if i % 2 else f"Content {i} is told in a text of its own." for i in range(12)}
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 3000 + "<p>deep" + "</div>" * 3000
     data = [(1, None, None), (2, "not a url", ""), (3, "http://h/", "plain text only"), (4, "http://h/", '<a href="'), (5, "http://h/", "<article><p>cut off &am"),
