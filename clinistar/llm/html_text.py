@@ -7,7 +7,8 @@ lack becomes optional ``(...)?``, and a text that differs becomes a slot. What
 remains is the host's wrapper, an expression without alternatives. Its slots
 carry how many pages fill them, with how much text, how much of it in links,
 and whether the text is always the same; from that, and from the containers
-around it, a slot is main text or not. Each page is then read by its wrapper.
+around it, a slot is main text or not. Each page is then read by its wrapper,
+and main text is chosen among the slots that the page fills.
 Whether the article decides is up to each page: one with text in an article
 gives that text, and its figures stay out of the choice for the others.
 
@@ -39,7 +40,7 @@ PARTS = 64
 NODES = 600
 #: Tokens of the longest repeated stretch.
 LONGEST_GROUP = 12
-#: Pages on which a text outside the article is the same, to be part of the template.
+#: Distinct pages (copies count once) on which a text outside the article is the same, to be part of the template.
 TEMPLATE_PAGES = 5
 
 #: What tags mean here (fixed values).
@@ -79,10 +80,12 @@ class Node:
     chars: int = 0
     linked: int = 0
     same: str | None = None
+    #: Of a text that is always the same: distinct pages with it, ``TEMPLATE_PAGES`` at most.
+    on: list[str] = field(default_factory=list)
     blocks: list[int] = field(default_factory=list)
 
     def plain(self) -> list:
-        return [self.key, self.path, self.body and [n.plain() for n in self.body], self.optional, self.pages, self.chars, self.linked, self.same]
+        return [self.key, self.path, self.body and [n.plain() for n in self.body], self.optional, self.pages, self.chars, self.linked, self.same, self.on]
 
     @staticmethod
     def of(x: list) -> Node:
@@ -118,7 +121,7 @@ def tokens(page: str) -> tuple[list[Node], list[str]]:
         if text:
             path = "/".join([*stack, leaf] if leaf else stack)
             # Until another page differs, the slot is a text that is always the same.
-            stream.append(Node("#" + path, path, None, False, 1, len(text), linked, xxhash.xxh64_hexdigest(text), [len(blocks)]))
+            stream.append(Node("#" + path, path, None, False, 1, len(text), linked, xxhash.xxh64_hexdigest(text), [], [len(blocks)]))
             blocks.append(text)
         words, linked = [], 0
 
@@ -173,7 +176,9 @@ def absorb(into: Node, other: Node) -> None:
     into.linked += other.linked
     into.blocks += other.blocks
     if into.same != other.same:
-        into.same = None
+        into.same, into.on = None, []
+    elif into.same and len(into.on) < TEMPLATE_PAGES:
+        into.on = [*dict.fromkeys(into.on + other.on)][:TEMPLATE_PAGES]
     for a, b in zip(into.body or (), other.body or ()):
         absorb(a, b)
 
@@ -354,23 +359,31 @@ def uncounted(nodes: list[Node]) -> None:
         uncounted(n.body or [])
 
 
-def main_paths(wrapper: list[Node]) -> set[str]:
-    """The places of main text on a host's pages without an article."""
-    every = [s for s in slots(wrapper) if s.pages and not is_boilerplate(s.path)]
-    varied = [s for s in every if not (s.same and s.pages >= TEMPLATE_PAGES) and 2 * s.linked <= s.chars] or every
-    # Without an article: go down while one container holds most of the text.
+def varied_paths(every: list[Node]) -> list[set[str]]:
+    """The places of a host's slots that may be main text on a page without an
+    article: those of varied texts; for pages without, link lists as well; on
+    a host without varied texts, all."""
+    every = [s for s in every if s.pages and not is_boilerplate(s.path)]
+    own = [s for s in every if not (s.same and len(s.on) >= TEMPLATE_PAGES)]
+    varied = [s for s in own if 2 * s.linked <= s.chars]
+    return [{s.path for s in x} for x in ([varied, own] if varied else [every])]
+
+
+def main_paths(weights: dict[str, float]) -> set[str]:
+    """The places of main text among those that a page without an article
+    fills: go down while one container holds most of the text."""
     prefix = ""
     while True:
-        inside = [s for s in varied if s.path == prefix or s.path.startswith(prefix + "/") or not prefix]
-        sums: dict[str, int] = {}
-        for s in inside:
-            rest = s.path[len(prefix) :].lstrip("/").split("/")
+        inside = {p: w for p, w in weights.items() if p == prefix or p.startswith(prefix + "/") or not prefix}
+        sums: dict[str, float] = {}
+        for path, weight in inside.items():
+            rest = path[len(prefix) :].lstrip("/").split("/")
             if len(rest) > 1 or (rest[0] and rest[0].split(".")[0] in CONTAINERS):
                 child = f"{prefix}/{rest[0]}".lstrip("/")
-                sums[child] = sums.get(child, 0) + s.chars
+                sums[child] = sums.get(child, 0) + weight
         best = max(sums, key=sums.get, default=None)
-        if best is None or sums[best] * 10 < 7 * sum(s.chars for s in inside):
-            return {s.path for s in inside}
+        if best is None or sums[best] * 10 < 7 * sum(inside.values()):
+            return set(inside)
         prefix = best
 
 
@@ -382,7 +395,11 @@ class Wrappers:
         self.seen: dict[tuple, list[Node]] = {}
 
     def add(self, host: str, page: str) -> None:
-        stream = tokens(page)[0]
+        stream, blocks = tokens(page)
+        on = xxhash.xxh64_hexdigest("\n".join(blocks))
+        for n in stream:
+            if n.path is not None:
+                n.on = [on]
         article = any(n.path is not None and is_article(n.path) for n in stream)
         expression = fold(stream)
         if article:
@@ -441,13 +458,29 @@ class Reader:
 
     def __init__(self, wrapper: str):
         self.wrapper = [Node.of(x) for x in json.loads(wrapper)]
-        self.main = main_paths(self.wrapper)
+        every = [*slots(self.wrapper)]
+        self.varied = varied_paths(every)
+        self.figures: dict[str, list[int]] = {}
+        for s in every:
+            chars, pages = self.figures.get(s.path, (0, 0))
+            self.figures[s.path] = [chars + s.chars, pages + s.pages]
         self.known: dict[tuple, list[bool]] = {}
 
-    def wanted(self, paths: list[str]) -> list[bool]:
-        """Which of a page's slots are main text: those of its article if it has one."""
-        article = [is_article(p) for p in paths]
-        return article if any(article) else [p in self.main for p in paths]
+    def wanted(self, found: list[tuple[Node | None, Node]]) -> list[bool]:
+        """Which of a page's slots, each with the wrapper's, are main text:
+        those of its article if it has one. Else its slots stand for as much
+        text as the host's pages have in them, on average."""
+        article = [is_article(s.path) for _, s in found]
+        if any(article):
+            return article
+        weights: dict[str, float] = {}
+        varied = next((x for x in self.varied if any(s.path in x for _, s in found)), ())
+        for w, s in found:
+            if s.path in varied:
+                chars, pages = (w.chars, w.pages) if w and w.pages else self.figures[s.path]
+                weights[s.path] = weights.get(s.path, 0) + chars / max(1, pages)
+        main = main_paths(weights)
+        return [s.path in main for _, s in found]
 
     def text(self, page: str) -> str:
         stream, blocks = tokens(page)
@@ -455,7 +488,8 @@ class Reader:
         keys = tuple(n.key for n in expression)
         flags = self.known.get(keys)
         if flags is None:
-            flags = self.wanted([s.path for _, p in align(self.wrapper, expression) if p is not None for s in slots([p])])
+            pairs = [(w, p) for w, p in align(self.wrapper, expression) if p is not None]
+            flags = self.wanted([x for w, p in pairs for x in (zip(slots([w]), slots([p])) if w else ((None, s) for s in slots([p])))])
             if len(self.known) >= 1000:
                 self.known.clear()
             self.known[keys] = flags

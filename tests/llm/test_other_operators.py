@@ -143,6 +143,21 @@ def test_articles_and_other_templates_on_one_host(spark):
         assert got == {i: f"Article {i}" if i % 2 else f"Content {i} is told in a text of its own." for i in range(12)}
 
 
+def test_two_layouts_on_one_host(spark):
+    body = lambda i: f'<div class="{"post" if i % 5 == 0 else "story"}"><p>Page {i} tells {"much " * 30}of its own.</p></div><div class="info">About {i}</div>'
+    got = read(spark, [(i, "http://h/", page(body(i))) for i in range(40)])
+    assert got == {i: f"Page {i} tells {'much ' * 30}of its own." for i in range(40)}
+
+
+def test_copies_are_no_template(spark):
+    top = '<div class="top">On every page of this host</div>'
+    data = [(i, "http://h/", page(f'{top}<div class="story"><p>Page {i} tells {"much " * 30}</p></div>')) for i in range(20)]
+    data += [(100 + i, "http://h/", page(f'{top}<div class="story"><div class="copy">The same text in six copies of a page.</div></div>')) for i in range(6)]
+    got = read(spark, data)
+    assert all(got[100 + i] == "The same text in six copies of a page." for i in range(6))
+    assert all(got[i] == f"Page {i} tells {'much ' * 30}".strip() for i in range(20))
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 3000 + "<p>deep" + "</div>" * 3000
     data = [(1, None, None), (2, "not a url", ""), (3, "http://h/", "plain text only"), (4, "http://h/", '<a href="'), (5, "http://h/", "<article><p>cut off &am"),
