@@ -16,7 +16,9 @@ A host may hold a third of all pages, so no host is gathered in one task.
 Every task folds its own pages into one wrapper per host; wrappers are merged
 by the same alignment, first in ``PARTS`` parts of a host, then these. Every
 page takes part. A wrapper is bounded: beyond ``NODES`` tokens, optional
-tokens of the same kind become one and optional tags go.
+tokens of the same kind become one, and optional tags and groups leave the
+expression. The figures of such a group stay: each place of text keeps one slot
+with the sums of all that left, so no text is without a slot.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
 from functools import lru_cache
@@ -284,6 +286,8 @@ def align(a: list[Node], b: list[Node]) -> Iterator[tuple[Node | None, Node | No
 
 def merged(a: list[Node], b: list[Node]) -> list[Node]:
     """The expression that both ``a`` and ``b`` fit."""
+    left = [n for n in a + b if is_left(n)]
+    a, b = ([n for n in x if not is_left(n)] for x in (a, b))
     a, b = single_groups(a, b), single_groups(b, a)
     out = []
     for x, y in align(a, b):
@@ -297,21 +301,44 @@ def merged(a: list[Node], b: list[Node]) -> list[Node]:
             absorb(x, y)
         node.blocks = []
         out.append(node)
-    return bounded(out)
+    return bounded(out, left)
 
 
-def bounded(nodes: list[Node]) -> list[Node]:
+def is_left(n: Node) -> bool:
+    """Whether this is the slot of what left the expression at a place."""
+    return n.key.startswith("*")
+
+
+def add_figures(into: Node, other: Node) -> None:
+    into.pages += other.pages
+    absorb(into, other)
+
+
+def bounded(nodes: list[Node], left: Iterable[Node] = ()) -> list[Node]:
+    """The expression within its bound, then a slot for each place of ``left``
+    and of the groups that leave it now."""
+    kept: dict[str, Node] = {}
+
+    def leave(slot: Node) -> None:
+        new = Node("*" + slot.path, slot.path, None, True, slot.pages, slot.chars, slot.linked, slot.same, slot.on)
+        if (old := kept.setdefault(slot.path, new)) is not new:
+            add_figures(old, new)
+
+    for n in left:
+        leave(n)
     if len(nodes) <= NODES:
-        return nodes
+        return [*nodes, *kept.values()]
     out: list[Node] = []
     for n in nodes:  # a slot keeps in sum what the slots of the same place had
         if n.optional and not n.key.startswith("<") and not n.key.startswith("</") and any(n.key == o.key for o in out[-NODES // 2 :]):
-            absorb(next(o for o in reversed(out) if o.key == n.key), n)
+            add_figures(next(o for o in reversed(out) if o.key == n.key), n)
         elif n.optional and len(out) >= NODES and not n.path:
-            continue
+            for slot in slots(n.body or []):
+                slot.pages = max(slot.pages, n.pages)
+                leave(slot)
         else:
             out.append(n)
-    return out
+    return [*out, *kept.values()]
 
 
 def slots(nodes: list[Node]) -> Iterator[Node]:
@@ -393,6 +420,8 @@ class Wrappers:
     def __init__(self):
         self.of: dict[str, list[Node]] = {}
         self.seen: dict[tuple, list[Node]] = {}
+        #: What the wrappers hold now: figures given to a token that has left would be lost.
+        self.live: dict[str, set[int]] = {}
 
     def add(self, host: str, page: str) -> None:
         stream, blocks = tokens(page)
@@ -405,16 +434,17 @@ class Wrappers:
         if article:
             uncounted(expression)
         keys = (host, *(n.key for n in expression))
-        if (known := self.seen.get(keys)) is not None:  # a page of a kind met before: only its figures are new
+        known = self.seen.get(keys)
+        if known is not None and all(id(n) in self.live[host] for n in known):  # a page of a kind met before: only its figures are new
             for a, b in zip(known, expression):
-                a.pages += b.pages
-                absorb(a, b)
+                add_figures(a, b)
                 a.blocks = []
             return
         if host not in self.of:
             self.of[host] = bounded(expression)
         else:
             self.of[host] = merged(self.of[host], expression)
+        self.live[host] = {id(n) for n in self.of[host]}
         by_key: dict[str, list[Node]] = {}
         for n in self.of[host]:
             by_key.setdefault(n.key, []).append(n)
@@ -457,8 +487,9 @@ class Reader:
     """Reads pages by their host's wrapper."""
 
     def __init__(self, wrapper: str):
-        self.wrapper = [Node.of(x) for x in json.loads(wrapper)]
-        every = [*slots(self.wrapper)]
+        nodes = [Node.of(x) for x in json.loads(wrapper)]
+        self.wrapper = [n for n in nodes if not is_left(n)]
+        every = [*slots(nodes)]
         self.varied = varied_paths(every)
         self.figures: dict[str, list[int]] = {}
         for s in every:

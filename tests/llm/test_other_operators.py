@@ -158,6 +158,35 @@ def test_copies_are_no_template(spark):
     assert all(got[i] == f"Page {i} tells {'much ' * 30}".strip() for i in range(20))
 
 
+def test_bounded_wrapper_keeps_all_figures(spark, monkeypatch):
+    word = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    def body(i):
+        rows = "".join(f"<p>Line {k} of page {i} tells a little</p>" for k in range(3 + i % 4))
+        mixed = "".join(f'<section class="{word(i % 29 * 7 + k)}"><h2>Head {k} {i}</h2><p>a {i}</p><p>b {k}</p></section>' for k in range(6))
+        return f'<div class="info">About {i}</div><div class="story"><div class="{word(i % 29)}">{rows}</div>{mixed}</div>'
+
+    monkeypatch.setattr(html_text, "NODES", 40)
+    streams = {i: html_text.tokens(page(body(i))) for i in range(120)}
+    chars, wrapper = {}, html_text.Wrappers()
+    for i in range(120):
+        wrapper.add("h", page(body(i)))
+        for n in streams[i][0]:
+            if n.path is not None:
+                chars[n.path] = chars.get(n.path, 0) + n.chars
+    halves = [html_text.Wrappers(), html_text.Wrappers()]
+    for i in range(120):
+        halves[i % 2].add("h", page(body(i)))
+    for nodes in (wrapper.of["h"], html_text.merged(*[w.of["h"] for w in halves])):
+        held = {}
+        for s in html_text.slots(nodes):
+            held[s.path] = held.get(s.path, 0) + s.chars
+        assert held == chars
+        reader = html_text.Reader(html_text.json.dumps([n.plain() for n in nodes]))
+        for i in range(120):
+            text = reader.text(page(body(i)))
+            assert text == "\n".join(t for t in streams[i][1] if t not in ("T", f"About {i}"))
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 3000 + "<p>deep" + "</div>" * 3000
     data = [(1, None, None), (2, "not a url", ""), (3, "http://h/", "plain text only"), (4, "http://h/", '<a href="'), (5, "http://h/", "<article><p>cut off &am"),
