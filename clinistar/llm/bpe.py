@@ -8,8 +8,9 @@ block and L, however long a word is. Ordinary words fit one block and are
 remembered in a dictionary of bounded size.
 
 The decoder is a state machine over token ids. Its state is whether a token
-was given out before and the bytes of an unfinished character; both digests
-are fed piece by piece.
+was given out before (``feed``, what the library's decode gives) or the bytes
+of an unfinished character (``text``, on to the words). Both digests are fed
+piece by piece: one with the ids, the other with what the decoder makes of them.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import codecs
 import hashlib
 import struct
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import islice
 
@@ -53,7 +54,7 @@ class Encoder:
         self.cut = merges.Cutter(PRE_TOKEN)
         special = "|".join(map(regex.escape, sorted(self.merges.special, key=len, reverse=True)))
         self.special = regex.compile(f"({special})") if special else None
-        self.known: dict[str, tuple[bytes, bytes, int]] = {}
+        self.known: dict[str, bytes] = {}
 
     def tokens(self, word: str) -> Iterator[str]:
         """The tokens of one pre-token, each as soon as it is stable."""
@@ -74,12 +75,11 @@ class Encoder:
                 yield t
             held = held[length:]
 
-    def pieces(self, text: str) -> Iterator[tuple[bytes, bytes, int]]:
-        """For each pre-token or special string in order: its ids packed, its
-        tokens joined by a space, and how many they are."""
+    def pieces(self, text: str) -> Iterator[bytes]:
+        """For each pre-token or special string in order: its ids packed."""
         for i, part in enumerate(self.special.split(text) if self.special else [text]):
             if i % 2:
-                yield merges.pack([self.merges.special[part]]), part.encode(), 1
+                yield merges.pack([self.merges.special[part]])
                 continue
             part = lower(unicodedata.normalize("NFC", part))
             for word in self.cut.words(part):
@@ -101,11 +101,15 @@ class Encoder:
                     if some:
                         yield self._pack(some)
 
-    def _pack(self, tokens: list[str]) -> tuple[bytes, bytes, int]:
-        return merges.pack([self.merges.ids[t] for t in tokens]), " ".join(tokens).encode(), len(tokens)
+    def _pack(self, tokens: list[str]) -> bytes:
+        return merges.pack([self.merges.ids[t] for t in tokens])
 
     def ids(self, text: str) -> list[int]:
-        return [i for ids, _, n in self.pieces(text) for i in struct.unpack(f"<{n}I", ids)]
+        return [i for ids in self.pieces(text) for i in unpacked(ids)]
+
+
+def unpacked(ids: bytes) -> tuple[int, ...]:
+    return struct.unpack(f"<{len(ids) // 4}I", ids)
 
 
 class Decoder:
@@ -129,12 +133,16 @@ class Decoder:
             self.bytes[i] = bytes(value[c] for c in body if c in value) + b" " * ends
         self.bytes |= {i: t.encode() + b" " for t, i in m.special.items()}
 
+    def feed(self, ids: Iterable[int], begun: bool) -> tuple[str, bool]:
+        """What ``joined`` gives for the next ids, and the state after them."""
+        strings = [t for t in map(self.string.get, ids) if t is not None]
+        return " " * (begun and bool(strings)) + " ".join(strings), begun or bool(strings)
+
     def joined(self, ids: Iterator[int]) -> Iterator[str]:
-        first = True
+        begun = False
         for i in ids:
-            if i in self.string:
-                yield self.string[i] if first else " " + self.string[i]
-                first = False
+            out, begun = self.feed((i,), begun)
+            yield out
 
     def text(self, ids: Iterator[int]) -> Iterator[str]:
         state = codecs.getincrementaldecoder("utf-8")("replace")
@@ -156,14 +164,15 @@ def decoder(path: str) -> Decoder:
 
 
 def encode_digests(text: str | None, path: str) -> tuple[int, str, str]:
-    """Tokens, digest of the ids, digest of the decoded text."""
+    """Tokens, digest of the ids, digest of the text decoded from these ids."""
     n, ids_digest, text_digest = 0, hashlib.sha256(), hashlib.sha256()
-    pieces = encoder(path).pieces(text or "")
+    pieces, decode, begun = encoder(path).pieces(text or ""), decoder(path).feed, False
     while group := [*islice(pieces, GROUP)]:
-        ids, strings, counts = zip(*group)
-        ids_digest.update(b"".join(ids))
-        text_digest.update(b" " * (n > 0) + b" ".join(strings))
-        n += sum(counts)
+        ids = b"".join(group)
+        ids_digest.update(ids)
+        out, begun = decode(unpacked(ids), begun)
+        text_digest.update(out.encode())
+        n += len(ids) // 4
     return n, ids_digest.hexdigest(), text_digest.hexdigest()
 
 

@@ -114,6 +114,25 @@ def test_tokens_are_the_librarys(text):
     assert "".join(bpe.decoder(WORD).joined(iter(ids))) == decoded
 
 
+def test_decoded_digest_is_of_the_emitted_ids(monkeypatch):
+    text = "the cat <|endoftext|> sat on größe 日本 " * 9
+    ids = bpe.encoder(WORD).ids(text)
+    right = bpe.encode_digests(text, WORD)
+    monkeypatch.setattr(bpe, "GROUP", 4)  # the decoder's state goes on from group to group
+    assert bpe.encode_digests(text, WORD) == right
+    wrong = [*ids[:-1], ids[0]]
+    pieces = bpe.Encoder.pieces
+
+    def one_wrong(self, t):
+        *first, last = pieces(self, t)
+        yield from first
+        yield last[:-4] + merges.pack([ids[0]])
+
+    monkeypatch.setattr(bpe.Encoder, "pieces", one_wrong)
+    decoded = LIBRARY[WORD].decode(wrong, skip_special_tokens=False)
+    assert bpe.encode_digests(text, WORD) == (len(ids), hashlib.sha256(merges.pack(wrong)).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
+
+
 LIBRARY = {p: Tokenizer.from_file(p) for p in (BYTE, WORD)}
 
 
