@@ -3,8 +3,8 @@
 A conversation becomes training windows of at most ``BUDGET`` tokens. Prefix
 sums of the turns' tokens place every turn on a line that is cut into equal
 stretches; a window holds the turns that start in its stretch, after the
-system turn and the turns that start in the last ``HISTORY`` tokens before it.
-Turns are never cut. Assistant texts are targets under the loss mask; in
+system turn, the turns that start in the last ``HISTORY`` tokens before it, and
+the turn before its first new one wherever that starts. Turns are never cut. Assistant texts are targets under the loss mask; in
 windows that repeat them they are masked out, so each is learnt once.
 
 The template marks a turn as ``### Role: text</turn>`` and a line end. Control
@@ -62,8 +62,9 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, coun
     ``conv_id`` is a conversation like any other. A conversation starts with
     its system turn if its first turn's role is ``system``; later system turns
     are ordinary. A window stays within the budget unless the system turn, the
-    history and the conversation's longest turn leave less than ``LEAST_NEW``
-    tokens; then it may exceed it by those. No rows give no rows.
+    history (or the conversation's longest turn, if that is longer) and the
+    longest turn leave less than ``LEAST_NEW`` tokens; then it may exceed it by
+    those. No rows give no rows.
     """
     rows = turns.select(
         "conv_id", F.col("turn").cast("long").alias("turn"),
@@ -93,14 +94,17 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, coun
     )
     system_size = F.coalesce("system.size", F.lit(0))
     is_system = F.col("system").isNotNull() & (F.col("start") == 0)
-    stretch = F.greatest(F.lit(LEAST_NEW), budget - system_size - history - F.col("largest")).cast("long")
+    stretch = F.greatest(F.lit(LEAST_NEW), budget - system_size - F.greatest(F.lit(history), F.col("largest")) - F.col("largest")).cast("long")
     placed = (
         placed.withColumn("is_system", is_system)
         .withColumn("stretch", stretch)
         .withColumn("line", F.greatest(F.lit(0), F.col("start") - system_size))
         .withColumn("window", F.expr("line div stretch"))
-        .withColumn("again", (~F.col("is_system")) & (F.col("line") >= (F.col("window") + 1) * F.col("stretch") - history))
-        .withColumn("copy", F.explode(F.when(F.col("again"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+        .withColumn("last", F.expr(f"(line + {int(history)}) div stretch"))  # the last window whose history it starts in
+        .withColumn("next", F.floor((F.col("start") + F.col("size") - system_size) / F.col("stretch")))  # the next turn's window
+        .withColumn("again", F.when(F.col("is_system"), F.array(F.col("window"))).otherwise(F.array_distinct(
+            F.concat(F.sequence("window", F.greatest("window", "last")), F.array(F.greatest("window", "next"))))))
+        .withColumn("copy", F.explode(F.transform("again", lambda w: w - F.col("window"))))
         .withColumn("window", F.col("window") + F.col("copy"))
     )
     marked = lambda role, text: F.concat(
@@ -123,7 +127,7 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, coun
     shaped = grouped.withColumn("ends", ends).withColumn(
         "formatted", F.concat(F.coalesce("system_piece", F.lit("")), F.array_join(F.transform("turns", lambda t: t["piece"]), ""))
     )
-    n_old = F.size(F.filter("turns", lambda t: t["copy"] == 1))
+    n_old = F.size(F.filter("turns", lambda t: t["copy"] > 0))
     head = F.length(F.concat(F.lit("### "), F.lit(TARGET), F.lit(": ")))
     spans = F.filter(
         F.transform(

@@ -241,6 +241,24 @@ def test_chat_reads_back(spark):
     assert chat.read_back(chat.windows(df.limit(0))).count() == 0
 
 
+def test_chat_history_is_whole(spark):
+    rng = random.Random(3)
+    role = lambda n: "assistant" if n % 2 == 0 else "user"
+    size = {1: lambda n: 390 if n == 0 else 420 if n == 7 else rng.randrange(1, 40), 2: lambda n: 300 if n % 4 == 1 else rng.randrange(1, 90)}
+    convs = {c: [("system" if n == 0 else role(n), " ".join([f"t{n}x"] + ["word"] * size[c](n))) for n in range(60)] for c in size}
+    df = spark.createDataFrame([(c, n, r, t, 1, "s") for c, v in convs.items() for n, (r, t) in enumerate(v)], TURNS)
+    for row in chat.windows(df).collect():
+        turns = convs[row.conv_id]
+        sizes = [len(chat.re.findall(r"[a-z]+|[0-9]+", t)) + chat.MARKS for _, t in turns]
+        line = [sum(sizes[1:n]) for n in range(60)]
+        stretch = max(chat.LEAST_NEW, chat.BUDGET - sizes[0] - max(chat.HISTORY, max(sizes)) - max(sizes))
+        new = [n for n in range(1, 60) if line[n] // stretch == row.window]
+        old = [n for n in range(1, new[0]) if line[n] >= row.window * stretch - chat.HISTORY or n == new[0] - 1]
+        assert [*chat.parse(row.formatted)] == [turns[n] for n in (0, *old, *new)]
+        if row.window:
+            assert [*chat.parse(row.formatted[row.fresh :])] == [turns[n] for n in new]
+
+
 # --- helpers and pipeline --------------------------------------------------
 def test_components(spark):
     links = [(5, 4), (4, 3), (3, 2), (9, 8), (7, 7), (8, 9), *((100 + i, 101 + i) for i in range(60))]
