@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinistar.llm import ann, bpe, chat, html_text, jaccard, mix, quality, simhash, token_count, toxicity, warc
+from clinistar.llm import align, ann, bpe, chat, html_text, jaccard, mix, quality, simhash, token_count, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_chat": chat.op10_chat,
         "op11_simhash": simhash.op11_simhash,
+        "op13_align": align.op13_align,
     }
 
 
