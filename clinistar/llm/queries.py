@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinistar.llm import align, ann, bpe, chat, html_text, jaccard, mix, quality, simhash, token_count, toxicity, warc
+from clinistar.llm import align, ann, bpe, chat, html_text, jaccard, mix, phrases, quality, simhash, token_count, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,9 +22,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_chat": chat.op10_chat,
         "op11_simhash": simhash.op11_simhash,
+        "op12_phrases": phrases.op12_phrases,
         "op13_align": align.op13_align,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix": mix.ORACLE, "op4_nearest": ann.ORACLE, "op7_jaccard": jaccard.ORACLE}
+    return {"op1_mix": mix.ORACLE, "op4_nearest": ann.ORACLE, "op7_jaccard": jaccard.ORACLE, "op12_phrases": phrases.ORACLE}
