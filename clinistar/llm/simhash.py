@@ -242,13 +242,14 @@ class Level:
     """Which buckets a level makes of those of the level before.
 
     A bucket is known by its ``node``, which says what bits are fixed, and the
-    ``value`` of those. ``nodes`` maps a node to its open bits.
+    ``value`` of those. ``nodes`` maps a node to its open bits. Both tables
+    have a fixed size.
     """
 
     def __init__(self, spark: SparkSession, index: list, probe: list, nodes: dict):
-        kind = "node int, {}child int, bits long, fixed long"
-        self.index = F.broadcast(spark.createDataFrame(pd.DataFrame(index, columns=["node", "child", "bits", "fixed"]), kind.format("")))
-        self.probe = F.broadcast(spark.createDataFrame(pd.DataFrame(probe, columns=["node", "left", "child", "bits", "fixed", "flip"]), kind.format("left int, ") + ", flip long"))
+        kind = "node int, {}child int, bits long"
+        self.index = F.broadcast(spark.createDataFrame(pd.DataFrame(index, columns=["node", "child", "bits"]), kind.format("")))
+        self.probe = F.broadcast(spark.createDataFrame(pd.DataFrame(probe, columns=["node", "left", "child", "bits", "fixed", "flip"]), kind.format("left int, ") + ", fixed long, flip long"))
         self.nodes = nodes
 
 
@@ -258,7 +259,7 @@ def levels(spark: SparkSession, parts: list[list[int]]) -> Iterator[Level]:
     every = sorted(b for p in parts for b in p)
     for i, bits in enumerate(parts):
         mask = signed(mask_of(bits))
-        index.append((0, i, mask, mask))
+        index.append((0, i, mask))
         nodes[i] = [b for p in parts for b in p if b not in bits]
     for digits in product(range(TAU + 2), repeat=len(parts)):
         if sum(digits) == TAU + 1:
@@ -275,7 +276,7 @@ def levels(spark: SparkSession, parts: list[list[int]]) -> Iterator[Level]:
             for k, bits in enumerate((open_[:half], open_[half:])):
                 child, now = len(below), signed(fixed | mask_of(bits))
                 below[child] = [b for b in open_ if b not in bits]
-                index.append((node, child, signed(mask_of(bits)), now))
+                index.append((node, child, signed(mask_of(bits))))
                 for left in range(TAU + 1):
                     probe += [(node, left, child, signed(mask_of(bits)), now, signed(f)) for f in flips(bits, divided(left)[k])]
         nodes = below
@@ -290,14 +291,18 @@ def links(nodes: DataFrame) -> DataFrame:
     parts = grouped(list(range(64)), WIDTHS, corr)
     blocks = [grouped(p, [BLOCK] * -(-len(p) // BLOCK), corr) for p in parts]
     near = spark.sparkContext.broadcast([shells(h).astype(np.float32) for h in value_counts(nodes, [b for p in blocks for b in p])])  # 1 MB a block
-    index = nodes.select(F.lit(0).alias("node"), F.lit(0).cast("long").alias("value"), "fp")
+    index = nodes.select(F.lit(0).cast("long").alias("value"), "fp")
     probe = index.withColumn("left", thresholds(F.col("fp"), blocks, near, n))
     found = []
-    for level in levels(spark, parts):
+    for depth, level in enumerate(levels(spark, parts)):
         below = F.col("value").bitwiseOR(F.col("fp").bitwiseAND(F.col("bits")))
-        index = index.join(level.index, "node").select(F.col("child").alias("node"), below.alias("value"), "fp")
+        if depth:
+            index = index.join(level.index, "node").select(F.col("child").alias("node"), below.alias("value"), "fp")
+        else:
+            masks = F.array(*(F.lit(signed(mask_of(bits))) for bits in parts))
+            index = index.select("value", "fp", F.posexplode(masks).alias("node", "bits")).select("node", below.alias("value"), "fp")
         below = F.col("value").bitwiseOR(F.col("fp").bitwiseAND(F.col("bits")).bitwiseXOR(F.col("flip")))
-        probe = probe.join(level.probe, ["node", "left"]).select(F.col("child").alias("node"), below.alias("value"), "fp", "fixed")
+        probe = probe.join(level.probe, ["node", "left"] if depth else "left").select(F.col("child").alias("node"), below.alias("value"), "fp", "fixed")
         left = F.lit(TAU) - F.bit_count(F.col("fp").bitwiseXOR(F.col("value")).bitwiseAND(F.col("fixed")))
         probe = probe.select("node", "value", "fp", left.cast("int").alias("left"))
         last = max(map(len, level.nodes.values())) <= 8
