@@ -46,6 +46,9 @@ CORNER = 8
 #: Parts in which a language's best are sought first.
 PARTS = 64
 
+#: floor(1000000 * a * a / (l * r)), exact for counts below 10**15.
+SCORE = "(1000000BD * cast(a as decimal(15,0)) * cast(a as decimal(15,0))) div (cast(l as decimal(15,0)) * cast(r as decimal(15,0)))"
+
 #: Signs that end a piece become full stops, tabs become spaces.
 SIGNS = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t", b"......... ")
 BREAK = b"."
@@ -244,7 +247,7 @@ def collocations(docs: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST
     cuts = cuts.select("lang", "phrase", F.col("f").alias("a"), "k", part(F.lit(1), F.col("k")).alias("first"), part(F.col("k") + 1, F.col("n_words") - F.col("k")).alias("rest"))
     count_of = lambda name, f: every.select("lang", F.col("phrase").alias(name), F.col("f").alias(f))
     cuts = cuts.join(count_of("first", "l"), ["lang", "first"]).join(count_of("rest", "r"), ["lang", "rest"])
-    scored = cuts.withColumn("score", F.expr("(1000000BD * cast(a as decimal(15,0)) * cast(a as decimal(15,0))) div (cast(l as decimal(15,0)) * cast(r as decimal(15,0)))"))
+    scored = cuts.withColumn("score", F.expr(SCORE))
     lowest = F.min(F.struct("score", "k", "l", "r")).alias("low")
     scored = scored.groupBy("lang", "phrase", "a").agg(lowest).select("lang", "phrase", "a", "low.l", "low.r", "low.score")
 
