@@ -63,6 +63,7 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--out", required=True)
     b.add_argument("--model", choices=("star", "snowflake"), default="star")
     b.add_argument("--quality-report", help="where to write the rule violation counts")
+    b.add_argument("--key-maps", help="folder that keeps the snowflake's surrogate keys from load to load")
 
     r = sub.add_parser("run", help="run one analysis on a written warehouse")
     r.add_argument("--warehouse", required=True)
@@ -98,8 +99,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
     if args.cmd == "build":
         oltp = files.read_oltp(spark, args.oltp, args.format)
         if args.quality_report:
-            Q.quality_report(Q.model_checks(oltp)).write.mode("overwrite").parquet(args.quality_report)
-        wh = B.build_star(oltp) if args.model == "star" else B.build_snowflake(oltp)
+            Q.model_report(oltp).write.mode("overwrite").parquet(args.quality_report)
+        wh = B.build_star(oltp) if args.model == "star" else B.build_snowflake(oltp, key_maps=args.key_maps)
         B.materialize(wh, args.out)
         return None
     wh = read_warehouse(spark, args.warehouse, args.model)

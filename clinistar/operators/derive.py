@@ -88,12 +88,11 @@ def assign_foreign_key(
 ) -> DataFrame:
     """A parent for each child: parent number md5(seed || child key) mod
     (number of parents), joined to the parents' dense numbering (1..n in key
-    order). The parent count is one scalar from a global aggregate."""
+    order). The parent count is a scalar subquery, so nothing runs before the
+    result is used; without parents the column is NULL."""
     numbered = dense_keys(parents, parent_key, "_parent_no")
-    n_parents = numbered.count()
-    if n_parents == 0:
-        return child.withColumn(out_col, F.lit(None).cast(parents.schema[parent_key].dataType))
-    pick = seeded_bucket(F.col(child_key), n_parents, seed) + 1
+    n_parents = numbered.agg(F.count(F.lit(1)).alias("n")).scalar()
+    pick = F.pmod(seeded_draw(F.col(child_key), seed), F.nullif(n_parents, F.lit(0))) + 1
     return child.withColumn("_parent_no", pick).join(
         numbered.withColumnRenamed(parent_key, out_col), "_parent_no", "left"
     ).drop("_parent_no")

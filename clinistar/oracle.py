@@ -406,6 +406,103 @@ SELECT p_partkey AS DiagnosisID, concat_ws(' ', p_type, p_brand) AS DiagnosisNam
 FROM part"""
 
 
+#: The 14 tables of the model with all that its quality rules need.
+MODEL = """
+appointments AS (
+  SELECT o_orderkey AS AppointmentID, o_custkey AS PatientID, floor(o_totalprice)::BIGINT % 100 AS DoctorID,
+         o_orderdate AS AppointmentDateTime, CAST(o_orderdate AS DATE) AS Day,
+         CASE o_orderstatus WHEN 'F' THEN 'Cancelled' WHEN 'O' THEN 'Scheduled' WHEN 'P' THEN 'Completed' END AS Status
+  FROM orders),
+records AS (
+  SELECT l_orderkey * 16 + l_linenumber AS RecordID, l_orderkey AS AppointmentID,
+         concat_ws(', ', l_returnflag, l_linestatus) AS Symptoms, l_partkey AS DiagnosisID FROM lineitem),
+prescriptions AS (
+  SELECT l_orderkey * 16 + l_linenumber AS PrescriptionID, l_orderkey AS AppointmentID, l_partkey AS MedicationID,
+         CAST(trunc(l_quantity) AS INTEGER)::VARCHAR || 'mg' AS Dosage,
+         (['QD', 'BID', 'TID', 'QID'])[((l_linenumber % 4) + 4) % 4 + 1] AS Frequency,
+         CAST(l_shipdate AS DATE) AS StartDate, CAST(l_shipdate AS DATE) + CAST(trunc(l_quantity) AS INTEGER) AS EndDate
+  FROM lineitem WHERE l_returnflag <> 'N'),
+patients AS (
+  SELECT c_custkey AS PatientID, printf('%09d', c_custkey) AS SSN,
+         DATE '1935-01-01' + CAST(floor(abs(c_acctbal) * 2) AS INTEGER) AS DateOfBirth,
+         CASE c_mktsegment WHEN 'BUILDING' THEN 'Male' WHEN 'MACHINERY' THEN 'Female' WHEN 'HOUSEHOLD' THEN 'Other' END AS Gender
+  FROM customer),
+contacts AS (
+  SELECT c.c_custkey AS ContactID, c.c_custkey AS PatientID FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+doctors AS (
+  SELECT s_suppkey AS DoctorID, printf('MD%06d', s_suppkey) AS License, s_nationkey AS DepartmentID,
+         DATE '1992-01-01' + CAST(floor(abs(s_acctbal) / 5) AS INTEGER) AS HireDate FROM supplier),
+departments AS (SELECT n_nationkey AS DepartmentID FROM nation),
+specialties AS (SELECT n.n_nationkey AS DepartmentID, r.r_name AS Specialty FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
+diagnoses AS (SELECT p_partkey AS DiagnosisID, p_brand AS ICD10Code FROM part),
+codes AS (SELECT DISTINCT p_brand AS ICD10Code FROM part),
+medications AS (SELECT p_partkey AS MedicationID FROM part),
+allergies AS (
+  SELECT p_partkey AS AllergyID,
+         CASE p_type WHEN 'ECONOMY' THEN 'Low' WHEN 'STANDARD' THEN 'Medium' WHEN 'PROMO' THEN 'High' ELSE p_type END AS Severity
+  FROM part),
+bridge AS (SELECT l_orderkey AS PatientID, l_partkey AS AllergyID, CAST(l_shipdate AS DATE) AS DateDiagnosed FROM lineitem),
+insurance AS (
+  SELECT c_custkey AS InsuranceID, c_custkey AS PatientID, printf('POL%06d', c_custkey) AS PolicyNumber,
+         DATE '1995-01-01' + CAST(floor(abs(c_acctbal)) AS INTEGER) % 100 AS EffectiveDate,
+         DATE '1995-01-01' + c_nationkey * 10 AS ExpiryDate FROM customer)"""
+
+_TABLES = {  # model table -> name in MODEL
+    "Departments": "departments", "DepartmentSpecialty": "specialties", "ICD10Codes": "codes", "Doctors": "doctors",
+    "Patients": "patients", "PatientContactInfo": "contacts", "Allergies": "allergies", "PatientAllergies": "bridge",
+    "Diagnoses": "diagnoses", "Appointments": "appointments", "MedicalRecords": "records", "Medications": "medications",
+    "Prescriptions": "prescriptions", "Insurance": "insurance",
+}
+
+
+def model_report_sql() -> str:
+    """Each rule on its own, as the model states it."""
+    unique = """Departments.DepartmentID Doctors.DoctorID Doctors.License Patients.PatientID Patients.SSN
+        PatientContactInfo.ContactID Allergies.AllergyID PatientAllergies.PatientID+AllergyID Diagnoses.DiagnosisID
+        ICD10Codes.ICD10Code Appointments.AppointmentID MedicalRecords.RecordID Medications.MedicationID
+        Prescriptions.PrescriptionID Insurance.InsuranceID Insurance.PolicyNumber"""
+    references = """DepartmentSpecialty.DepartmentID->Departments Doctors.DepartmentID->Departments
+        PatientContactInfo.PatientID->Patients Appointments.PatientID->Patients Appointments.DoctorID->Doctors
+        MedicalRecords.AppointmentID->Appointments MedicalRecords.DiagnosisID->Diagnoses Diagnoses.ICD10Code->ICD10Codes
+        Prescriptions.MedicationID->Medications PatientAllergies.PatientID->Patients Insurance.PatientID->Patients
+        PatientAllergies.AllergyID->Allergies Prescriptions.AppointmentID->Appointments"""
+    domains = {
+        "Appointments.Status": "'Scheduled', 'Completed', 'Cancelled'", "Patients.Gender": "'Male', 'Female', 'Other'",
+        "Allergies.Severity": "'Low', 'Medium', 'High'", "Prescriptions.Frequency": "'QD', 'BID', 'TID', 'QID'",
+        "ICD10Codes.ICD10Code": "'A00-B99', 'C00-D49', 'D50-D89', 'E00-E89', 'F01-F99', 'G00-G99', 'H00-H59', 'H60-H95', 'I00-I99', 'J00-J99'",
+    }
+    out: dict[str, str] = {}
+    for rule in unique.split():
+        table, keys = rule.split(".")
+        cols = keys.replace("+", ", ")
+        out[f"unique:{rule}"] = f"SELECT {cols} FROM {_TABLES[table]} GROUP BY {cols} HAVING COUNT(*) > 1"
+    for rule in references.split():
+        table, rest = rule.split(".")
+        col, parent = rest.split("->")
+        out[f"fk:{rule}"] = (
+            f"SELECT 1 FROM {_TABLES[table]} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {_TABLES[parent]} p WHERE p.{col} = c.{col})"
+        )
+    for rule, allowed in domains.items():
+        table, col = rule.split(".")
+        out[f"domain:{rule}"] = f"SELECT 1 FROM {_TABLES[table]} WHERE {col} IS NULL OR {col} NOT IN ({allowed})"
+    out |= {
+        "temporal:appointment_after_hire": "SELECT 1 FROM appointments a JOIN doctors d USING (DoctorID) WHERE a.Day - d.HireDate < 30",
+        "temporal:appointment_after_birth": "SELECT 1 FROM appointments a JOIN patients p USING (PatientID) WHERE a.Day - p.DateOfBirth < 1825",
+        "temporal:allergy_dates": """SELECT 1 FROM bridge b JOIN patients p USING (PatientID)
+            WHERE b.DateDiagnosed < p.DateOfBirth + 1825 OR b.DateDiagnosed < DATE '2010-01-01'""",
+        "temporal:prescription_length": "SELECT 1 FROM prescriptions WHERE EndDate - StartDate NOT BETWEEN 7 AND 30",
+        "temporal:insurance_period": "SELECT 1 FROM insurance WHERE ExpiryDate <= EffectiveDate",
+        "business:prescription_needs_completed": """SELECT 1 FROM prescriptions x WHERE EXISTS (SELECT 1 FROM appointments a
+            WHERE a.AppointmentID = x.AppointmentID AND coalesce(a.Status, '') <> 'Completed')""",
+        "business:max_prescriptions": "SELECT 1 FROM prescriptions GROUP BY AppointmentID HAVING COUNT(*) > 3",
+        "business:one_record_per_appointment": "SELECT 1 FROM records GROUP BY AppointmentID HAVING COUNT(*) > 1",
+        "business:appointment_has_record": """SELECT 1 FROM appointments a WHERE a.AppointmentID IS NOT NULL
+            AND NOT EXISTS (SELECT 1 FROM records r WHERE r.AppointmentID = a.AppointmentID)""",
+    }
+    return _with(MODEL) + " UNION ALL ".join(f"\nSELECT '{name}' AS rule, COUNT(*) AS violations FROM ({sql})" for name, sql in out.items())
+
+
 def builder_sql() -> dict[str, str]:
     fact = _with(FACT.replace(
         "o.o_orderpriority AS Symptoms",
@@ -416,6 +513,18 @@ def builder_sql() -> dict[str, str]:
     )) + " SELECT * FROM fact"
     return {
         "build_fact": fact,
+        "build_fact_from_children": _with(MODEL) + """
+SELECT a.AppointmentID, a.PatientID, a.DoctorID, r.DiagnosisID, x.MedicationID, a.AppointmentDateTime, a.Status,
+       CAST(NULL AS VARCHAR) AS Notes, r.RecordID, r.Symptoms, x.Dosage, x.Frequency, x.StartDate, x.EndDate
+FROM appointments a LEFT JOIN records r ON r.AppointmentID = a.AppointmentID
+                    LEFT JOIN prescriptions x ON x.AppointmentID = a.AppointmentID""",
+        "stable_keys": """
+WITH first_load AS (SELECT Code, DENSE_RANK() OVER (ORDER BY Code) AS CodeID
+                    FROM (SELECT DISTINCT p_brand AS Code FROM part WHERE p_brand IS NOT NULL)),
+added AS (SELECT DISTINCT concat_ws(' ', p_type, p_name, p_brand) AS Code FROM part
+          EXCEPT SELECT Code FROM first_load),
+second_load AS (SELECT Code, DENSE_RANK() OVER (ORDER BY Code) + (SELECT max(CodeID) FROM first_load) AS CodeID FROM added)
+SELECT Code, CodeID::BIGINT AS CodeID FROM first_load UNION ALL SELECT Code, CodeID::BIGINT FROM second_load""",
         "dim_patients_star": DIM_PATIENTS_STAR,
         "dim_doctors_star": DIM_DOCTORS_STAR,
         "dim_diagnoses_star": DIM_DIAGNOSES_STAR,
@@ -501,6 +610,7 @@ def quality_sql() -> dict[str, str]:
         "check_business": QUALITY_RULES["max_three_lines"],
         "check_business_status": QUALITY_RULES["lines_only_when_completed"],
         "quality_report": report,
+        "model_report": model_report_sql(),
     }
 
 

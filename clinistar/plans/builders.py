@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinistar.functions.joins import full_outer_join, left_outer_join
-from clinistar.functions.keys import dense_keys
+from clinistar.functions.joins import full_outer_join, left_outer_join, left_outer_joins
+from clinistar.functions.keys import KeyMap, dense_keys
 from clinistar.plans.model import YEAR_PARTITION, Warehouse
 from clinistar.schemas import FACT_SCHEMA
 
@@ -27,6 +27,27 @@ FACT_COLUMNS: tuple[tuple[str, str], ...] = tuple(
 # ---------------------------------------------------------------------------
 # M1: fact table
 # ---------------------------------------------------------------------------
+#: What the fact takes from each child table besides the appointment's key.
+RECORD_COLUMNS = ("RecordID", "Symptoms", "DiagnosisID", "LabResults")
+PRESCRIPTION_COLUMNS = ("MedicationID", "Dosage", "Frequency", "StartDate", "EndDate")
+
+
+def _children(df: DataFrame, wanted: tuple[str, ...], have: set[str]) -> DataFrame:
+    return df.select("AppointmentID", *[c for c in df.columns if c in wanted and c not in have])
+
+
+def _as_fact(joined: DataFrame) -> DataFrame:
+    """Typed fact columns; what no source has is a typed NULL (e.g. Notes,
+    which later versions of the source no longer carry)."""
+    present = set(joined.columns)
+    return joined.select(
+        *[
+            (F.col(name) if name in present else F.lit(None)).cast(typ).alias(name)
+            for name, typ in FACT_COLUMNS
+        ]
+    )
+
+
 def record_lines(records: DataFrame, prescriptions: DataFrame) -> DataFrame:
     """Detail lines of each appointment: records x prescriptions.
 
@@ -34,43 +55,35 @@ def record_lines(records: DataFrame, prescriptions: DataFrame) -> DataFrame:
     max(1, r) * max(1, p) lines once joined to its appointment (grain C1);
     a full join keeps prescriptions of appointments without a record.
     """
-    rec = records.select(
-        "AppointmentID",
-        *[c for c in records.columns if c in ("RecordID", "Symptoms", "DiagnosisID", "LabResults")],
+    return full_outer_join(
+        _children(records, RECORD_COLUMNS, set()), _children(prescriptions, PRESCRIPTION_COLUMNS, set()), ["AppointmentID"]
     )
-    rx_cols = [
-        c for c in prescriptions.columns
-        if c in ("MedicationID", "Dosage", "Frequency", "StartDate", "EndDate")
-    ]
-    rx = prescriptions.select("AppointmentID", *rx_cols)
-    return full_outer_join(rec, rx, ["AppointmentID"])
 
 
 def build_fact(appointments: DataFrame, details: DataFrame) -> DataFrame:
-    """Fact_PatientInteractions = appointments LEFT JOIN details.
-
-    Each fact column is taken from the appointment side when it has it, else
-    from the detail side, else it is a typed NULL (e.g. Notes, which later
-    versions of the source no longer carry).
-    """
+    """Fact_PatientInteractions = appointments LEFT JOIN details, for sources
+    whose records and prescriptions are one table. A column that both have is
+    taken from the appointment."""
     a_cols = set(appointments.columns)
     d_only = [c for c in details.columns if c not in a_cols]
-    joined = left_outer_join(appointments, details.select("AppointmentID", *d_only), ["AppointmentID"])
-    present = set(joined.columns)
-    return joined.select(
-        *[
-            (F.col(name) if name in present else F.lit(None)).cast(typ).alias(name)
-            for name, typ in FACT_COLUMNS
-        ]
-    )
+    return _as_fact(left_outer_join(appointments, details.select("AppointmentID", *d_only), ["AppointmentID"]))
+
+
+def build_fact_from_children(appointments: DataFrame, records: DataFrame, prescriptions: DataFrame) -> DataFrame:
+    """Fact_PatientInteractions = appointments LEFT JOIN records LEFT JOIN
+    prescriptions, all on the appointment: max(1, r) * max(1, p) rows each.
+
+    Two inner joins over placeholders (``functions.joins``): each of the three
+    tables is read for its rows and once more for its keys.
+    """
+    have = set(appointments.columns)
+    rec = _children(records, RECORD_COLUMNS, have)
+    rx = _children(prescriptions, PRESCRIPTION_COLUMNS, have | set(rec.columns))
+    return _as_fact(left_outer_joins(appointments, [rec, rx], ["AppointmentID"]))
 
 
 def fact_from_oltp(oltp: dict[str, DataFrame]) -> DataFrame:
-    if "Details" in oltp:
-        details = oltp["Details"]
-    else:
-        details = record_lines(oltp["MedicalRecords"], oltp["Prescriptions"])
-    return build_fact(oltp["Appointments"], details)
+    return build_fact_from_children(oltp["Appointments"], oltp["MedicalRecords"], oltp["Prescriptions"])
 
 
 # ---------------------------------------------------------------------------
@@ -167,9 +180,17 @@ def dim_doctors_snowflake(doctors: DataFrame) -> DataFrame:
     return doctors.select("DoctorID", "FirstName", "LastName", "License", "DepartmentID")
 
 
-def dim_department_specialty(specialty: DataFrame) -> DataFrame:
-    """SpecialtyID (dense key over the specialty name), Specialty."""
-    return dense_keys(specialty, "Specialty", "SpecialtyID").select("SpecialtyID", "Specialty")
+def _keyed(values: DataFrame, value: str, key: str, key_maps: str | None) -> DataFrame:
+    """``key, value`` of the distinct values: dense keys, or with a folder of
+    key maps the keys they were given in the first load that had them."""
+    keyed = dense_keys(values, value, key) if key_maps is None else KeyMap(values.sparkSession, f"{key_maps.rstrip('/')}/{key}", value, key).update(values)
+    return keyed.select(key, value)
+
+
+def dim_department_specialty(specialty: DataFrame, key_maps: str | None = None) -> DataFrame:
+    """SpecialtyID, Specialty. Without ``key_maps`` the key is the name's place
+    in sort order, which a later load can change."""
+    return _keyed(specialty, "Specialty", "SpecialtyID", key_maps)
 
 
 def dim_departments(
@@ -182,13 +203,13 @@ def dim_departments(
     )
 
 
-def dim_icd10_codes(diagnoses: DataFrame, icd10: DataFrame | None = None) -> DataFrame:
-    """ICD10CodeID (dense key over the code), ICD10Code; codes of both the code
-    list and the diagnoses, so no diagnosis loses its code."""
+def dim_icd10_codes(diagnoses: DataFrame, icd10: DataFrame | None = None, key_maps: str | None = None) -> DataFrame:
+    """ICD10CodeID, ICD10Code; codes of both the code list and the diagnoses,
+    so no diagnosis loses its code. Keys as in ``dim_department_specialty``."""
     codes = diagnoses.select("ICD10Code")
     if icd10 is not None:
         codes = codes.unionByName(icd10.select("ICD10Code"))
-    return dense_keys(codes, "ICD10Code", "ICD10CodeID").select("ICD10CodeID", "ICD10Code")
+    return _keyed(codes, "ICD10Code", "ICD10CodeID", key_maps)
 
 
 def dim_diagnoses_snowflake(diagnoses: DataFrame, icd_dim: DataFrame) -> DataFrame:
@@ -219,9 +240,11 @@ def build_star(oltp: dict[str, DataFrame], fact: DataFrame | None = None) -> War
     )
 
 
-def build_snowflake(oltp: dict[str, DataFrame], fact: DataFrame | None = None) -> Warehouse:
-    spec_dim = dim_department_specialty(oltp["DepartmentSpecialty"])
-    icd_dim = dim_icd10_codes(oltp["Diagnoses"], oltp.get("ICD10Codes"))
+def build_snowflake(oltp: dict[str, DataFrame], fact: DataFrame | None = None, key_maps: str | None = None) -> Warehouse:
+    """The snowflake model. With ``key_maps``, a folder, surrogate keys are
+    kept from load to load; the new values' keys are written there at once."""
+    spec_dim = dim_department_specialty(oltp["DepartmentSpecialty"], key_maps)
+    icd_dim = dim_icd10_codes(oltp["Diagnoses"], oltp.get("ICD10Codes"), key_maps)
     return Warehouse(
         "snowflake",
         {

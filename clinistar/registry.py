@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clinistar import oracle
+from clinistar.functions.keys import KeyMap
 from clinistar.functions.scalar import ts_range
 from clinistar.functions.sql import register_sql
 from clinistar.operators import analytics as A
@@ -22,7 +23,7 @@ from clinistar.operators import generic as G
 from clinistar.operators import quality as Q
 from clinistar.plans import builders as B
 from clinistar.sources import proxy
-from clinistar.sources.files import csv_roundtrip
+from clinistar.sources.files import csv_roundtrip, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,9 +84,21 @@ def _oltp(fn: Callable[[dict], DataFrame]) -> Query:
     return run
 
 
+def _second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key map of diagnosis codes after a first load with the brands and a
+    second one with all diagnosis names as well."""
+    part = proxy.read_table(spark, sf_dir, "part")
+    brands = part.select(F.col("p_brand").alias("Code"))
+    names = part.select(F.concat_ws(" ", "p_type", "p_name", "p_brand").alias("Code"))
+    codes = KeyMap(spark, scratch_path(spark, "key-map"), "Code", "CodeID")
+    codes.update(brands)
+    return codes.update(names.unionByName(brands))
+
+
 def builder_queries() -> dict[str, Query]:
     q: dict[str, Query] = {
-        "build_fact": _oltp(B.fact_from_oltp),
+        "build_fact": proxy.visit_fact,
+        "build_fact_from_children": _oltp(B.fact_from_oltp),
         "dim_patients_star": _oltp(lambda o: B.dim_patients_star(o["Patients"], o["PatientContactInfo"])),
         "dim_doctors_star": _oltp(
             lambda o: B.dim_doctors_star(o["Doctors"], o["Departments"], o["DepartmentSpecialty"])
@@ -114,6 +127,7 @@ def builder_queries() -> dict[str, Query]:
                 o["Diagnoses"], B.dim_icd10_codes(o["Diagnoses"], o["ICD10Codes"])
             )
         ),
+        "stable_keys": _second_load,
     }
     for dim in ("Patients", "Doctors", "Diagnoses"):
         q[f"snowflake_to_star_{dim.lower()}"] = (
@@ -164,6 +178,7 @@ def quality_queries() -> dict[str, Query]:
         "check_business": pick("max_three_lines"),
         "check_business_status": pick("lines_only_when_completed"),
         "quality_report": lambda spark, sf_dir: Q.quality_report(quality_checks(spark, sf_dir)),
+        "model_report": lambda spark, sf_dir: Q.model_report(proxy.clinic_tables(spark, sf_dir)),
     }
 
 

@@ -10,8 +10,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from clinistar.functions.joins import full_outer_join, left_outer_join
-from clinistar.functions.keys import dense_keys
+from clinistar.functions.joins import full_outer_join, left_outer_join, left_outer_joins
+from clinistar.functions.keys import KeyMap, dense_keys
 from clinistar.functions.scalar import pct_round2
 from clinistar.operators import derive as E
 from clinistar.operators import quality as Q
@@ -43,7 +43,7 @@ def test_pct_round2_zero_denominator_is_null(spark):
 def test_dense_keys_equal_dense_rank(spark):
     words = ["pear", "apple", "fig", "apple", None, "kiwi", "banana", "fig", "zucchini", "date"] * 7
     df = spark.createDataFrame([(w,) for w in words], "v string")
-    got = {r.v: r.k for r in dense_keys(df, "v", "k", num_partitions=3).collect()}
+    got = {r.v: r.k for r in dense_keys(df, "v", "k", ranges=3).collect()}
     expected = {w: i + 1 for i, w in enumerate(sorted({w for w in words if w is not None}))}
     assert got == expected
 
@@ -61,6 +61,89 @@ def test_skew_safe_outer_joins_equal_native(spark):
         left.join(right, "k", "full").select("k", "lv", "rv"))
 
 
+def test_joins_with_two_children_equal_native(spark):
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n"), (3, "c"), (3, "d"), (5, None)], "k long, pv string")
+    one = spark.createDataFrame([(1, "x"), (1, "y"), (4, "z"), (None, "q"), (3, None)], "k long, ov string")
+    two = spark.createDataFrame([(2, 1), (1, 2), (1, 3), (None, 4), (9, 5)], "k long, tv int")
+    bag = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    got = left_outer_joins(parent, [one, two], ["k"])
+    assert got.columns == ["k", "pv", "ov", "tv"]
+    assert bag(got) == bag(parent.join(one, "k", "left").join(two, "k", "left"))
+    assert bag(left_outer_joins(parent, [one.limit(0), two], ["k"])) == bag(parent.join(one.limit(0), "k", "left").join(two, "k", "left"))
+    assert left_outer_joins(parent.limit(0), [one, two], ["k"]).count() == 0
+    wide = parent.withColumn("j", F.col("k") % 2)
+    right = one.withColumn("j", F.lit(1).cast("long"))
+    assert bag(left_outer_join(wide, right, ["k", "j"])) == bag(wide.join(right, ["k", "j"], "left").select("k", "j", "pv", "ov"))
+
+
+def scans(df, table):
+    """How often a plan reads a table, reused shuffles counted once."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan.count(f"/{table}.parquet")
+
+
+def test_fact_reads_each_table_twice_at_most(spark):
+    fact = B.fact_from_oltp(proxy.oltp_tables(spark, SF0001))
+    assert scans(fact, "orders") <= 2
+    assert scans(fact, "lineitem") <= 4  # records and prescriptions
+
+
+def test_dense_keys_over_many_ranges(spark):
+    df = spark.range(5000).select(F.md5((F.col("id") % 3000).cast("string")).alias("v"))
+    got = [tuple(r) for r in dense_keys(df, "v", "k", ranges=64).collect()]
+    assert sorted(got) == [(v, i + 1) for i, v in enumerate(sorted({r.v for r in df.collect()}))]
+    assert dense_keys(df.limit(0), "v", "k").count() == 0
+
+
+def jobs_while(spark, group, build):
+    """Spark jobs that ``build`` starts."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        build()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    return len(sc.statusTracker().getJobIdsForGroup(group))
+
+
+def test_no_job_runs_while_keys_are_planned(spark):
+    parts = spark.read.parquet(f"{SF0001}/part.parquet")
+    children = spark.read.parquet(f"{SF0001}/orders.parquet")
+
+    def plan():
+        dense_keys(parts, "p_brand", "k")
+        E.assign_foreign_key(children, "o_orderkey", parts, "p_partkey", "out")
+
+    assert jobs_while(spark, "planning-keys", plan) == 0
+    assert jobs_while(spark, "using-keys", lambda: dense_keys(parts, "p_brand", "k").collect()) > 0
+    assert E.assign_foreign_key(children, "o_orderkey", parts.limit(0), "p_partkey", "out").where("out is not null").count() == 0
+
+
+def test_key_map_keeps_keys_across_loads(spark, tmp_path):
+    codes = KeyMap(spark, f"{tmp_path}/codes", "v", "k")
+    frame = lambda *values: spark.createDataFrame([(v,) for v in values], "v string")
+    rows = lambda df: {r.v: r.k for r in df.collect()}
+    assert codes.table() is None
+    assert rows(codes.update(frame("pear", "fig", None, "fig"))) == {"fig": 1, "pear": 2}
+    assert rows(codes.update(frame("apple", "pear", "zucchini", "apple"))) == {"fig": 1, "pear": 2, "apple": 3, "zucchini": 4}
+    assert rows(codes.update(frame("pear"))) == rows(codes.table())  # nothing new
+    failed = tmp_path / "codes" / "load-000000004"  # a load that didn't end has no _SUCCESS
+    failed.mkdir()
+    frame("ghost").select("v", F.lit(99).cast("long").alias("k")).write.parquet(str(failed / "x"))
+    assert rows(codes.update(frame("quince"))) == {"fig": 1, "pear": 2, "apple": 3, "zucchini": 4, "quince": 5}
+    assert rows(codes.update(frame())) == rows(codes.table())
+
+
+def test_snowflake_keys_are_kept_across_loads(spark, make_oltp, tmp_path):
+    first = B.build_snowflake(make_oltp(), key_maps=f"{tmp_path}/keys")
+    was = {r.Specialty: r.SpecialtyID for r in first.table("Dim_DepartmentSpecialty").collect()}
+    again = B.build_snowflake(make_oltp(DepartmentSpecialty=[(1, "Acupuncture"), (2, "Cancer Treatment")]), key_maps=f"{tmp_path}/keys")
+    now = {r.Specialty: r.SpecialtyID for r in again.table("Dim_DepartmentSpecialty").collect()}
+    assert was == {"Cancer Treatment": 1, "Cardiac Care": 2} and now == was | {"Acupuncture": 3}
+    assert {r.DepartmentID: r.SpecialtyID for r in again.table("Dim_Departments").collect()} == {1: 3, 2: 1}
+
+
 def test_fan_out_guards_zero_and_null(spark):
     df = spark.createDataFrame([(1, 3), (2, 0), (3, None), (4, -2)], "id long, n long")
     out = E.fan_out(df, "n").collect()
@@ -185,7 +268,18 @@ def test_hot_key_on_detail_side_is_split(spark):
         assert sorted(map(tuple, got)) == sorted(map(tuple, native))
         ours.collect()
         assert "SortMergeJoin(skew=true)" in ours._jdf.queryExecution().executedPlan().toString()
+        # two children of one parent, each hot on a key of its own
+        other = spark.range(0, 60000).select(F.lit(7).cast("long").alias("AppointmentID"), F.col("id").alias("x"))
+        other = other.unionByName(spark.range(900, 2500).select(F.col("id").alias("AppointmentID"), F.col("id").alias("x")))
+        both = left_outer_joins(appts, [details, other], ["AppointmentID"])
+        native = appts.join(details, "AppointmentID", "left").join(other, "AppointmentID", "left")
+        count = lambda df: sorted(map(tuple, df.groupBy("AppointmentID").agg(F.count(F.lit(1)), F.sum("m"), F.sum("x")).collect()), key=repr)
+        assert count(both) == count(native)
+        spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        both.collect()
+        assert both._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin(skew=true)") == 2
     finally:
+        spark.conf.unset("spark.sql.adaptive.forceOptimizeSkewedJoin")
         for k, v in saved.items():
             if v is None:
                 spark.conf.unset(k)
@@ -203,6 +297,7 @@ def test_model_rule_set_clean_and_violations(spark, make_oltp):
     report = {r.rule: r.violations for r in Q.quality_report(Q.model_checks(clean)).collect()}
     assert len(report) == len(Q.UNIQUE_KEYS) + len(Q.RELATIONSHIPS) + len(Q.DOMAINS) + 9
     assert {k: v for k, v in report.items() if v} == {}
+    assert {r.rule: r.violations for r in Q.model_report(clean).collect()} == report
 
     bad = make_oltp(
         Appointments=appts + [(3, 9, 1, ts("2021-03-01 09:00:00"), "Cancelled"),
@@ -211,6 +306,7 @@ def test_model_rule_set_clean_and_violations(spark, make_oltp):
         Prescriptions=rx + [(i, 3, 2, "1mg", "QD", dt.date(2021, 3, 1), dt.date(2021, 3, 3)) for i in (2, 3, 4, 5)],
     )
     report = {r.rule: r.violations for r in Q.quality_report(Q.model_checks(bad)).collect()}
+    assert {r.rule: r.violations for r in Q.model_report(bad).collect()} == report
     flagged = {k: v for k, v in report.items() if v}
     assert flagged == {
         "fk:Appointments.PatientID->Patients": 1,        # patient 9 does not exist
@@ -224,6 +320,35 @@ def test_model_rule_set_clean_and_violations(spark, make_oltp):
     }
 
 
+def test_rule_report_counts_what_the_checks_return(spark, make_oltp):
+    """Nulls, repeated parents and several parents a child, rule by rule."""
+    from conftest import ts
+
+    day = dt.date(2015, 1, 1)
+    odd = make_oltp(
+        Appointments=[(1, 1, 1, ts("2000-01-05 09:00:00"), "Completed"), (1, 2, None, ts("2021-01-05 09:00:00"), None),
+                      (2, 7, 9, None, "Scheduled"), (None, None, 3, ts("2021-01-05 09:00:00"), "Cancelled"), (3, 1, 1, ts("2000-01-06 09:00:00"), "Cancelled")],
+        MedicalRecords=[(1, 1, None, 1, ""), (1, 1, None, 99, ""), (2, None, None, None, ""), (3, None, None, 1, "")],
+        Prescriptions=[(k, 1 + k % 4, k % 5, "1mg", "QD" if k % 2 else None, day, day + dt.timedelta(days=k)) for k in range(30)] + [(40, None, None, "", "X", None, day)],
+        Patients=[(1, "A", "B", dt.date(1996, 1, 1), "Male", "1"), (1, "A", "B", dt.date(2020, 1, 1), None, "1"), (2, "A", "B", None, "Else", None), (None, "A", "B", day, "Male", None)],
+        PatientAllergies=[(1, 1, dt.date(2000, 1, 1)), (1, 1, dt.date(2016, 1, 1)), (2, 1, dt.date(2009, 1, 1)), (None, None, None), (8, 3, day)],
+        Insurance=[(1, 1, "", "P", "", day, day), (1, None, "", "P", "", day, None), (2, 5, "", None, "", dt.date(2016, 1, 1), day)],
+    )
+    want = {name: df.count() for name, df in Q.model_checks(odd).items()}
+    assert {r.rule: r.violations for r in Q.model_report(odd).collect()} == want
+    assert sum(v > 0 for v in want.values()) > 20
+    empty = {name: df.limit(0) for name, df in odd.items()}
+    assert {r.rule: r.violations for r in Q.model_report(empty).collect()} == dict.fromkeys(want, 0)
+
+
+def test_model_report_reads_each_table_once(spark):
+    report = Q.model_report(proxy.clinic_tables(spark, SF0001))
+    # orders: appointments; lineitem: records, prescriptions, allergies' bridge; part: diagnoses,
+    # codes, medications, allergies; customer: patients, contacts, insurance; supplier: doctors
+    for table, n in {"orders": 1, "lineitem": 3, "part": 4, "customer": 3, "supplier": 1, "nation": 3, "region": 1}.items():
+        assert scans(report, table) <= n, table
+
+
 def test_scale_conf_sizes_partitions_by_input():
     from clinistar.session import scale_conf
 
