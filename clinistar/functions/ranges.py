@@ -11,7 +11,7 @@ the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Ranges made, and values that the bounds are taken from. Both are bounds on
@@ -40,3 +40,16 @@ def starts(sizes: DataFrame, size_col: str, out_col: str, range_col: str = "_ran
     order = F.desc(range_col) if descending else F.asc(range_col)
     before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select(*keys, range_col, F.coalesce(F.sum(size_col).over(before), F.lit(0)).alias(out_col))
+
+
+def top_rows(df: DataFrame, key: Column, n: int) -> DataFrame:
+    """The first ``n`` rows of ``df`` by ``key`` (ascending, without ties),
+    unordered. For any ``n``: rows are counted by ranges of the key, ranges
+    behind the ``n``-th row go, and only the range it falls in is cut by
+    numbering; no task sorts more than one range."""
+    ranged = with_range(df.withColumn("_key", key), "_key")
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    kept = F.broadcast(starts(sizes, "_n", "_before").where(F.col("_before") < n))
+    nth = F.row_number().over(Window.partitionBy("_range").orderBy("_key"))
+    cut = ranged.join(kept, "_range").withColumn("_nth", nth + F.col("_before"))
+    return cut.where(F.col("_nth") <= n).select(*df.columns)

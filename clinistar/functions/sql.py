@@ -15,8 +15,9 @@ runs on a star or a snowflake warehouse. The fact view always carries
 prunes partitions of a year-laid-out fact. Defects of the original text are
 fixed as in the Python operators: the window value is filtered in an outer
 query, LAG partitions by the whole entity key, ranks go through a histogram
-of counts, top-n uses ``ROW_NUMBER() <= top_n`` (a LIMIT cannot take a
-parameter), and rounding is exact.
+of counts, top-n counts rows by ranges of the order and numbers them inside a
+range (a LIMIT cannot take a parameter, and one numbering of all rows is one
+task), and rounding is exact.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from clinistar.functions.ranges import RANGES, SAMPLE
 from clinistar.functions.scalar import pct_round2_sql, percent_units_sql
 from clinistar.operators import analytics as A
 from clinistar.operators.generic import rolling_mean_sql
@@ -136,9 +138,16 @@ WITH Monthly AS (
 SELECT AppointmentMonth, CAST(rate5 AS DOUBLE) / 100000 AS CancellationRate,
        CAST({rolling_mean_sql('s', 'k', 'spark')} AS DOUBLE) / 1000000 AS RollingAvgCancellationRate
 FROM Rolling""",
-    "GetTopDoctorsByGrowthRate": f"""
+}
+
+
+def top_doctors_ddl(attributes: list[str]) -> str:
+    """The doctors' report with these attributes of a doctor besides the name."""
+    typed, names = ", ".join(f"{a} STRING" for a in attributes), ", ".join(attributes)
+    of_d = ", ".join(f"d.{a}" for a in attributes)
+    return f"""
 CREATE OR REPLACE TEMPORARY FUNCTION GetTopDoctorsByGrowthRate(start_date DATE, end_date DATE, top_n INT)
-RETURNS TABLE (DoctorID BIGINT, FirstName STRING, LastName STRING, DepartmentName STRING,
+RETURNS TABLE (DoctorID BIGINT, FirstName STRING, LastName STRING, {typed},
                AppointmentYear INT, AppointmentCount BIGINT, PreviousYearCount BIGINT,
                YoYGrowthPercentage DOUBLE)
 RETURN
@@ -147,38 +156,44 @@ WITH PerKey AS (
   FROM Fact_PatientInteractions f WHERE {IN_RANGE}
   GROUP BY f.DoctorID, year(f.AppointmentDateTime)
 ), Yearly AS (
-  SELECT d.DoctorID, d.FirstName, d.LastName, d.DepartmentName, k.AppointmentYear, sum(k.n) AS AppointmentCount
+  SELECT d.DoctorID, d.FirstName, d.LastName, {of_d}, k.AppointmentYear, sum(k.n) AS AppointmentCount
   FROM PerKey k JOIN DoctorLookup d ON k.DoctorID = d.DoctorID
-  GROUP BY d.DoctorID, d.FirstName, d.LastName, d.DepartmentName, k.AppointmentYear
+  GROUP BY d.DoctorID, d.FirstName, d.LastName, {of_d}, k.AppointmentYear
 ), WithPrevious AS (
-  SELECT *, lag(AppointmentCount) OVER (PARTITION BY DoctorID, FirstName, LastName, DepartmentName
+  SELECT *, lag(AppointmentCount) OVER (PARTITION BY DoctorID, FirstName, LastName, {names}
                                         ORDER BY AppointmentYear) AS PreviousYearCount
   FROM Yearly
 ), Growth AS (
   SELECT *, {_pct('AppointmentCount - PreviousYearCount', 'PreviousYearCount')} AS YoYGrowthPercentage
   FROM WithPrevious WHERE PreviousYearCount IS NOT NULL
+), Placed AS (
+  SELECT *, struct(YoYGrowthPercentage IS NULL, -YoYGrowthPercentage, DoctorID, AppointmentYear, FirstName, LastName,
+                   {names}) AS place FROM Growth
+), Bounds AS (
+  SELECT array_sort(collect_list(place)) AS every
+  FROM (SELECT place FROM Placed ORDER BY xxhash64(place), place LIMIT {SAMPLE})
+), Bounded AS (
+  SELECT *, (SELECT filter(every, (b, i) -> i > 0 AND i % greatest(1, int(ceil(size(every) / {RANGES}))) = 0) FROM Bounds) AS bounds
+  FROM Placed
+), Ranged AS (
+  SELECT *, size(filter(bounds, b -> b <= place)) AS part FROM Bounded
+), Sizes AS (
+  SELECT part, count(*) AS n FROM Ranged GROUP BY part
+), Starts AS (
+  SELECT part, coalesce(sum(n) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM Sizes
 ), Ranked AS (
-  SELECT *, row_number() OVER (ORDER BY YoYGrowthPercentage DESC, DoctorID, AppointmentYear) AS rn
-  FROM Growth
+  SELECT r.*, s.before + row_number() OVER (PARTITION BY r.part ORDER BY r.place) AS rn
+  FROM Ranged r JOIN Starts s ON r.part = s.part WHERE s.before < top_n
 )
-SELECT DoctorID, FirstName, LastName, DepartmentName, AppointmentYear, AppointmentCount,
+SELECT DoctorID, FirstName, LastName, {names}, AppointmentYear, AppointmentCount,
        PreviousYearCount, YoYGrowthPercentage
-FROM Ranked WHERE rn <= top_n""",
-}
+FROM Ranked WHERE rn <= top_n"""
 
 
 def procedures(kind: str) -> dict[str, str]:
     """The procedures of a model. On the snowflake, the doctors' report also
     returns the specialty."""
-    out = dict(PROCEDURES)
-    if kind == "snowflake":
-        out["GetTopDoctorsByGrowthRate"] = (
-            out["GetTopDoctorsByGrowthRate"]
-            .replace("DepartmentName STRING,", "DepartmentName STRING, Specialty STRING,")
-            .replace("d.DepartmentName", "d.DepartmentName, d.Specialty")
-            .replace(" LastName, DepartmentName", " LastName, DepartmentName, Specialty")
-        )
-    return out
+    return PROCEDURES | {"GetTopDoctorsByGrowthRate": top_doctors_ddl(["DepartmentName", *["Specialty"] * (kind == "snowflake")])}
 
 
 def register_sql(spark: SparkSession, wh: Warehouse) -> None:

@@ -33,6 +33,7 @@ from clinistar.functions.scalar import (
     normalized_symptoms,
     year_of,
 )
+from clinistar.functions.ranges import top_rows
 from clinistar.operators.generic import (
     conditional_counts,
     partition_totals,
@@ -171,6 +172,10 @@ def rolling_cancellations(
 # ---------------------------------------------------------------------------
 # Q5 GetTopDoctorsByGrowthRate
 # ---------------------------------------------------------------------------
+#: A longer report is cut by ranges of its order, not from a merged top-n per task.
+TOP_IN_ONE_TASK = 1000
+
+
 def top_doctors(
     wh: Warehouse, start: dt.date, end: dt.date, top_n: int, *,
     per: str = "row", strict_year: bool = False, end_inclusive_day: bool = False,
@@ -196,7 +201,13 @@ def top_doctors(
     if per == "doctor":
         best = Window.partitionBy(*entity).orderBy(*order)
         out = out.withColumn("_rn", F.row_number().over(best)).where(F.col("_rn") == 1).drop("_rn")
-    return out.orderBy(*order).limit(top_n).select(
+    if top_n > TOP_IN_ONE_TASK:
+        growth = F.col("YoYGrowthPercentage")
+        out = top_rows(out, F.struct(growth.isNull().alias("_null"), (-growth).alias("_growth"), "DoctorID", "AppointmentYear", *wh.doctor_attributes), top_n)
+        out = out.orderBy(*order)
+    else:
+        out = out.orderBy(*order).limit(top_n)
+    return out.select(
         *entity, "AppointmentYear", "AppointmentCount", "PreviousYearCount", "YoYGrowthPercentage"
     )
 

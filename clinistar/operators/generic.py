@@ -4,13 +4,16 @@ Each works on any DataFrame. They are built so that no single key, period or
 group has to be gathered whole into one task:
 
 * P1 ``period_change`` windows are partitioned by the entity, over rows that
-  are already aggregated to one per entity and period.
+  are already aggregated to one per entity and period; with ``spread`` by
+  ranges of (entity, period), and each range gets the last row before it.
 * P2 ``rank_in_period`` ranks through a histogram of measure values instead
-  of sorting every entity of a period in one task.
+  of sorting every entity of a period in one task. The histogram of counts is
+  short; that of any other measure is ranked by ranges.
 * P3 ``share_of_total`` computes totals with ordinary (map-side combined)
   aggregation and joins them back, instead of a window over the group.
 * P4 ``rolling_rate`` orders only the per-period aggregate (one row per
-  period), never the input rows.
+  period), never the input rows; with ``many_periods`` in blocks that overlap
+  by a frame.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from clinistar.functions.keys import dense_keys
+from clinistar.functions.ranges import starts, with_range
 from clinistar.functions.scalar import pct_round2_sql, percent_units_sql
 
 
@@ -35,6 +40,7 @@ def period_change(
     prev_col: str = "PreviousCount",
     change_col: str = "ChangePercentage",
     strict: bool = False,
+    spread: bool = False,
 ) -> DataFrame:
     """Add the previous period's measure and the rounded % change.
 
@@ -42,18 +48,39 @@ def period_change(
     has data), as ``LAG`` in the reference; with ``strict`` it is NULL unless
     that row is exactly the period before. The window partitions by the whole
     entity key, so ties on the period cannot make LAG ambiguous.
+
+    ``spread`` is for entities with very many periods: rows are cut into
+    ranges of (entity, period), LAG runs inside a range, and the first row of
+    an entity in a range takes the entity's last row of the range before. What
+    meets per entity is one row per range.
     """
     if strict and df.schema[period].dataType.typeName() not in ("integer", "long", "short", "byte"):
         raise ValueError(f"strict needs an integer period (e.g. a year), not {df.schema[period].dataType}")
-    w = Window.partitionBy(*keys).orderBy(period)
-    out = df.withColumn(prev_col, F.lag(measure).over(w))
+    if spread:
+        out = _lag_by_ranges(df, list(keys), period, F.struct(F.col(period).alias("p"), F.col(measure).alias("m")))
+        out = out.withColumns({prev_col: F.col("_prev.m"), "_prev_period": F.col("_prev.p")}).drop("_prev")
+    else:
+        w = Window.partitionBy(*keys).orderBy(period)
+        out = df.withColumn(prev_col, F.lag(measure).over(w))
+        if strict:
+            out = out.withColumn("_prev_period", F.lag(period).over(w))
     if strict:
-        out = out.withColumn("_prev_period", F.lag(period).over(w)).withColumn(
-            prev_col, F.when(F.col("_prev_period") == F.col(period) - 1, F.col(prev_col))
-        ).drop("_prev_period")
+        out = out.withColumn(prev_col, F.when(F.col("_prev_period") == F.col(period) - 1, F.col(prev_col)))
+    out = out.drop("_prev_period")
     return out.withColumn(change_col, F.expr(pct_round2_sql(f"({measure} - {prev_col})", prev_col)))
 
 
+def _lag_by_ranges(df: DataFrame, keys: list[str], period: str, value: Column) -> DataFrame:
+    """``df`` with ``_prev``: ``value`` of the entity's previous row."""
+    ranged = with_range(df.withColumn("_place", F.struct(*keys, period)), "_place").drop("_place").withColumn("_value", value)
+    inside = Window.partitionBy("_range", *keys).orderBy(period)
+    last = ranged.groupBy("_range", *keys).agg(F.max_by("_value", period).alias("_last"))
+    carried = last.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_range"))).drop("_last")
+    lagged = ranged.withColumn("_lag", F.lag("_value").over(inside)).withColumn("_first", F.row_number().over(inside) == 1)
+    out = join_back(lagged, carried, ["_range", *keys])
+    return out.withColumn("_prev", F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag"))).select(*df.columns, "_prev")
+
+
 # ---------------------------------------------------------------------------
 # P2
 # ---------------------------------------------------------------------------
@@ -64,24 +91,25 @@ def rank_in_period(
     """``RANK() OVER (PARTITION BY period ORDER BY measure DESC)``.
 
     rank = 1 + number of rows of the period with a larger measure. We count
-    rows per (period, measure value) - a histogram with at most ~sqrt(2N)
-    distinct values per period, since distinct positive counts summing to N
-    are that few - rank the histogram, and join the rank back. A period with
-    millions of entities is thus never sorted in one task. ``k`` keeps ranks
-    <= k (the top-k report). That bound needs a whole-number measure, so any
-    other type is refused.
+    rows per (period, measure value), rank that histogram and join the rank
+    back, so equal measures are one row there. Of a whole-number measure it
+    has at most ~sqrt(2N) rows per period, since distinct positive counts
+    summing to N are that few, and a window ranks it. Of any other measure it
+    can be as long as the data: it is cut into ranges of (period, measure),
+    counted inside each, and a range starts with the rows of the period in the
+    ranges above. ``k`` keeps ranks <= k (the top-k report).
     """
-    if not isinstance(df.schema[measure].dataType, IntegralType):
-        raise TypeError(f"rank_in_period ranks counts; {measure} is {df.schema[measure].dataType.simpleString()}")
     hist = df.groupBy(period, measure).agg(F.count(F.lit(1)).alias("_rows"))
-    above = Window.partitionBy(period).orderBy(F.col(measure).desc()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    ranks = hist.select(
-        period,
-        measure,
-        (F.coalesce(F.sum("_rows").over(above), F.lit(0)) + 1).cast("int").alias(rank_col),
-    )
+    if isinstance(df.schema[measure].dataType, IntegralType):
+        above, start = Window.partitionBy(period), F.lit(0)
+    else:
+        hist = with_range(hist.withColumn("_place", F.struct(period, measure)), "_place").drop("_place")
+        sizes = hist.groupBy(period, "_range").agg(F.sum("_rows").alias("_n"))
+        hist = join_back(hist, starts(sizes, "_n", "_before", keys=(period,), descending=True), [period, "_range"])
+        above, start = Window.partitionBy(period, "_range"), F.col("_before")
+    above = above.orderBy(F.col(measure).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.coalesce(F.sum("_rows").over(above), F.lit(0)) + start + 1
+    ranks = hist.select(period, measure, rank.cast("int").alias(rank_col))
     if k is not None:
         ranks = ranks.where(F.col(rank_col) <= k)
     return join_back(df, ranks, [period, measure])
@@ -124,6 +152,7 @@ def share_of_total(
 # P4
 # ---------------------------------------------------------------------------
 ROLLING_PLACES = 6  # published places of the rolling mean of 5-place rates
+BLOCK = 4096  # periods of a block
 
 
 def rolling_rate(
@@ -135,6 +164,7 @@ def rolling_rate(
     rolling_col: str,
     n: int = 3,
     calendar_index: Column | None = None,
+    many_periods: bool = False,
 ) -> DataFrame:
     """Rate of rows matching ``predicate`` per period, and its rolling mean
     over the current and ``n - 1`` previous periods.
@@ -146,18 +176,31 @@ def rolling_rate(
     period) for a range frame over calendar periods instead.
 
     The window runs over the per-period aggregate: one row per period, a
-    size bounded by the calendar span, not by the data.
+    size bounded by the calendar span, not by the data. ``many_periods`` is
+    for a long span of short periods: the aggregate is cut into blocks of
+    ``BLOCK`` positions, each with the ``n - 1`` before it as a halo, and the
+    window runs block by block.
     """
     per = df.groupBy(period_col.alias(period_name)).agg(
         F.count_if(predicate).alias("_hit"), F.count(F.lit(1)).alias("_all"),
         *([F.first(calendar_index).alias("_idx")] if calendar_index is not None else []),
     )
     per = per.withColumn("_rate5", F.expr(percent_units_sql("_hit", "_all", 5)))
+    if calendar_index is None and many_periods:
+        per = per.join(dense_keys(per, period_name, "_idx"), period_name)  # a place per period
+    if many_periods:
+        own = F.floor(F.col("_idx") / BLOCK)
+        per = per.withColumn("_own", own).withColumn("_block", F.explode(F.sequence(own, F.floor((F.col("_idx") + (n - 1)) / BLOCK))))
+        parts = ("_block",)
+    else:
+        parts = ()
     if calendar_index is None:
-        w = Window.orderBy(period_name).rowsBetween(-(n - 1), Window.currentRow)
+        w = Window.partitionBy(*parts).orderBy(period_name).rowsBetween(-(n - 1), Window.currentRow)
     else:
-        w = Window.orderBy("_idx").rangeBetween(-(n - 1), Window.currentRow)
+        w = Window.partitionBy(*parts).orderBy("_idx").rangeBetween(-(n - 1), Window.currentRow)
     per = per.withColumn("_s", F.sum("_rate5").over(w)).withColumn("_k", F.count("_rate5").over(w))
+    if many_periods:
+        per = per.where(F.col("_block") == F.col("_own"))
     return per.select(
         period_name,
         (F.col("_rate5").cast("double") / 10**5).alias(rate_col),

@@ -10,12 +10,11 @@ same SELECT, ``DENSE_RANK`` for surrogate keys, ``LAG``/``RANK``/``SUM OVER``
 
 from __future__ import annotations
 
-from clinistar.operators.generic import rolling_mean_sql
-
 # Parameters of the registered proxy queries.
 START = "1996-01-01"
 END = "1998-12-31"
 TOP_N = 10
+MANY = 5000  # a report longer than a merged top-n should be
 
 
 def pct(num: str, den: str) -> str:
@@ -29,6 +28,9 @@ def pct(num: str, den: str) -> str:
 #: c * 100 / t of two counts in units of 1e-5, rounded half up.
 RATE5 = "(CASE WHEN t <> 0 THEN (c::HUGEINT * 20000000 + t) // (t::HUGEINT * 2) END)"
 
+#: Mean of k such rates whose sum is s, in units of 1e-6, rounded half up.
+MEAN6 = "((s::HUGEINT * 10) // k + CASE WHEN 2 * ((s::HUGEINT * 10) % k) >= k THEN 1 ELSE 0 END)"
+
 
 RANGE = f"f.AppointmentDateTime BETWEEN DATE '{START}' AND DATE '{END}'"
 
@@ -163,6 +165,28 @@ SELECT DiagnosisMonth, Symptoms, DiagnosisName, PairCount, TotalPairCount,
 FROM w ORDER BY DiagnosisMonth, PairCount DESC"""
 
 
+def q3_records(symptoms: str) -> str:
+    """Q3 on the fact of records and prescriptions, by ``symptoms`` of a record."""
+    return _with(MODEL, STAR_DIMS, f"""
+seen AS (
+  SELECT strftime(a.AppointmentDateTime, '%Y-%m') AS DiagnosisMonth, {symptoms} AS Symptoms, r.DiagnosisID
+  FROM appointments a JOIN records r ON r.AppointmentID = a.AppointmentID
+                      LEFT JOIN prescriptions x ON x.AppointmentID = a.AppointmentID
+  WHERE a.AppointmentDateTime BETWEEN DATE '{START}' AND DATE '{END}' AND r.Symptoms IS NOT NULL
+),
+pairs AS (
+  SELECT DiagnosisMonth, Symptoms, DiagnosisName, COUNT(*) AS PairCount
+  FROM seen JOIN dim_diag USING (DiagnosisID) GROUP BY 1, 2, 3
+),
+w AS (
+  SELECT *, CAST(SUM(PairCount) OVER (PARTITION BY Symptoms, DiagnosisName) AS BIGINT) AS TotalPairCount,
+            SUM(PairCount) OVER (PARTITION BY DiagnosisMonth) AS MonthTotal
+  FROM pairs
+)""") + f"""
+SELECT DiagnosisMonth, Symptoms, DiagnosisName, PairCount, TotalPairCount,
+       {pct('PairCount', 'MonthTotal')} AS PercentageOfMonth FROM w"""
+
+
 def q4(in_range: bool = False) -> str:
     rate5 = RATE5
     where = f"WHERE {RANGE}" if in_range else ""
@@ -180,11 +204,11 @@ w AS (
   FROM r
 )""") + f"""
 SELECT AppointmentMonth, CAST(rate5 AS DOUBLE) / 100000 AS CancellationRate,
-       CAST({rolling_mean_sql('s', 'k', 'duckdb')} AS DOUBLE) / 1000000 AS RollingAvgCancellationRate
+       CAST({MEAN6} AS DOUBLE) / 1000000 AS RollingAvgCancellationRate
 FROM w ORDER BY AppointmentMonth"""
 
 
-def q5(dims: str, with_specialty: bool) -> str:
+def q5(dims: str, with_specialty: bool, top_n: int = TOP_N) -> str:
     attrs = "DoctorID, FirstName, LastName, DepartmentName" + (", Specialty" if with_specialty else "")
     d_attrs = ", ".join(f"d.{a.strip()}" for a in attrs.split(","))
     return _with(FACT, dims, f"""
@@ -203,7 +227,7 @@ SELECT {attrs}, AppointmentYear, AppointmentCount, PreviousYearCount,
        {pct('AppointmentCount - PreviousYearCount', 'PreviousYearCount')} AS YoYGrowthPercentage
 FROM w WHERE PreviousYearCount IS NOT NULL
 ORDER BY YoYGrowthPercentage DESC, DoctorID, AppointmentYear
-LIMIT {TOP_N}"""
+LIMIT {top_n}"""
 
 
 def _v1_body(distinct: bool) -> str:
@@ -294,7 +318,7 @@ w AS (
   FROM r
 )""") + f"""
 SELECT AppointmentMonth, CAST(rate5 AS DOUBLE) / 100000 AS CancellationRate,
-       CAST({rolling_mean_sql('s', 'k', 'duckdb')} AS DOUBLE) / 1000000 AS RollingAvgCancellationRate
+       CAST({MEAN6} AS DOUBLE) / 1000000 AS RollingAvgCancellationRate
 FROM w"""
 
 
@@ -352,6 +376,15 @@ def analytic_sql() -> dict[str, str]:
         "treatment_priority": u1(STAR_DIMS),
         "treatment_priority_snowflake": u1(SNOW_DIMS),
         "treatment_priority_distinct": u1(STAR_DIMS, 14, 8, True),
+        "treatment_priority_low": f"SELECT * REPLACE (coalesce(TreatmentPriority, 'Low') AS TreatmentPriority) FROM ({u1(STAR_DIMS)})",
+        "top_doctors_all": q5(STAR_DIMS, False, MANY),
+        "symptom_diagnosis_set": q3_records("array_to_string(list_sort(string_split(r.Symptoms, ', ')), ', ')"),
+        "symptom_diagnosis_exploded": q3_records("unnest(string_split(r.Symptoms, ', '))"),
+        "diagnosis_treatment_summary_distinct": _with(MODEL, STAR_DIMS) + """
+SELECT a.PatientID, d.DiagnosisName, d.ICD10Code, m.MedicationName, COUNT(DISTINCT a.AppointmentID) AS TreatmentCount
+FROM appointments a JOIN records r ON r.AppointmentID = a.AppointmentID JOIN dim_diag d ON d.DiagnosisID = r.DiagnosisID
+JOIN prescriptions x ON x.AppointmentID = a.AppointmentID JOIN dim_med m ON m.MedicationID = x.MedicationID
+GROUP BY ALL""",
     }
 
 
@@ -697,6 +730,18 @@ FROM orders""",
 # ---------------------------------------------------------------------------
 # generic operators over events by day
 # ---------------------------------------------------------------------------
+def minute_rates(frame: str) -> str:
+    """Error rate by minute and its mean over a frame of minutes."""
+    return f"""
+WITH m AS (SELECT date_trunc('minute', ts) AS slot, COUNT(*) FILTER (WHERE event_type = 'error') AS c, COUNT(*) AS t
+           FROM events GROUP BY 1),
+r AS (SELECT slot, {RATE5} AS rate5 FROM m),
+w AS (SELECT slot, rate5, SUM(rate5) OVER (ORDER BY slot {frame}) AS s, COUNT(rate5) OVER (ORDER BY slot {frame}) AS k FROM r)
+SELECT strftime(slot, '%Y-%m-%d %H:%M') AS EventMinute, CAST(rate5 AS DOUBLE) / 100000 AS ErrorRate,
+       CAST({MEAN6} AS DOUBLE) / 1000000 AS RollingErrorRate
+FROM w"""
+
+
 DAILY = """
 daily AS (
   SELECT event_type, CAST(ts AS DATE) AS EventDay, COUNT(*) AS EventCount FROM events GROUP BY 1, 2
@@ -736,8 +781,23 @@ w AS (SELECT EventDay, rate5,
              COUNT(rate5) OVER (ORDER BY EventDay ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS k
       FROM r)
 SELECT EventDay, CAST(rate5 AS DOUBLE) / 100000 AS ErrorRate,
-       CAST({rolling_mean_sql('s', 'k', 'duckdb')} AS DOUBLE) / 1000000 AS RollingErrorRate
+       CAST({MEAN6} AS DOUBLE) / 1000000 AS RollingErrorRate
 FROM w""",
+        "rolling_rate_minute": minute_rates("ROWS BETWEEN 59 PRECEDING AND CURRENT ROW"),
+        "rolling_rate_minute_calendar": minute_rates("RANGE BETWEEN INTERVAL 59 MINUTE PRECEDING AND CURRENT ROW"),
+        "period_change_minute": f"""
+WITH per AS (SELECT event_type, strftime(ts, '%Y-%m-%d %H:%M') AS EventMinute, COUNT(*) AS EventCount FROM events GROUP BY 1, 2),
+w AS (SELECT *, LAG(EventCount) OVER (PARTITION BY event_type ORDER BY EventMinute) AS PreviousCount FROM per)
+SELECT *, {pct('EventCount - PreviousCount', 'PreviousCount')} AS ChangePercentage FROM w""",
+        "rank_in_period_value": """
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS OrderYear, o_totalprice,
+       CAST(RANK() OVER (PARTITION BY year(o_orderdate) ORDER BY o_totalprice DESC) AS INTEGER) AS RankInYear
+FROM orders""",
+        "rank_in_period_decimal": """
+WITH spent AS (SELECT CAST(ts AS DATE) AS EventDay, user_id, SUM(CAST(value AS DECIMAL(12,2))) AS Spent FROM events GROUP BY 1, 2)
+SELECT EventDay, user_id, CAST(Spent AS DOUBLE) AS Spent,
+       CAST(RANK() OVER (PARTITION BY EventDay ORDER BY Spent DESC) AS INTEGER) AS RankInDay
+FROM spent""",
         "conditional_counts": _with(PER_USER) + " SELECT * FROM per_user",
         "tiered_label": _with(PER_USER) + """
 SELECT user_id, Events, Errors,
@@ -767,6 +827,7 @@ def sql_surface_sql() -> dict[str, str]:
         "sql_symptom_diagnosis": q3(STAR_DIMS),
         "sql_rolling_cancellations": q4(in_range=True),
         "sql_top_doctors": q5(STAR_DIMS, False),
+        "sql_top_doctors_all": q5(STAR_DIMS, False, MANY),
         "sql_medication_trends_snowflake": q2(SNOW_DIMS),
         "sql_symptom_diagnosis_snowflake": q3(SNOW_DIMS),
         "sql_rolling_cancellations_snowflake": q4(in_range=True),

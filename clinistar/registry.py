@@ -30,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 START = dt.date.fromisoformat(oracle.START)
 END = dt.date.fromisoformat(oracle.END)
 TOP_N = oracle.TOP_N
+MANY = oracle.MANY
 
 
 def _on(kind: str, fn: Callable, *args, **kwargs) -> Query:
@@ -40,6 +41,11 @@ def _on(kind: str, fn: Callable, *args, **kwargs) -> Query:
     return run
 
 
+def _on_records(fn: Callable, *args, **kwargs) -> Query:
+    """On the star whose fact is built from records and prescriptions."""
+    return lambda spark, sf_dir: fn(B.build_star(proxy.oltp_tables(spark, sf_dir)), *args, **kwargs)
+
+
 def _priority(kind: str, **kwargs) -> Query:
     cols = ["AppointmentID", "PatientID", "DoctorID", "DiagnosisID", "MedicationID", "Status",
             "TreatmentPriority"]
@@ -64,6 +70,11 @@ def analytic_queries() -> dict[str, Query]:
     q["medication_trends_top3"] = _on("star", A.medication_trends, START, END, top_k=3)
     q["rolling_cancellations_calendar"] = _on("star", A.rolling_cancellations, None, None, calendar=True)
     q["top_doctors_per_doctor"] = _on("star", A.top_doctors, START, END, TOP_N, per="doctor")
+    q["top_doctors_all"] = _on("star", A.top_doctors, START, END, MANY)
+    for mode in ("set", "exploded"):  # on the fact whose records list their symptoms
+        q[f"symptom_diagnosis_{mode}"] = _on_records(A.symptom_diagnosis, START, END, symptom_mode=mode)
+    q["diagnosis_treatment_summary_distinct"] = _on_records(A.diagnosis_treatment_summary, distinct_appointments=True)
+    q["treatment_priority_low"] = _priority("star", unmatched="low")
     q["appointment_summary"] = _on("star", A.appointment_summary)
     q["appointment_summary_snowflake"] = _on("snowflake", A.appointment_summary)
     q["treatment_priority"] = _priority("star")
@@ -272,6 +283,18 @@ def generic_queries() -> dict[str, Query]:
             F.count(F.lit(1)).alias("EventCount")
         )
 
+    def per_minute(spark, sf_dir):
+        ev = _t(spark, sf_dir, "events")
+        return ev.groupBy("event_type", F.date_format("ts", "yyyy-MM-dd HH:mm").alias("EventMinute")).agg(
+            F.count(F.lit(1)).alias("EventCount")
+        )
+
+    def spent(spark, sf_dir):
+        ev = _t(spark, sf_dir, "events")
+        return ev.groupBy(F.to_date("ts").alias("EventDay"), "user_id").agg(
+            F.sum(F.col("value").cast("decimal(12,2)")).alias("Spent")
+        )
+
     def per_user(spark, sf_dir):
         ev = _t(spark, sf_dir, "events")
         return G.conditional_counts(
@@ -292,6 +315,26 @@ def generic_queries() -> dict[str, Query]:
             _t(s, d, "events"), F.date_format("ts", "yyyy-MM-dd"), "EventDay",
             F.col("event_type") == "error", "ErrorRate", "RollingErrorRate", n=3,
         ),
+        # short periods, long spans, measures that are no counts: by ranges
+        "period_change_minute": lambda s, d: G.period_change(
+            per_minute(s, d), ["event_type"], "EventMinute", "EventCount", "PreviousCount", "ChangePercentage", spread=True
+        ),
+        "rank_in_period_value": lambda s, d: G.rank_in_period(
+            _t(s, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("OrderYear"), "o_totalprice"),
+            "OrderYear", "o_totalprice", "RankInYear",
+        ),
+        "rank_in_period_decimal": lambda s, d: G.rank_in_period(spent(s, d), "EventDay", "Spent", "RankInDay").select(
+            "EventDay", "user_id", F.col("Spent").cast("double").alias("Spent"), "RankInDay"
+        ),
+        "rolling_rate_minute": lambda s, d: G.rolling_rate(
+            _t(s, d, "events"), F.date_format("ts", "yyyy-MM-dd HH:mm"), "EventMinute",
+            F.col("event_type") == "error", "ErrorRate", "RollingErrorRate", n=60, many_periods=True,
+        ),
+        "rolling_rate_minute_calendar": lambda s, d: G.rolling_rate(
+            _t(s, d, "events"), F.date_format("ts", "yyyy-MM-dd HH:mm"), "EventMinute",
+            F.col("event_type") == "error", "ErrorRate", "RollingErrorRate", n=60, many_periods=True,
+            calendar_index=F.unix_date(F.to_date("ts")).cast("long") * 1440 + F.hour("ts") * 60 + F.minute("ts"),
+        ),
         "conditional_counts": per_user,
         "tiered_label": lambda s, d: per_user(s, d).select(
             "user_id", "Events", "Errors",
@@ -356,6 +399,7 @@ def sql_queries() -> dict[str, Query]:
         "sql_symptom_diagnosis_snowflake": via_sql("snowflake", f"SELECT * FROM GetSymptomDiagnosisCorrelation({rng})"),
         "sql_rolling_cancellations_snowflake": via_sql("snowflake", f"SELECT * FROM GetRollingAvgCancellations({rng})"),
         "sql_top_doctors_snowflake": via_sql("snowflake", f"SELECT * FROM GetTopDoctorsByGrowthRate({rng}, {TOP_N})"),
+        "sql_top_doctors_all": via_sql("star", f"SELECT * FROM GetTopDoctorsByGrowthRate({rng}, {MANY})"),
         "sql_trending_diagnoses_top": _parameterized_top_diagnoses,
         "sql_appointment_summary": via_sql("star", "SELECT * FROM AppointmentSummary"),
         "sql_diagnosis_treatment_summary": via_sql("snowflake", "SELECT * FROM DiagnosisTreatmentSummary"),
