@@ -5,13 +5,16 @@ similarity of at least 0.75. Then each has at least 75 % of its shingles in
 common with the other, so under any order of all tokens their first
 ``n - ceil(0.75 n) + 1`` tokens, the prefix, share one.
 
-1. Tokens are counted over all texts, to know which are in a single text.
-   Those can't be shared; every order puts them first. What is left is one
-   bit a token, a bitmap of bounded size (``BITMAP_BITS``): once it is full
-   it misses some of the lone tokens, which costs work and changes nothing.
-2. A text with more than 25 % lone tokens is similar to no other. The others
-   become one row per distinct set, with their prefixes under ``ORDERS``
-   orders: lone tokens first, the rest by a different hash each.
+1. Tokens are counted over all texts: some are in a single text, most in a
+   few, and those of passages that many texts share in ``COMMON`` or more.
+   What is left of the counts is two bits a token, in bitmaps of bounded size
+   (``BITMAP_BITS``): once they are full they miss some of the lone tokens or
+   call rare ones common, which costs work and changes nothing.
+2. Lone tokens can't be shared, and every order puts them first; common ones
+   come last, so a shared passage is in few prefixes. A text with more than
+   25 % lone tokens is similar to no other. The others become one row per
+   distinct set, with their prefixes under ``ORDERS`` orders: a different hash
+   each inside the three classes.
 3. Candidates share a prefix token of the first order, their sizes without
    lone tokens allow the similarity, and they also share a prefix token under
    each other order. The sizes of a pair say how much it has to share, which
@@ -20,8 +23,9 @@ common with the other, so under any order of all tokens their first
    prefix token) are tried. First each set meets one other: of its buckets'
    centres, the sets with the fewest lone tokens, the best. Sets that are then
    connected need no more. A second round has centres from the rest; after
-   it, all sets of the buckets that still hold unconnected ones are compared
-   block by block (``between``). Nothing is capped.
+   it, the pairs of a bucket that aren't connected yet are candidates, all of
+   them. A large bucket is dealt to blocks that meet in pairs. Nothing is
+   capped.
 5. A pair is first compared by 32 bits of its tokens, which can only find too
    much in common, and what passes by all 64.
 
@@ -54,8 +58,10 @@ RANGE_TOKENS = 1 << 21
 #: Tokens that a task gathers before it sends them on.
 GATHERED = 1 << 19
 STARS = 2
-#: Tokens of a block of sets that is compared with another.
-BLOCK_TOKENS = 1 << 20
+#: Texts from which on a token is common.
+COMMON = 64
+#: Sets of a bucket, or of a block of a larger one, that meet another block.
+BLOCK_SETS = 2048
 #: Ids of candidates that are sent to all tasks, at most; beyond that they are joined.
 SENT_IDS = 1 << 20
 
@@ -106,9 +112,9 @@ def needed(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
-def bitmap(docs: DataFrame) -> np.ndarray:
+def bitmap(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """A bit for each value of the tokens' leading bits: 1 if some token with
-    them may be in more than one text."""
+    them may be in more than one text; and 1 if one may be common."""
     total = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
     bits = max(0, math.ceil(math.log2(max(1, total) / RANGE_TOKENS)))
 
@@ -139,68 +145,76 @@ def bitmap(docs: DataFrame) -> np.ndarray:
 
     def shared(g: pd.DataFrame) -> pd.DataFrame:
         every = np.sort(np.concatenate([np.frombuffer(t, np.uint32) for t in g["tokens"]]))
-        again = np.unique(every[1:][every[1:] == every[:-1]])
-        return pd.DataFrame({"range": g["range"].iloc[:1], "n": len(again), "tokens": [again.tobytes()]})
+        again, last = np.unique(every[1:][every[1:] == every[:-1]]), COMMON - 1
+        often = np.unique(every[last:][every[last:] == every[: len(every) - last]])
+        return pd.DataFrame({"range": g["range"].iloc[:1], "n": len(again), "tokens": [again.tobytes()], "common": [often.tobytes()]})
 
     parts = docs.select("text").mapInPandas(gather, "range int, tokens binary")
-    found = staged(parts.groupBy("range").applyInPandas(shared, "range int, n long, tokens binary"), "jaccard-shared")
+    found = staged(parts.groupBy("range").applyInPandas(shared, "range int, n long, tokens binary, common binary"), "jaccard-shared")
     n = found.agg(F.sum("n")).first()[0] or 0
     size = min(BITMAP_BITS.bit_length() - 1, max(bits + 3, math.ceil(math.log2(max(8, BITS_A_TOKEN * n)))))
 
     def piece(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def packed(tokens: bytes) -> bytes:
+            bit = np.zeros(1 << (size - bits), np.uint8)
+            bit[np.frombuffer(tokens, np.uint32).astype(np.uint64) >> np.uint64(32 - (size - bits))] = 1
+            return np.packbits(bit).tobytes()
+
         for b in batches:
-            out = []
-            for r, tokens in zip(b["range"], b["tokens"]):
-                bit = np.zeros(1 << (size - bits), np.uint8)
-                bit[np.frombuffer(tokens, np.uint32).astype(np.uint64) >> np.uint64(32 - (size - bits))] = 1
-                out.append((r, np.packbits(bit).tobytes()))
-            yield pd.DataFrame(out, columns=["range", "bits"])
+            out = [(r, packed(t), packed(c)) for r, t, c in zip(b["range"], b["tokens"], b["common"])]
+            yield pd.DataFrame(out, columns=["range", "bits", "common"])
 
-    whole = np.zeros(1 << (size - 3), np.uint8)
+    whole = np.zeros(1 << (size - 3), np.uint8), np.zeros(1 << (size - 3), np.uint8)
     step = 1 << (size - bits - 3)
-    for r, b in found.mapInPandas(piece, "range int, bits binary").collect():  # BITMAP_BITS / 8 bytes at most
-        whole[r * step : (r + 1) * step] = np.frombuffer(b, np.uint8)
+    for r, *both in found.mapInPandas(piece, "range int, bits binary, common binary").collect():  # 2 x BITMAP_BITS / 8 bytes at most
+        for out, b in zip(whole, both):
+            out[r * step : (r + 1) * step] = np.frombuffer(b, np.uint8)
     return whole
 
 
-def prefixes(tokens: np.ndarray, n: int) -> list[np.ndarray]:
-    """``tokens``: those not alone, of a set of ``n``. Their part of the prefix, under each order."""
+def marked(bits: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    at = tokens >> np.uint64(64 - (len(bits).bit_length() + 2))
+    return (bits[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1 == 1
+
+
+def prefixes(tokens: np.ndarray, n: int, common: np.ndarray) -> list[np.ndarray]:
+    """``tokens``: those not alone, of a set of ``n``. Their part of the prefix,
+    under each order; those in ``common`` come last."""
     rest = n - needed(n) + 1 - (n - len(tokens))
     if rest <= 0:
         return [tokens[:0]] * ORDERS
-    return [tokens[np.argsort(mixed(tokens, k + 1))[:rest]] for k in range(ORDERS)]
+    return [tokens[np.lexsort((mixed(tokens, k + 1), common))[:rest]] for k in range(ORDERS)]
 
 
 def sets(docs: DataFrame, bits) -> DataFrame:
-    """A row per text: ``doc_id, set_id, n``, and, once per task and set, if it
+    """A row per text: ``doc_id, text_key, set_id, n``, and, once per task and set, if it
     may be similar to another: ``alone, tokens``, their last 32 bits (``short``; so
     many are ``hidden`` behind equal ones) and its prefixes."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "set_id", "n", "alone", "tokens", "short", "hidden", *(f"p{k}" for k in range(ORDERS))]
+    names = ["doc_id", "text_key", "set_id", "n", "alone", "tokens", "short", "hidden", *(f"p{k}" for k in range(ORDERS))]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = bits.value
-        size, seen = len(known).bit_length() + 2, set()
+        known, often = bits.value
+        seen = set()
         for b in batches:
             out = []
-            for doc_id, text in zip(b["doc_id"], b["text"]):
+            for doc_id, key, text in zip(b["doc_id"], b["text_key"], b["text"]):
                 every = shingles(text)
                 n, same = len(every), set_id(every)
-                at = every >> np.uint64(64 - size)
-                tokens = every[(known[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1 == 1]
-                row = (doc_id, same, n, n - len(tokens))
+                tokens = every[marked(known, every)]
+                row = (doc_id, key, same, n, n - len(tokens))
                 if not n or len(tokens) < needed(n) or same in seen:
                     out.append((*row, *[None] * (3 + ORDERS)))
                 else:
-                    first, *others = prefixes(tokens, n)
+                    first, *others = prefixes(tokens, n, marked(often, tokens))
                     short = np.unique(tokens.astype(np.uint32)).view(np.int32)
                     out.append((*row, tokens.view(np.int64), short, len(tokens) - len(short), first.view(np.int64), *(p.astype(np.uint32).view(np.int32) for p in others)))
                     seen.add(same)
             yield pd.DataFrame(out, columns=names).astype({"doc_id": "object", "hidden": "Int32"})
 
     more = "".join(f", p{k} array<int>" for k in range(1, ORDERS))
-    schema = f"doc_id {kind}, set_id long, n long, alone long, tokens array<long>, short array<int>, hidden int, p0 array<long>{more}"
-    return docs.select("doc_id", "text").mapInPandas(read, schema)
+    schema = f"doc_id {kind}, text_key long, set_id long, n long, alone long, tokens array<long>, short array<int>, hidden int, p0 array<long>{more}"
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInPandas(read, schema)
 
 
 def to_share(n: Column, m: Column) -> Column:
@@ -224,16 +238,18 @@ def verified(pairs: DataFrame, alive: DataFrame) -> DataFrame:
         side = lambda s: some.select(F.col("set_id").alias(f"{s}_set_id"), *(F.col(c).alias(f"{s}_{c}") for c in columns))
         return pairs.join(side("a"), F.col("a") == F.col("a_set_id")).join(side("b"), F.col("b") == F.col("b_set_id"))
 
-    short = both(pairs, ["n", "alone", "short", "hidden", *(f"p{k}" for k in range(1, ORDERS))])
+    near = both(pairs, ["n", "alone", *(f"p{k}" for k in range(1, ORDERS))])
     least = to_share(F.col("a_n"), F.col("b_n"))
     prefix = lambda s, k: F.slice(f"{s}_p{k}", F.lit(1), F.greatest(F.lit(0), F.col(f"{s}_n") - least + 1 - F.col(f"{s}_alone")).cast("int"))
     for k in range(1, ORDERS):
-        short = short.where(F.arrays_overlap(prefix("a", k), prefix("b", k)))
+        near = near.where(F.arrays_overlap(prefix("a", k), prefix("b", k)))
+    near = staged(near.select("a", "b"), "jaccard-near")
+    short = both(near, ["n", "short", "hidden"])
     most = F.size(F.array_intersect("a_short", "b_short")) + F.least("a_hidden", "b_hidden")
     close = staged(short.where(similar(most)).select("a", "b"), "jaccard-close")
     exact = F.size(F.array_intersect("a_tokens", "b_tokens"))
     found = staged(both(close, ["n", "tokens"]).where(similar(exact)).select("a", "b"), "jaccard-links")
-    discard(pairs.sparkSession, close)
+    discard(pairs.sparkSession, close, near)
     return found
 
 
@@ -247,13 +263,6 @@ def links(alive: DataFrame) -> DataFrame:
     buckets = staged(every_bucket.join(several, "token"), "jaccard-buckets")
     discard(spark, every_bucket)
 
-    def fits():
-        """The pair could share enough, and the token is in both prefixes as
-        this pair's sizes make them."""
-        best = F.least(F.col("n") - F.col("alone"), F.col("c_n") - F.col("c_alone"))
-        least = to_share(F.col("n"), F.col("c_n"))
-        return (best >= least) & (F.col("place") <= F.col("n") - least) & (F.col("c_place") <= F.col("c_n") - least)
-
     rank = F.struct((F.col("alone") / F.col("n")).alias("share"), F.col("set_id").alias("id"), *sizes, "label")
     labelled, found, tried = buckets.withColumn("label", F.col("set_id")), [], []
     for turn in range(STARS):
@@ -262,7 +271,7 @@ def links(alive: DataFrame) -> DataFrame:
             outside = labelled.join(centres.select("token", F.col("c.label").alias("main")), "token").where("label <> main")
             centres = outside.groupBy("token").agg(F.min(rank).alias("c"))
         centres = centres.select("token", F.col("c.share").alias("share"), *(F.col(f"c.{x}").alias(f"c_{x}") for x in ("id", *sizes, "label")))
-        met = labelled.join(centres, "token").where((F.col("label") != F.col("c_label")) & fits())
+        met = labelled.join(centres, "token").where((F.col("label") != F.col("c_label")) & fits("", "c_"))
         pairs = met.select("set_id", "c_id", "share", F.least("set_id", "c_id").alias("a"), F.greatest("set_id", "c_id").alias("b"))
         for t in tried:
             pairs = pairs.join(t, ["a", "b"], "left_anti")
@@ -279,73 +288,48 @@ def links(alive: DataFrame) -> DataFrame:
         if labelled.isEmpty():
             break
     else:
-        found.append(between(labelled, alive))
+        found.append(verified(unconnected(labelled), alive))
     return reduce(DataFrame.unionByName, found)
 
 
-def between(labelled: DataFrame, alive: DataFrame) -> DataFrame:
-    """Links that connect the labels of all pairs in a bucket that are similar.
-
-    Sets that share a bucket, directly or over others, are a family. A family
-    is dealt to blocks of about ``BLOCK_TOKENS`` tokens, and a task compares
-    two blocks: it counts shared tokens by sorted lists, and returns links only
-    between labels that it hasn't connected yet, so a family of any size
-    returns no more rows than it has sets for each pair of blocks.
-    """
-    spark = alive.sparkSession
-    low = labelled.groupBy("token").agg(F.min("set_id").alias("low"))
-    family = components(labelled.join(low, "token").select(F.col("set_id").alias("a"), F.col("low").alias("b")))
-    label = labelled.select("set_id", "label").distinct()
-    rows = family.join(label, F.col("node") == F.col("set_id")).select("set_id", "label", F.col("root").alias("family"))
-    rows = staged(alive.select("set_id", "n", "tokens").join(rows, "set_id"), "jaccard-family")
-    blocks = rows.groupBy("family").agg(F.ceil(F.sum(F.size("tokens")) / BLOCK_TOKENS).alias("blocks")).withColumnRenamed("family", "of")
-    dealt = rows.join(blocks, F.col("family") == F.col("of")).withColumn("block", F.pmod(F.xxhash64("set_id"), "blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    dealt = dealt.withColumn("other", other).select(
-        "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set_id", "n", "label", "tokens"
-    )
-
-    def compare(g: pd.DataFrame) -> pd.DataFrame:
-        left = g[g["block"] == g["i"]].sort_values("set_id")
-        right = g[g["block"] == g["j"]].sort_values("set_id")
-        return pd.DataFrame(cross_links(left, right), columns=["a", "b"])
-
-    # Pairs of blocks are few and heavy: spread them, whatever their bytes.
-    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "family", "i", "j")
-    out = staged(dealt.groupBy("family", "i", "j").applyInPandas(compare, "a long, b long"), "jaccard-links")
-    discard(spark, rows)
-    return out
-
-
-def cross_links(left: pd.DataFrame, right: pd.DataFrame) -> list[tuple[int, int]]:
-    """Similar pairs of two blocks with different labels, as many as connect the labels."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (up := parent.get(x, x)) != x:
-            parent[x] = parent.get(up, up)
-            x = up
-        return x
-
-    lengths = [len(t) for t in right["tokens"]]
-    every = np.concatenate([*right["tokens"], np.empty(0, np.int64)]).astype(np.int64)
-    owner = np.repeat(np.arange(len(lengths)), lengths)
-    order = np.argsort(every, kind="stable")
-    every, owner = every[order], owner[order]
-    n, ids, labels = (right[c].to_numpy(dtype=np.int64) for c in ("n", "set_id", "label"))
-    out = []
-    for a, n_a, label, tokens in zip(left["set_id"], left["n"], left["label"], left["tokens"]):
-        t = np.sort(np.asarray(tokens, dtype=np.int64))
-        start, stop = np.searchsorted(every, t), np.searchsorted(every, t, side="right")
-        size = stop - start
-        at = np.repeat(stop - size.cumsum(), size) + np.arange(size.sum())
-        shared = np.bincount(owner[at], minlength=len(ids))
-        for k in np.flatnonzero((100 * shared >= PERCENT * (n_a + n - shared)) & (labels != label)):
-            x, y = root(int(label)), root(int(labels[k]))
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-                out.append((int(a), int(ids[k])))
-    return out
+def unconnected(labelled: DataFrame) -> DataFrame:
+    """All pairs ``a, b`` of a bucket with different labels that could share
+    enough. A bucket of more than ``BLOCK_SETS`` sets is dealt to blocks; each
+    of its sets goes to all blocks on one side and to its own on the other, so
+    no task holds the bucket. Only ids and sizes move."""
+    blocks = labelled.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("blocks"))
+    sides = labelled.join(blocks, "token")
+    columns = ("set_id", "n", "alone", "place", "label")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    one = sides.select("token", *(F.col(c).alias(f"a_{c}") for c in columns), every.alias("block"))
+    other = sides.select("token", *(F.col(c).alias(f"b_{c}") for c in columns), F.pmod(F.xxhash64("set_id"), "blocks").alias("block"))
+    met = one.join(other, ["token", "block"]).where((F.col("a_set_id") < F.col("b_set_id")) & (F.col("a_label") != F.col("b_label")) & fits("a_", "b_"))
+    return staged(met.select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b")).distinct(), "jaccard-pairs")
+
+
+def fits(x: str, y: str) -> Column:
+    """Two sets of a bucket could share enough, and the token is in both
+    prefixes as this pair's sizes make them."""
+    col = lambda side, name: F.col(f"{side}{name}")
+    best = F.least(*(col(s, "n") - col(s, "alone") for s in (x, y)))
+    least = to_share(col(x, "n"), col(y, "n"))
+    return (best >= least) & (col(x, "place") <= col(x, "n") - least) & (col(y, "place") <= col(y, "n") - least)
+
+
+def components_of(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_key, n, root`` of every row: the size of its set and the
+    set that names its component."""
+    spark = docs.sparkSession
+    bits = spark.sparkContext.broadcast(bitmap(docs))
+    discard(spark)
+    read = staged(sets(docs, bits), "jaccard-sets")
+    rows = staged(read.select("doc_id", "text_key", "set_id", "n"), "jaccard-ids")
+    alive = staged(read.where("size(p0) > 0").drop("doc_id", "text_key").dropDuplicates(["set_id"]), "jaccard-alive")
+    discard(spark, read)
+    roots = components(links(alive))
+    discard(spark, alive)
+    named = rows.join(roots, F.col("set_id") == F.col("node"), "left")
+    return named.select("doc_id", "text_key", "n", F.coalesce("root", "set_id").alias("root"))
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -359,39 +343,33 @@ def groups(docs: DataFrame) -> DataFrame:
     towards the smallest id; a component of such rows alone has a null id. No
     rows give no rows.
     """
-    spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(bitmap(docs))
-    discard(spark)
-    read = staged(sets(docs, bits), "jaccard-sets")
-    rows = staged(read.select("doc_id", "set_id", "n"), "jaccard-ids")
-    alive = staged(read.where("size(p0) > 0").drop("doc_id").dropDuplicates(["set_id"]), "jaccard-alive")
-    discard(spark, read)
-    roots = components(links(alive))
-    discard(spark, alive)
-    named = rows.select("doc_id", "n", "set_id").join(roots, F.col("set_id") == F.col("node"), "left")
-    named = named.withColumn("root", F.coalesce("root", "set_id"))
+    named = components_of(docs)
     least = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least")).withColumnRenamed("root", "of")
     out = named.join(least, (F.col("root") == F.col("of")) & (F.col("n") > 0), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each component the row
-    with the smallest id stays; if several have it, the one whose text comes
-    first. Rows without an id or without shingles all stay.
-
-    The texts are shuffled once, by id.
+    """The rows of ``docs`` without near duplicates: of each component one row
+    stays, the one with the smallest id (null last), then by its text's hash.
+
+    ``docs`` needs ``doc_id, text`` and keeps all its columns, whatever their
+    names. Components are of texts: rows that repeat an id with unlike texts
+    all stay, and rows without an id are compared like others. Of rows with
+    equal id and text one stays, the first by a hash of the row. Null and
+    empty texts, and those of blanks, have no shingles and all stay. No rows
+    give no rows. The texts are shuffled once, by id.
     """
-    found = groups(docs).where("doc_id is not null")
-    keep = found.groupBy("doc_id").agg(
-        F.max((F.col("n_shingles") > 0) & (F.col("doc_id") == F.col("component_id"))).alias("first"),
-        F.max(F.col("n_shingles") == 0).alias("empty"),
-    ).where("first or empty").select(F.col("doc_id").alias("keep_id"), F.col("first").alias("keep_first"))
-    blank = F.length(F.translate(F.coalesce("text", F.lit("")), ASCII_BLANKS, "")) == 0
-    one = Window.partitionBy("keep_id", blank).orderBy("text")
-    named = docs.join(keep, F.col("doc_id") == F.col("keep_id")).withColumn("keep_nth", F.row_number().over(one))
-    kept = named.where(blank | (F.col("keep_first") & (F.col("keep_nth") == 1))).select(*docs.columns)
-    return kept.unionByName(docs.where("doc_id is null"))
+    named = components_of(docs).where("n > 0")
+    first = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first"))
+    keep = first.select(F.col("first.doc_id").alias("keep_id"), F.col("first.text_key").alias("keep_key"))
+    nested = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"))
+    blank = F.length(F.translate(F.coalesce("row.text", F.lit("")), ASCII_BLANKS, "")) == 0
+    plain = [f"row.`{f.name}`" for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]  # maps have no hash
+    found = nested.where(~blank).join(keep, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("key") == F.col("keep_key")))
+    one = Window.partitionBy("id", "key").orderBy(F.xxhash64(*plain))
+    kept = found.withColumn("nth", F.row_number().over(one)).where("nth = 1").select("row.*")
+    return kept.unionByName(nested.where(blank).select("row.*"))
 
 
 def op7_jaccard(spark, sf_dir) -> DataFrame:

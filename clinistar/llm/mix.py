@@ -121,9 +121,11 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     mix doesn't reach go.
 
     The text isn't joined back by id. A source's cut is one key, so each row
-    is compared with its source's cut: one small row per source.
+    is compared with its source's cut: one small row per source. All columns
+    of ``docs`` stay as they are, whatever their names. Null, empty and blank
+    texts have no words and go; a null source is one of its own; repeated rows
+    are separate documents. No rows give no rows.
     """
-    columns = docs.columns
     plan = mix(docs, **options)
     place = F.struct("key", "doc_id", "size")
     cuts = staged(
@@ -138,15 +140,16 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         ).select(F.col("source").alias("mix_source"), "passes", "cut"),
         "mix-cuts",
     )
-    size = word_count(F.col("text"))
-    here = F.struct(random_key(F.col("doc_id"), size, options.get("seed", SEED)).alias("key"), "doc_id", size.alias("size"))
+    size = word_count(F.col("row.text"))
+    here = F.struct(random_key(F.col("row.doc_id"), size, options.get("seed", SEED)).alias("key"), F.col("row.doc_id"), size.alias("size"))
     times = F.col("passes") + F.when(F.col("cut").isNotNull() & (here <= F.col("cut")), 1).otherwise(0)
     return (
-        docs.join(cuts, F.col("source").eqNullSafe(F.col("mix_source")))
+        docs.select(F.struct("*").alias("row"))
+        .join(cuts, F.col("row.source").eqNullSafe(F.col("mix_source")))
         .where(size > 0)
         .withColumn("mix_pass", F.explode(F.sequence(F.lit(0), times.cast("int"))))
         .where(F.col("mix_pass") > 0)
-        .select(*columns)
+        .select("row.*")
     )
 
 

@@ -221,8 +221,9 @@ def test_jaccard_groups_equal_brute_force(spark):
     assert sorted(((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in got)) == brute_groups(data)
     kept = jaccard.one_of_each(d)
     assert kept.columns == d.columns
-    ids = [r.doc_id for r in kept.collect() if r.doc_id is not None and (r.text or "").strip()]
-    assert sorted(ids) == sorted({r.component_id for r in got if r.component_id is not None and r.n_shingles > 0} & {r.doc_id for r in got if r.doc_id == r.component_id})
+    ids = [r.doc_id for r in kept.collect() if (r.text or "").strip()]
+    assert set(ids) - {None} == {r.component_id for r in got if r.component_id is not None and r.n_shingles > 0}
+    assert ids.count(None) == 1  # the text that has no id and no copy with one
 
 
 def test_jaccard_full_bitmap_changes_nothing(spark, monkeypatch):
@@ -238,15 +239,49 @@ def test_jaccard_empty_table(spark, odd):
     assert jaccard.one_of_each(odd.limit(0)).count() == 0
 
 
-def test_cross_links_connect_labels():
-    import pandas as pd
+def test_jaccard_large_buckets_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 3)
+    monkeypatch.setattr(jaccard, "COMMON", 4)
+    monkeypatch.setattr(jaccard, "STARS", 0)  # all pairs of a bucket are candidates
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(60)]
+    data = []
+    for i in range(40):
+        text = list(base)
+        for k in range(rng.randrange(0, 8)):
+            text[rng.randrange(60)] = f"c{rng.randrange(6)}"
+        data.append((i, " ".join(text)))
+    got = jaccard.groups(docs(spark, rows(*data))).collect()
+    assert sorted(((False, r.doc_id, r.n_shingles, r.component_id) for r in got)) == brute_groups(data)
+
+
+CLASHES = "keep_id int, keep_key int, keep_nth int, row int, id int, key int, nth int, root int, n int, passes int, cut int, mix_pass int, mix_source int, size int"
 
-    def frame(sets):
-        return pd.DataFrame([(i, len(t), l, np.array(t)) for i, l, t in sets], columns=["set_id", "n", "label", "tokens"])
 
-    left = frame([(1, 1, [1, 2, 3, 4]), (2, 2, [9, 10])])
-    right = frame([(3, 3, [1, 2, 3, 4]), (4, 3, [1, 2, 3, 4]), (5, 5, [1, 9])])
-    assert jaccard.cross_links(left, right) == [(1, 3)]
+def clashing(spark, data):
+    """``doc_id, text`` with columns named like those the stages use inside."""
+    n = CLASHES.count(",") + 1
+    return spark.createDataFrame([(d, t, "s", *range(k, k + n)) for k, (d, t) in enumerate(data)], f"doc_id long, text string, source string, {CLASHES}")
+
+
+def test_one_of_each_loses_no_unlike_text(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(30)) for c in "xyz")
+    data = [(1, x), (1, z), (2, x), (3, y), (None, y), (None, "v " + z), (None, "lone text without any id or copy"), (4, None), (4, ""), (5, " "), (1, x)]
+    d = clashing(spark, data)
+    kept = jaccard.one_of_each(d)
+    assert kept.columns == d.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, x), (1, z), (3, y), (None, "lone text without any id or copy"), (4, None), (4, ""), (5, " ")], key=repr)
+    before = {tuple(r) for r in d.collect()}
+    assert all(tuple(r) in before for r in kept.collect())  # no column is overwritten
+
+
+def test_mixed_documents_keep_clashing_columns(spark):
+    d = clashing(spark, [(k, "a b c " * (k + 1)) for k in range(20)] + [(None, "a b"), (3, None)])
+    mixed = mix.mixed_documents(d, weights=(1,), max_epochs=3)
+    assert mixed.columns == d.columns
+    before = {tuple(r) for r in d.collect()}
+    assert mixed.count() == 21 and all(tuple(r) in before for r in mixed.collect())
 
 
 # --- 8 -------------------------------------------------------------------
