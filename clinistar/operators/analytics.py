@@ -215,18 +215,27 @@ def top_doctors(
 # ---------------------------------------------------------------------------
 # V1 AppointmentSummary
 # ---------------------------------------------------------------------------
-def appointment_summary(wh: Warehouse, *, distinct_appointments: bool = False) -> DataFrame:
-    """PatientID, FirstName, LastName, TotalAppointments (fact rows, or
-    distinct appointments), CancelledAppointments. Aggregated by PatientID
-    before the dimension join; patients missing from the dimension drop out
-    (inner join, as the view)."""
-    per_key = conditional_counts(
-        wh.fact(), ["PatientID"], {"_cancelled": F.col("Status") == CANCELLED},
+def appointments_per_patient(fact: DataFrame, *, distinct_appointments: bool = False) -> DataFrame:
+    """PatientID, ``_total``, ``_cancelled``. Without ``distinct_appointments``
+    both are sums, so those of parts of the fact add up."""
+    return conditional_counts(
+        fact, ["PatientID"], {"_cancelled": F.col("Status") == CANCELLED},
         total_col="_total", count_col="AppointmentID",
         distinct_col="AppointmentID" if distinct_appointments else None,
     )
+
+
+def appointment_summary(
+    wh: Warehouse, *, distinct_appointments: bool = False, per_patient: DataFrame | None = None,
+) -> DataFrame:
+    """PatientID, FirstName, LastName, TotalAppointments (fact rows, or
+    distinct appointments), CancelledAppointments. Aggregated by PatientID
+    before the dimension join; patients missing from the dimension drop out
+    (inner join, as the view). ``per_patient`` may be given precomputed."""
+    if per_patient is None:
+        per_patient = appointments_per_patient(wh.fact(), distinct_appointments=distinct_appointments)
     keys = ["PatientID", "FirstName", "LastName"]
-    return per_key.join(wh.patients(), "PatientID").groupBy(*keys).agg(
+    return per_patient.join(wh.patients(), "PatientID").groupBy(*keys).agg(
         F.sum("_total").alias("TotalAppointments"),
         F.sum("_cancelled").alias("CancelledAppointments"),
     )
@@ -235,10 +244,10 @@ def appointment_summary(wh: Warehouse, *, distinct_appointments: bool = False) -
 # ---------------------------------------------------------------------------
 # V2 DiagnosisTreatmentSummary
 # ---------------------------------------------------------------------------
-def _per_patient_diagnosis_medication(wh: Warehouse) -> DataFrame:
+def treatments_per_patient(fact: DataFrame) -> DataFrame:
     """COUNT(AppointmentID) per (PatientID, DiagnosisID, MedicationID) - the one
     fact aggregate V2 and the treatment-priority update are built from."""
-    return wh.fact().groupBy("PatientID", "DiagnosisID", "MedicationID").agg(
+    return fact.groupBy("PatientID", "DiagnosisID", "MedicationID").agg(
         F.count("AppointmentID").alias("_n")
     )
 
@@ -256,7 +265,7 @@ def diagnosis_treatment_summary(
         ).distinct()
         joined = wh.with_medications(wh.with_diagnoses(rows))
         return joined.groupBy(*keys).agg(F.countDistinct("AppointmentID").alias("TreatmentCount"))
-    per = per_key if per_key is not None else _per_patient_diagnosis_medication(wh)
+    per = per_key if per_key is not None else treatments_per_patient(wh.fact())
     joined = wh.with_medications(wh.with_diagnoses(per))
     return joined.groupBy(*keys).agg(F.sum("_n").alias("TreatmentCount"))
 
@@ -272,6 +281,7 @@ def priority_by_key(
     high_appointments: int = 5, high_treatments: int = 3,
     medium_appointments: int = 3, medium_treatments: int = 2,
     distinct_appointments: bool = False,
+    per_patient: DataFrame | None = None, per_treatment: DataFrame | None = None,
 ) -> DataFrame:
     """(PatientID, DiagnosisID, TreatmentPriority) for every pair the update
     reaches: the patient has a summary row, and the diagnosis (resolved to
@@ -279,7 +289,8 @@ def priority_by_key(
     matches the highest priority wins (the CASE is monotone in both counts,
     so this is the max count's label) - deterministic, where the reference
     UPDATE leaves it open. ``distinct_appointments`` counts a patient's
-    appointments rather than fact rows; treatments stay the view's count."""
+    appointments rather than fact rows; treatments stay the view's count. The
+    two aggregates of the fact may be given precomputed, both or none."""
     # Each input is its own narrow aggregate of the fact, so every shuffle
     # carries combined rows: per-patient totals combine map-side to one row
     # per patient and task (deriving them from the (patient, diagnosis,
@@ -288,10 +299,10 @@ def priority_by_key(
     # consumer's own filters into its scan. ``distinct_appointments`` counts
     # a patient's appointments rather than fact rows; treatments stay the
     # view's count of prescription lines.
-    summary = appointment_summary(wh, distinct_appointments=distinct_appointments)
-    per = _per_patient_diagnosis_medication(wh)
+    summary = appointment_summary(wh, distinct_appointments=distinct_appointments, per_patient=per_patient)
+    per = treatments_per_patient(wh.fact()) if per_treatment is None else per_treatment
     dts = diagnosis_treatment_summary(wh, per_key=per)
-    pairs = wh.fact().select("PatientID", "DiagnosisID")
+    pairs = (wh.fact() if per_treatment is None else per_treatment).select("PatientID", "DiagnosisID")
     a = summary.groupBy("PatientID").agg(F.max("TotalAppointments").alias("_appts"))
     dts = dts.groupBy("PatientID", "DiagnosisName", "ICD10Code").agg(
         F.max("TreatmentCount").alias("_treat")

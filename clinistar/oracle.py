@@ -377,6 +377,9 @@ def analytic_sql() -> dict[str, str]:
         "treatment_priority_snowflake": u1(SNOW_DIMS),
         "treatment_priority_distinct": u1(STAR_DIMS, 14, 8, True),
         "treatment_priority_low": f"SELECT * REPLACE (coalesce(TreatmentPriority, 'Low') AS TreatmentPriority) FROM ({u1(STAR_DIMS)})",
+        "incremental_appointment_summary": v1(STAR_DIMS),
+        "incremental_priorities": f"""
+SELECT DISTINCT PatientID, DiagnosisID, TreatmentPriority FROM ({u1(STAR_DIMS)}) WHERE TreatmentPriority IS NOT NULL""",
         "top_doctors_all": q5(STAR_DIMS, False, MANY),
         "symptom_diagnosis_set": q3_records("array_to_string(list_sort(string_split(r.Symptoms, ', ')), ', ')"),
         "symptom_diagnosis_exploded": q3_records("unnest(string_split(r.Symptoms, ', '))"),

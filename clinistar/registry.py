@@ -21,7 +21,9 @@ from clinistar.operators import analytics as A
 from clinistar.operators import derive as E
 from clinistar.operators import generic as G
 from clinistar.operators import quality as Q
+from clinistar.operators.incremental import SummaryState
 from clinistar.plans import builders as B
+from clinistar.plans.model import Warehouse
 from clinistar.sources import proxy
 from clinistar.sources.files import csv_roundtrip, scratch_path
 
@@ -46,6 +48,21 @@ def _on_records(fn: Callable, *args, **kwargs) -> Query:
     return lambda spark, sf_dir: fn(B.build_star(proxy.oltp_tables(spark, sf_dir)), *args, **kwargs)
 
 
+def _state_of_loads(spark: SparkSession, sf_dir: str) -> tuple[SummaryState, Warehouse]:
+    """The whole fact, added in three loads by year."""
+    wh = proxy.star(spark, sf_dir)
+    state, year = SummaryState(spark, scratch_path(spark, "summaries")), F.year("AppointmentDateTime")
+    for load, years in enumerate((year < 1995, year.between(1995, 1996), (year > 1996) | year.isNull())):
+        state.add(load, wh.fact().where(years))
+        state.update_priorities(load, wh)
+    return state, wh
+
+
+def _incremental_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state, wh = _state_of_loads(spark, sf_dir)
+    return state.appointment_summary(wh)
+
+
 def _priority(kind: str, **kwargs) -> Query:
     cols = ["AppointmentID", "PatientID", "DoctorID", "DiagnosisID", "MedicationID", "Status",
             "TreatmentPriority"]
@@ -75,6 +92,8 @@ def analytic_queries() -> dict[str, Query]:
         q[f"symptom_diagnosis_{mode}"] = _on_records(A.symptom_diagnosis, START, END, symptom_mode=mode)
     q["diagnosis_treatment_summary_distinct"] = _on_records(A.diagnosis_treatment_summary, distinct_appointments=True)
     q["treatment_priority_low"] = _priority("star", unmatched="low")
+    q["incremental_priorities"] = lambda spark, sf_dir: _state_of_loads(spark, sf_dir)[0].priorities()
+    q["incremental_appointment_summary"] = _incremental_summary
     q["appointment_summary"] = _on("star", A.appointment_summary)
     q["appointment_summary_snowflake"] = _on("snowflake", A.appointment_summary)
     q["treatment_priority"] = _priority("star")
