@@ -79,9 +79,16 @@ def year_of(col: str) -> Column:
     return F.year(F.col(col)).cast("int")
 
 
-def month_key(col: str) -> Column:
-    """``DATE_FORMAT(ts, '%Y-%m')`` of the reference (Spark pattern yyyy-MM)."""
-    return F.date_format(F.col(col), "yyyy-MM")
+def month_index(col: str) -> Column:
+    """Months since year 0, an int that sorts like the months: what rows are grouped by."""
+    return F.year(F.col(col)) * 12 + F.month(F.col(col)) - 1
+
+
+def month_text(index: str) -> Column:
+    """``DATE_FORMAT(ts, '%Y-%m')`` of the reference, from the month's index."""
+    i = F.col(index)
+    year, month = F.floor(i / 12).cast("int"), (i % 12 + 1).cast("int")
+    return F.concat(F.lpad(year.cast("string"), 4, "0"), F.lit("-"), F.lpad(month.cast("string"), 2, "0"))
 
 
 def normalized_symptoms(col: str, mode: str) -> Column:

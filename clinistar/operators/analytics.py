@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from clinistar.functions.scalar import (
     CANCELLED,
     SYMPTOM_SEPARATOR,
-    month_key,
+    month_index,
+    month_text,
     normalized_symptoms,
     year_of,
 )
@@ -43,7 +44,7 @@ from clinistar.operators.generic import (
     share_of_total,
     tiered_label,
 )
-from clinistar.plans.model import Warehouse
+from clinistar.plans.model import Warehouse, write_fact
 
 
 def _regroup(joined: DataFrame, by: list[str], n: str, out: str) -> DataFrame:
@@ -130,8 +131,9 @@ def symptom_diagnosis(
         sym = F.explode(F.split(F.col("Symptoms"), SYMPTOM_SEPARATOR))
     else:
         sym = normalized_symptoms("Symptoms", symptom_mode)
-    f = f.select(month_key("AppointmentDateTime").alias("DiagnosisMonth"), sym.alias("Symptoms"), "DiagnosisID")
-    per_key = f.groupBy("DiagnosisMonth", "Symptoms", "DiagnosisID").agg(F.count(F.lit(1)).alias("_n"))
+    f = f.select(month_index("AppointmentDateTime").alias("_month"), sym.alias("Symptoms"), "DiagnosisID")
+    per_key = f.groupBy("_month", "Symptoms", "DiagnosisID").agg(F.count(F.lit(1)).alias("_n"))
+    per_key = per_key.withColumn("DiagnosisMonth", month_text("_month")).drop("_month")
     pairs = _regroup(
         wh.with_diagnoses(per_key), ["DiagnosisMonth", "Symptoms", "DiagnosisName"], "_n", "PairCount"
     )
@@ -157,16 +159,14 @@ def rolling_cancellations(
     of the rates of this and the ``months - 1`` previous months with data;
     ``calendar`` uses calendar months instead)."""
     f = wh.fact_in_range(start, end, end_inclusive_day)
-    idx = None
-    if calendar:
-        ts = F.col("AppointmentDateTime")
-        idx = F.year(ts) * 12 + F.month(ts)
+    month = month_index("AppointmentDateTime")
     out = rolling_rate(
-        f, month_key("AppointmentDateTime"), "AppointmentMonth",
+        f, month, "_month",
         F.col("Status") == CANCELLED, "CancellationRate", "RollingAvgCancellationRate",
-        n=months, calendar_index=idx,
+        n=months, calendar_index=month if calendar else None,
     )
-    return out.orderBy("AppointmentMonth")
+    named = out.select(month_text("_month").alias("AppointmentMonth"), "CancellationRate", "RollingAvgCancellationRate")
+    return named.orderBy("AppointmentMonth")
 
 
 # ---------------------------------------------------------------------------
@@ -367,8 +367,6 @@ def write_treatment_priority(wh: Warehouse, target: str, *, unmatched: str = "ke
     rewrite into ``target``, which must not be where the fact is read from
     (Spark would read and delete the same files). Returns ``target``.
     """
-    from clinistar.plans.model import YEAR_PARTITION
-
     def norm(p: str) -> str:
         return re.sub("^file:/+", "/", p).rstrip("/") + "/"
 
@@ -376,12 +374,7 @@ def write_treatment_priority(wh: Warehouse, target: str, *, unmatched: str = "ke
     for root in map(norm, scan_roots(wh.fact())):
         if root.startswith(tgt) or tgt.startswith(root):
             raise ValueError(f"{target} and the fact being read, {root}, hold one another; write the new version elsewhere")
-    out = treatment_priority(wh, unmatched=unmatched, **thresholds)
-    if YEAR_PARTITION not in out.columns:
-        out = out.withColumn(YEAR_PARTITION, F.year("AppointmentDateTime"))
-    out.sortWithinPartitions(YEAR_PARTITION, "AppointmentDateTime").write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy(YEAR_PARTITION).parquet(target)
+    write_fact(treatment_priority(wh, unmatched=unmatched, **thresholds), target)
     return target
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clinistar.functions.joins import full_outer_join, left_outer_join, left_outer_joins
 from clinistar.functions.keys import KeyMap, dense_keys
-from clinistar.plans.model import YEAR_PARTITION, Warehouse
+from clinistar.plans.model import Warehouse, write_fact
 from clinistar.schemas import FACT_SCHEMA
 
 #: Fact_PatientInteractions columns and types, in model order.
@@ -302,13 +302,7 @@ def materialize(
 ) -> Warehouse:
     """Write every table under ``path`` and return the warehouse read back.
 
-    The fact is rebalanced by year: adaptive execution gathers small years and
-    splits large ones to the advisory partition size, so a year becomes a few
-    large files instead of one per task, and no year piles up in one task.
-    Each task sorts by (year, timestamp), so row groups cover short stretches
-    of a file's time and date-range filters skip them inside the year
-    directories they prune. Files of one year overlap in time.
-    ``tables`` limits the write to those tables (the others pass through).
+    The fact is laid out by ``write_fact``. ``tables`` limits the write to those tables (the others pass through).
     """
     spark = wh.fact().sparkSession
     out: dict[str, DataFrame] = {}
@@ -318,13 +312,7 @@ def materialize(
             continue
         target = f"{path.rstrip('/')}/{name}"
         if name == "Fact_PatientInteractions":
-            laid = (
-                df.withColumn(YEAR_PARTITION, F.year("AppointmentDateTime"))
-                .hint("rebalance", YEAR_PARTITION)
-                .sortWithinPartitions(YEAR_PARTITION, "AppointmentDateTime")
-            )
-            # static: a rebuild replaces the table, years it no longer has included
-            laid.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(YEAR_PARTITION).parquet(target)
+            write_fact(df, target, mode)
         else:
             df.write.mode(mode).parquet(target)
         out[name] = spark.read.parquet(target)

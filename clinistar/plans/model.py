@@ -156,3 +156,20 @@ class Warehouse:
     def doctor_attributes(self) -> list[str]:
         base = ["FirstName", "LastName", "DepartmentName"]
         return base + (["Specialty"] if self.kind == "snowflake" else [])
+
+
+def write_fact(fact: DataFrame, target: str, mode: str = "overwrite") -> None:
+    """Write a fact as Parquet by year.
+
+    It is rebalanced by year: adaptive execution gathers small years and
+    splits large ones to the advisory partition size, so a year becomes a few
+    large files instead of one per task, and no year piles up in one task.
+    Each task sorts by (year, timestamp), so row groups cover short stretches
+    of a file's time and date-range filters skip them inside the year
+    directories they prune. Files of one year overlap in time. The whole table
+    is replaced, years it no longer has included.
+    """
+    if YEAR_PARTITION not in fact.columns:
+        fact = fact.withColumn(YEAR_PARTITION, F.year("AppointmentDateTime"))
+    laid = fact.hint("rebalance", YEAR_PARTITION).sortWithinPartitions(YEAR_PARTITION, "AppointmentDateTime")
+    laid.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(YEAR_PARTITION).parquet(target)
