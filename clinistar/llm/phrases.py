@@ -37,12 +37,17 @@ MAX_WORDS, LEAST = 3, 10
 INSIDE = 50
 #: Phrases returned per language.
 TOP = 2000
-#: Words of a chunk, about; a longer text is a chunk.
+#: Words of a chunk, about; a task holds twice as many at most. A longer text
+#: is in one chunk.
 CHUNK = 1 << 21
 #: Side of a tile, and the pairs per cell from which one is counted densely.
 TILE, DENSE = 1024, 1 / 16
 #: Tiles per side that may be dense: ids beyond are rare.
 CORNER = 8
+#: Bits of the bitmap of known phrases and of a piece of it, as powers of two.
+BITMAP_BITS, BITMAP_PIECE = 28, 17
+#: Rows that a task hands on at once.
+BATCH_ROWS = 1 << 16
 #: Parts in which a language's best are sought first.
 PARTS = 64
 
@@ -117,90 +122,162 @@ def chunks(docs: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[str, tuple[Places, list]] = {}
-        seq, n = TaskContext.get().partitionId() << 32, 0
+        size: dict[str, int] = {}
+        seq = TaskContext.get().partitionId() << 32
 
-        def chunk() -> Iterator[pd.DataFrame]:
+        def chunk(lang: str) -> pd.DataFrame:
             nonlocal seq
-            for lang, (known, texts) in held.items():
-                places = np.concatenate(texts)
-                counts = np.bincount(places, minlength=len(known))
-                names = [w.decode("utf-8", "replace") for w in known]
-                yield pd.DataFrame([(seq, lang, names, counts, places.tobytes())], columns=["chunk", "lang", "words", "counts", "places"])
-                seq += 1
+            seq += 1
+            known, texts = held.pop(lang)
+            del size[lang]
+            places = np.concatenate(texts)
+            counts = np.bincount(places, minlength=len(known))
+            names = [w.decode("utf-8", "replace") for w in known]
+            return pd.DataFrame([(seq, lang, names, counts, places.tobytes())], columns=["chunk", "lang", "words", "counts", "places"])
 
         for b in batches:
             for lang, text in zip(b["lang"], b["text"]):
                 got = words(text)
-                if got:
-                    known, texts = held.setdefault(lang, (Places({BREAK: 0}), []))
-                    got.append(BREAK)
-                    texts.append(np.fromiter(map(known.__getitem__, got), np.int32, len(got)))
-                    n += len(got)
-                if n >= CHUNK:
-                    yield from chunk()
-                    held, n = {}, 0
-        yield from chunk()
+                if not got:
+                    continue
+                known, texts = held.setdefault(lang, (Places({BREAK: 0}), []))
+                got.append(BREAK)
+                texts.append(np.fromiter(map(known.__getitem__, got), np.int32, len(got)))
+                size[lang] = size.get(lang, 0) + len(got)
+                if size[lang] >= CHUNK:
+                    yield chunk(lang)
+                elif sum(size.values()) >= 2 * CHUNK:
+                    yield chunk(max(size, key=size.get))
+        for lang in list(held):
+            yield chunk(lang)
 
     cut = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
     return cut.mapInPandas(read, "chunk long, lang string, words array<string>, counts array<long>, places binary")
 
 
-def by_chunk(chunked: DataFrame, names: DataFrame, step) -> DataFrame:
-    """For every chunk, ``step(lookup, row)`` with the ids of its own places.
+def heads_and_words(row, n_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word ids, the ids of the phrases of ``n_words - 1`` words that start at
+    each, and the words behind those; -1 where there is none. And where a
+    phrase of ``n_words`` may be frequent: its first words and its last words
+    both are."""
+    ids = np.frombuffer(row.ids, np.int32).astype(np.int64)
+    heads = ids if row.heads is None else np.frombuffer(row.heads, np.int32).astype(np.int64)
+    behind = np.full(len(ids), -1, np.int64)
+    behind[: max(0, len(ids) - n_words + 1)] = ids[n_words - 1 :]
+    both = (heads >= 0) & (behind >= 0) & (np.append(heads[1:], -1) >= 0)
+    return ids, heads, behind, both
+
+
+def grown(row, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """``counted`` of a chunk's phrases of ``n_words`` words."""
+    _, heads, behind, both = heads_and_words(row, n_words)
+    return counted(heads[both], behind[both])
+
+
+def phrase_counts(read: DataFrame, n_words: int) -> DataFrame:
+    """``code, f`` of all phrases of ``n_words`` words, added up over chunks."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for row in b.itertuples():
+                codes, counts = grown(row, n_words)
+                for at in range(0, len(codes), BATCH_ROWS):
+                    yield pd.DataFrame({"code": codes[at : at + BATCH_ROWS], "f": counts[at : at + BATCH_ROWS]})
+
+    return read.select("ids", "heads").mapInPandas(rows, "code long, f long").groupBy("code").agg(F.sum("f").alias("f"))
 
-    ``names``: ``chunk, place, id``, a row for each place that has an id; the
-    ids of all others are -1. ``step`` returns the next word ids, the ids of
-    the phrases that start there, and ``counted`` of these with the next words.
-    """
+
+def listed_phrases(read: DataFrame, n_words: int, bits) -> DataFrame:
+    """``chunk, place, code``: each chunk's distinct phrases, with their places
+    in that list, as far as ``bits`` doesn't rule them out."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for row in b.itertuples():
+                codes, _ = grown(row, n_words)
+                place = np.flatnonzero(maybe(bits.value, mixed(codes)))
+                for at in range(0, len(place), BATCH_ROWS):
+                    some = place[at : at + BATCH_ROWS]
+                    yield pd.DataFrame({"chunk": row.chunk, "place": some.astype(np.int32), "code": codes[some]})
+
+    return read.mapInPandas(rows, "chunk long, place int, code long")
+
+
+def by_chunk(read: DataFrame, names: DataFrame, step) -> DataFrame:
+    """``chunk, ids, heads`` of every chunk after ``step(row, place, id)``.
+    ``names``: ``chunk, place, id``, a row for each place that has an id."""
 
     def work(rows: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty:
-            return pd.DataFrame(columns=["chunk", "ids", "heads", "codes", "counts"])
-        row = rows.iloc[0]
-        place, number = names["place"].to_numpy(np.int64), names["id"].to_numpy(np.int64)
-        lookup = np.full(int(row["size"]), -1, np.int64)
-        lookup[place] = number
-        ids, heads, (codes, counts) = step(lookup, row)
-        return pd.DataFrame([(row["of"], ids.astype(np.int32).tobytes(), heads.astype(np.int32).tobytes(), codes, counts)], columns=["chunk", "ids", "heads", "codes", "counts"])
+        out = [(row.of, *step(row, names["place"].to_numpy(np.int64), names["id"].to_numpy(np.int64))) for row in rows.itertuples()]
+        return pd.DataFrame(out, columns=["chunk", "ids", "heads"])
 
-    schema = "chunk long, ids binary, heads binary, codes array<long>, counts array<long>"
-    return chunked.withColumnRenamed("chunk", "of").groupBy("of").cogroup(names.groupBy("chunk")).applyInPandas(work, schema)
+    schema = "chunk long, ids binary, heads binary"
+    return read.withColumnRenamed("chunk", "of").groupBy("of").cogroup(names.groupBy("chunk")).applyInPandas(work, schema)
 
 
-def first_step(lookup: np.ndarray, row) -> tuple:
-    """Word ids; a head is a word; heads with the word behind them."""
-    ids = lookup[np.frombuffer(row["places"], np.int32)]
+def word_ids(row, place: np.ndarray, number: np.ndarray) -> tuple[bytes, None]:
+    """A chunk's places as word ids; each word is a head of its own."""
+    lookup = np.full(int(row.size), -1, np.int64)
+    lookup[place] = number
+    ids = lookup[np.frombuffer(row.places, np.int32)]
     kept = ids >= 0
-    kept[1:] |= ids[:-1] >= 0  # one break is enough
-    ids = ids[kept]
-    both = (ids[:-1] >= 0) & (ids[1:] >= 0)
-    return ids, ids, counted(ids[:-1][both], ids[1:][both])
-
-
-def next_step(words: int):
-    """Phrases one word longer than ``words``; a head starts at its first word."""
-
-    def step(lookup: np.ndarray, row) -> tuple:
-        ids, heads = (np.frombuffer(row[c], np.int32).astype(np.int64) for c in ("ids", "heads"))
-        codes = np.asarray(row["codes"], np.int64)
-        last = np.full(len(ids), -1, np.int64)
-        last[: len(ids) - words + 1] = ids[words - 1 :]  # the word that the head just took
-        place = np.searchsorted(codes, heads << 32 | last)
-        fits = (heads >= 0) & (last >= 0)
-        grown = np.full(len(ids), -1, np.int64)
-        grown[fits] = lookup[place[fits]]
-        behind = np.full(len(ids), -1, np.int64)
-        behind[: max(0, len(ids) - words)] = ids[words:]
-        both = (grown >= 0) & (behind >= 0)
-        return ids, grown, counted(grown[both], behind[both])
+    kept[1:] |= kept[:-1].copy()  # one break is enough
+    return ids[kept].astype(np.int32).tobytes(), None
+
+
+def phrase_ids(n_words: int):
+    """Heads one word longer: phrases of ``n_words`` words."""
+
+    def step(row, place: np.ndarray, number: np.ndarray) -> tuple[bytes, bytes]:
+        codes, _ = grown(row, n_words)
+        lookup = np.full(len(codes), -1, np.int64)
+        lookup[place] = number
+        _, heads, behind, both = heads_and_words(row, n_words)
+        out = np.full(len(heads), -1, np.int64)
+        out[both] = lookup[np.searchsorted(codes, heads[both] << 32 | behind[both])]
+        return row.ids, out.astype(np.int32).tobytes()
 
     return step
 
 
+# --- which phrases may have an id ---------------------------------------------
+def mixed(codes: np.ndarray) -> np.ndarray:
+    """Random-looking 64 bits of each code."""
+    x = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
+
+
+def maybe(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bit of each hash is set; true for all hashes it was made from."""
+    at = hashes.view(np.uint64) & np.uint64(8 * len(bits) - 1)
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def bitmap(hashes: DataFrame, n: int) -> np.ndarray:
+    """The bits of the column ``h`` of ``hashes``, about ``n`` rows. At most
+    ``BITMAP_BITS``: beyond, it fills up and rules out less, which costs work
+    and changes nothing. It is made piece by piece."""
+    size = 1 << max(BITMAP_PIECE, min(BITMAP_BITS, (16 * n).bit_length()))
+
+    def piece(rows: pd.DataFrame) -> pd.DataFrame:
+        bit = np.zeros(1 << BITMAP_PIECE, np.uint8)
+        bit[rows["at"].to_numpy() & ((1 << BITMAP_PIECE) - 1)] = 1
+        return pd.DataFrame({"piece": rows["piece"].iloc[:1], "bits": [np.packbits(bit, bitorder="little").tobytes()]})
+
+    at = hashes.select(F.col("h").bitwiseAND(F.lit(size - 1)).alias("at")).distinct().withColumn("piece", F.shiftright("at", BITMAP_PIECE).cast("int"))
+    out = np.zeros(size >> 3, np.uint8)
+    step = 1 << (BITMAP_PIECE - 3)
+    for number, bits in at.groupBy("piece").applyInPandas(piece, "piece int, bits binary").collect():  # 32 MB at most
+        out[number * step : (number + 1) * step] = np.frombuffer(bits, np.uint8)
+    return out
+
+
 # --- phrases -----------------------------------------------------------------
 def phrases(docs: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """All phrases of up to ``max_words`` words that come ``least`` times:
     ``lang, phrase, n_words, f``; and ``lang, n`` with a language's words."""
+    spark = docs.sparkSession
     read = staged(chunks(docs), "phrases-chunks")
     listed = read.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w")).where("place > 0")
     listed = listed.select("chunk", "lang", "place", F.col("w.words").alias("phrase"), F.col("w.counts").alias("f"))
@@ -208,27 +285,40 @@ def phrases(docs: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST) ->
     totals = all_words.groupBy("lang").agg(F.sum("f").alias("n"))
     order = [F.desc("f"), F.asc("lang"), F.asc("phrase")]
     known = staged(ranked(all_words.where(F.col("f") >= least), order, "phrases-ranked"), "phrases-ids")
-    names = listed.select("chunk", "lang", "place", "phrase").join(known, ["lang", "phrase"]).select("chunk", "place", "id")
-    chunked = read.select("chunk", "places", F.size("words").alias("size"))
-    step, words_of, found = first_step, known.select(F.col("id").alias("word_id"), F.col("phrase").alias("word")), [known]
+    word_hash = F.xxhash64("lang", "phrase")
+    bits = spark.sparkContext.broadcast(bitmap(known.select(word_hash.alias("h")), known.count()))
+
+    @F.pandas_udf("boolean")
+    def may_be_known(h: pd.Series) -> pd.Series:
+        return pd.Series(maybe(bits.value, h.to_numpy()))
+
+    some = listed.select("chunk", "lang", "place", "phrase").where(may_be_known(word_hash))
+    names = some.join(known, ["lang", "phrase"]).select("chunk", "place", "id")
+    before, read = read, staged(by_chunk(read.select("chunk", "places", F.size("words").alias("size")), names, word_ids), "phrases-sequences")
+    discard(spark, before)
+    words_of, found = known.select(F.col("id").alias("word_id"), F.col("phrase").alias("word")), [known]
     for n_words in range(2, max_words + 1):
-        before = read
-        read = staged(by_chunk(chunked, names, step), "phrases-pairs")
-        discard(docs.sparkSession, before)
-        listed = read.select("chunk", F.posexplode("codes").alias("place", "code"))
-        counts = read.select(F.explode(F.arrays_zip("codes", "counts")).alias("c")).groupBy(F.col("c.codes").alias("code")).agg(F.sum("c.counts").alias("f"))
-        counts = ranked(counts.where(F.col("f") >= least), [F.desc("f"), F.asc("code")], "phrases-ranked")
+        counts = ranked(phrase_counts(read, n_words).where(F.col("f") >= least), [F.desc("f"), F.asc("code")], "phrases-ranked")
         heads = known.select(F.col("id").alias("head_id"), F.col("phrase").alias("head"), "lang")
-        grown = counts.join(heads, F.shiftright("code", 32) == F.col("head_id")).join(words_of, F.col("code").bitwiseAND(F.lit(0xFFFFFFFF)) == F.col("word_id"))
-        known = staged(grown.select("lang", F.concat_ws(" ", "head", "word").alias("phrase"), "f", "id", "code"), "phrases-ids")
+        longer = counts.join(heads, F.shiftright("code", 32) == F.col("head_id")).join(words_of, F.col("code").bitwiseAND(F.lit(0xFFFFFFFF)) == F.col("word_id"))
+        known = staged(longer.select("lang", F.concat_ws(" ", "head", "word").alias("phrase"), "f", "id", "code"), "phrases-ids")
         found.append(known)
-        names = listed.join(known.select("code", "id"), "code").select("chunk", "place", "id")
-        chunked = read.select("chunk", "ids", "heads", "codes", F.size("codes").alias("size"))
-        step = next_step(n_words)
+        if n_words < max_words:
+            bits = spark.sparkContext.broadcast(bitmap(known.select("code").mapInPandas(hashed, "h long"), known.count()))
+            names = listed_phrases(read, n_words, bits).join(known.select("code", "id"), "code").select("chunk", "place", "id")
+            read = by_chunk(read, names, phrase_ids(n_words))
+            if n_words + 1 < max_words:  # else it is used once
+                read = staged(read, "phrases-sequences")
+            discard(spark)
     every = [t.select("lang", "phrase", F.lit(k + 1).alias("n_words"), "f") for k, t in enumerate(found)]
     return reduce(DataFrame.unionByName, every), totals
 
 
+def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield pd.DataFrame({"h": mixed(b["code"].to_numpy())})
+
+
 def collocations(docs: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST, top: int = TOP) -> DataFrame:
     """Each language's ``top`` phrases: ``lang, rank, phrase, a, l, r, n, score``.
 
