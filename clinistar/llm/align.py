@@ -23,12 +23,14 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +42,8 @@ from clinistar.llm.common import staged, table
 CHUNK = 1 << 21
 #: Words (and one-to-one groups) that are remembered.
 REMEMBERED = 1 << 19
+#: Words that are encoded together.
+TOGETHER = 512
 #: What stands for a space in sentence pieces (fixed value of that kind of vocabulary).
 SPACE = "\u2581"
 #: Put before a word that doesn't start with a space: no merge joins it to white space.
@@ -50,18 +54,33 @@ START = "\n"
 class Tokens:
     """Ids to bytes, lengths and decimal strings. ``of`` encodes many words,
     each alone. ``inner`` is the white space before which a text can't be cut,
-    None if it can't be cut at all."""
+    None if it can't be cut at all. ``together``: many words cost less as one."""
 
-    def __init__(self, pieces: list[bytes], of: Callable[[list[str]], list[list[int]]], inner: set[str] | None):
-        self.bytes, self.of, self.inner = pieces, of, inner
+    def __init__(self, pieces: list[bytes], of: Callable[[list[str]], list[list[int]]], inner: set[str] | None, together: bool = False):
+        self.bytes, self.of, self.inner, self.together = pieces, of, inner, together and inner is not None
         self.length = np.array([len(p) for p in pieces], np.int64)
         self.decimal = [str(k) for k in range(len(pieces))]
 
-    def encode(self, words: list[str]) -> Iterator[bytes | None]:
-        """The ids of each word as packed int32, None if they don't give its bytes back."""
-        for word, ids in zip(words, self.of(words)):
-            same = b"".join(map(self.bytes.__getitem__, ids)) == word.encode("utf-8", "replace")
-            yield np.array(ids, np.int32).tobytes() if same else None
+    def encode(self, words: list[str], utf8: list[bytes]) -> Iterator[bytes | None]:
+        """The ids of each word as packed int32, None if they don't give its
+        bytes (``utf8``) back. Words that may stand one behind the other are
+        encoded together and cut by their bytes."""
+        for at in range(0, len(words), TOGETHER):
+            some, want = words[at : at + TOGETHER], utf8[at : at + TOGETHER]
+            joined = self.of(["".join(some)])[0] if self.together else []
+            ids, word_ends = np.array(joined, np.int32), np.cumsum(list(map(len, want)))
+            ends = self.length[ids].cumsum()
+            cuts = np.searchsorted(ends, word_ends, "right")
+            if b"".join(map(self.bytes.__getitem__, joined)) == b"".join(want) and (ends[cuts - 1] == word_ends).all():
+                packed = ids.tobytes()
+                yield from (packed[x:y] for x, y in pairwise([0, *(4 * cuts).tolist()]))
+            else:  # a word that doesn't come back, or stands only at the end of a text
+                yield from self.alone(some, want)
+
+    def alone(self, words: list[str], utf8: list[bytes]) -> Iterator[bytes | None]:
+        piece = self.bytes.__getitem__
+        for want, ids in zip(utf8, self.of(words)):
+            yield array("i", ids).tobytes() if b"".join(map(piece, ids)) == want else None
 
 
 def byte_level(path: str) -> Tokens:
@@ -78,7 +97,7 @@ def byte_level(path: str) -> Tokens:
     byte = {letter: k for k, letter in enumerate(merges.byte_letters())}
     names = [lib.id_to_token(k) or "" for k in range(lib.get_vocab_size())]
     pieces = [bytes([byte[c] for c in t]) if all(c in byte for c in t) else t.encode() for t in names]
-    return Tokens(pieces, lambda words: [e.ids for e in lib.encode_batch_fast(words, add_special_tokens=False)], set() if lib.normalizer is None else None)
+    return Tokens(pieces, lambda words: [e.ids for e in lib.encode_batch_fast(words, add_special_tokens=False)], set() if lib.normalizer is None else None, together=True)
 
 
 def sentence_pieces(path: str) -> Tokens:
@@ -91,7 +110,7 @@ def sentence_pieces(path: str) -> Tokens:
     lib = sentencepiece.SentencePieceProcessor(model_file=path)
     names = [lib.id_to_piece(k) for k in range(lib.get_piece_size())]
     pieces = [bytes([int(t[3:5], 16)]) if lib.is_byte(k) else t.replace(SPACE, " ").encode() for k, t in enumerate(names)]
-    inner = {c for t in names if len(t) > 1 for c in regex.findall(rf"[{SPACE}{merges.SPACE}]", t.lstrip(SPACE)[t[:1] != SPACE :])}
+    inner = {c for t in names if len(t) > 1 for c in re.findall(rf"[{SPACE}{merges.SPACE}]", t.lstrip(SPACE)[t[:1] != SPACE :])}
     sample = "a  \u00a0 \ufb01 \u0041\u0301  "
     plain = b"".join(pieces[k] for k in lib.encode(sample)) == f" {sample}".encode() and SPACE not in inner
     space = lib.piece_to_id(SPACE)
@@ -100,7 +119,7 @@ def sentence_pieces(path: str) -> Tokens:
         """The library puts the space before a word. One that doesn't start
         with a space gets another start, which is taken off again."""
         spaced = [w[1:] if w[:1] == " " else START + w for w in words]
-        return [([space] if not t else ids) if w[:1] == " " else ids[len(start) :] for w, t, ids in zip(words, spaced, lib.encode(spaced))]
+        return [([space] if not t else ids) if w[:1] == " " else ids[len(start) :] for w, t, ids in zip(words, spaced, lib.encode(spaced, num_threads=1))]
 
     start = lib.encode(START)
     return Tokens(pieces, of, inner if plain and START not in inner else None)
@@ -111,8 +130,8 @@ def words(*inner: set[str] | None) -> Callable[[str], list[str]]:
     ``inner`` white space, so that each tokenizer can encode the words alone."""
     if None in inner:
         return lambda text: [text]
-    space, more = merges.SPACE, "".join(map(regex.escape, sorted(set().union(*inner))))
-    return regex.compile(rf"[{space}]*[^{space}]+" + (rf"(?:[{more}][{space}]*[^{space}]*)*" if more else "") + rf"|[{space}]+").findall
+    space, more = merges.SPACE, "".join(map(re.escape, sorted(set().union(*inner))))
+    return re.compile(rf"[{space}]*[^{space}]+" + (rf"(?:[{more}][{space}]*[^{space}]*)*" if more else "") + rf"|[{space}]+").findall
 
 
 class Pair:
@@ -122,24 +141,28 @@ class Pair:
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = byte_level(path_a), sentence_pieces(path_b)
         self.words = words(self.a.inner, self.b.inner)
-        self.known: dict[str, tuple[bytes | None, bytes | None]] = {}
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The ids of each text with a space before it; none if they don't give its bytes back."""
         none = np.empty(0, np.int32), np.empty(0, np.int32)
         cut = [self.words(f" {t}") if t else [] for t in texts]
-        new = list({w for words in cut for w in words if w not in self.known})
-        fresh = dict(zip(new, zip(self.a.encode(new), self.b.encode(new))))
-        if len(self.known) + len(fresh) > REMEMBERED:
-            fresh.update((w, self.known[w]) for words in cut for w in words if w not in fresh)
-            self.known = {}
-        self.known |= fresh
+        used = set().union(*cut)
+        new = list(used - self.known.keys())
+        new.sort(key=str.isspace)  # white space alone ends a text: nothing may stand behind it
+        utf8 = [w.encode("utf-8", "replace") for w in new]
+        fresh = zip(self.a.encode(new, utf8), self.b.encode(new, utf8))
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known = {w: self.known[w] for w in used if w in self.known}
+        self.known.update(zip(new, (None if None in got else got for got in fresh)))
+        known = self.known.__getitem__
         for words in cut:
-            got = [self.known[w] for w in words]
-            if not got or any(a is None or b is None for a, b in got):
+            got = list(map(known, words))
+            if not got or None in got:
                 yield none
             else:
-                yield tuple(np.frombuffer(b"".join(side), np.int32) for side in zip(*got))
+                a, b = zip(*got)
+                yield np.frombuffer(b"".join(a), np.int32), np.frombuffer(b"".join(b), np.int32)
         if len(self.known) > REMEMBERED:
             self.known = {}
 
@@ -153,12 +176,11 @@ def pair(path_a: str, path_b: str) -> Pair:
 ONES = b"\1" * (1 << 16)
 
 
-def aligned(ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[int, int, int, int, bool]], bytearray, bytearray]:
+def aligned(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int, int, bool]]:
     """The stretches of two lists of rising ends with the same last one:
     ``i, i_end, j, j_end, single``, single for one-to-one groups, else one
-    irregular group. And, link by link, by how much the place in A and in B
-    rises."""
-    out, rise_a, rise_b = [], bytearray(), bytearray()
+    irregular group."""
+    out = []
     i = j = 0
     n, m = len(ends_a), len(ends_b)
     while i < n:
@@ -168,34 +190,32 @@ def aligned(ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[int, int,
                 k, step = k + step, 2 * step
             k, stop = min(k, n - i, m - j), min(n - i, m - j)
             while k < stop and ends_a[i + k] == ends_b[j + k]:
-                half = max(1, step // 2)
-                step = half
-                if ends_a[i + k : i + k + half] == ends_b[j + k : j + k + half]:
-                    k = min(k + half, stop)
+                step = max(1, step // 2)
+                if ends_a[i + k : i + k + step] == ends_b[j + k : j + k + step]:
+                    k = min(k + step, stop)
             out.append((i, i + k, j, j + k, True))
-            for at in range(0, k, len(ONES)):
-                rise_a += ONES[: k - at]
-                rise_b += ONES[: k - at]
             i, j = i + k, j + k
             continue
         x, y = i, j
         a, b = ends_a[x], ends_b[y]
-        rise_a.append(1)
-        rise_b.append(1)
         while a != b:
             if a < b:
                 x += 1
                 a = ends_a[x]
-                rise_a.append(1)
-                rise_b.append(0)
             else:
                 y += 1
                 b = ends_b[y]
-                rise_a.append(0)
-                rise_b.append(1)
         out.append((i, x + 1, j, y + 1, False))
         i, j = x + 1, y + 1
-    return out, rise_a, rise_b
+    return out
+
+
+def rises(ends_a: list[int], ends_b: list[int]) -> tuple[bytes, bytes]:
+    """For an irregular group with these ends: link by link, by how much the
+    place in A and in B rises. The first link rises in both."""
+    both = sorted({*ends_a, *ends_b})[:-1]
+    in_a, in_b = set(ends_a), set(ends_b)
+    return b"\1" + bytes(e in in_a for e in both), b"\1" + bytes(e in in_b for e in both)
 
 
 class Names(dict):
@@ -209,24 +229,47 @@ class Names(dict):
 
 
 _names = Names()
+#: By the packed ids of an irregular group: its rises, its text, its number of links.
+_groups: dict[tuple[bytes, bytes], tuple[bytes, bytes, str, int]] = {}
+
+
+def irregular(ids_a: bytes, ids_b: bytes, tokens_a: Tokens, tokens_b: Tokens) -> tuple[bytes, bytes, str, int]:
+    a, b = np.frombuffer(ids_a, np.int32), np.frombuffer(ids_b, np.int32)
+    rise_a, rise_b = rises(tokens_a.length[a].cumsum().tolist(), tokens_b.length[b].cumsum().tolist())
+    text = f"{','.join([tokens_a.decimal[x] for x in a])}|{','.join([tokens_b.decimal[y] for y in b])}"
+    if len(_groups) >= REMEMBERED:
+        _groups.clear()
+    group = _groups[ids_a, ids_b] = rise_a, rise_b, text, len(rise_a)
+    return group
 
 
 def alignment(ids_a: np.ndarray, ids_b: np.ndarray, tokens_a: Tokens, tokens_b: Tokens) -> tuple[int, str, np.ndarray]:
     """Groups, the digest of their ids, and the links as ``a_id << 32 | b_id``."""
     if not len(ids_a):
         return 0, "", np.empty(0, np.int64)
-    stretches, rise_a, rise_b = aligned(tokens_a.length[ids_a].cumsum().tolist(), tokens_b.length[ids_b].cumsum().tolist())
-    at_a, at_b = (np.frombuffer(r, np.uint8).cumsum(dtype=np.int64) - 1 for r in (rise_a, rise_b))
-    links = ids_a[at_a].astype(np.int64) << 32 | ids_b[at_b]
-    every, a, b, names_a, names_b = links.tolist(), ids_a.tolist(), ids_b.tolist(), tokens_a.decimal, tokens_b.decimal
-    words, at = [], 0
-    for i, i_end, j, j_end, single in stretches:
+    packed_a, packed_b, known = ids_a.tobytes(), ids_b.tobytes(), _groups.get
+    rise_a, rise_b, parts = [], [], []
+    for i, i_end, j, j_end, single in aligned(tokens_a.length[ids_a].cumsum().tolist(), tokens_b.length[ids_b].cumsum().tolist()):
         if single:
-            words += map(_names.__getitem__, every[at : at + i_end - i])
-            at += i_end - i
+            ones = ONES[: i_end - i] if i_end - i <= len(ONES) else b"\1" * (i_end - i)
+            rise_a.append(ones)
+            rise_b.append(ones)
+            parts.append((None, i_end - i))
+        else:
+            key = packed_a[4 * i : 4 * i_end], packed_b[4 * j : 4 * j_end]
+            group = known(key) or irregular(*key, tokens_a, tokens_b)
+            rise_a.append(group[0])
+            rise_b.append(group[1])
+            parts.append(group[2:])
+    at_a, at_b = (np.frombuffer(b"".join(r), np.uint8).cumsum(dtype=np.int64) - 1 for r in (rise_a, rise_b))
+    links = ids_a[at_a].astype(np.int64) << 32 | ids_b[at_b]
+    every, words, at = links.tolist(), [], 0
+    for text, n in parts:
+        if text is None:
+            words += map(_names.__getitem__, every[at : at + n])
         else:
-            words.append(f"{','.join([names_a[x] for x in a[i:i_end]])}|{','.join([names_b[y] for y in b[j:j_end]])}")
-            at += i_end - i + j_end - j - 1
+            words.append(text)
+        at += n
     return len(words), hashlib.sha256(";".join(words).encode()).hexdigest(), links
 
 
