@@ -268,7 +268,7 @@ def test_components(spark):
 
 def test_every_dealt_query_is_registered():
     names = {n.split("_")[0] for n in queries.queries()}
-    assert names == {f"op{i}" for i in range(1, 11)}
+    assert names == {f"op{i}" for i in range(1, 14)}
     assert set(queries.oracle_sql()) <= set(queries.queries())
 
 

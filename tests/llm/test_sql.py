@@ -8,7 +8,7 @@ import pytest
 from clinistar.llm import queries
 
 SF = "/root/testdata/sf0.001"
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
