@@ -39,11 +39,13 @@ INSIDE = 50
 TOP = 2000
 #: Words of a chunk, about; a task holds twice as many at most. A longer text
 #: is in one chunk.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 #: Side of a tile, and the pairs per cell from which one is counted densely.
 TILE, DENSE = 1024, 1 / 16
 #: Tiles per side that may be dense: ids beyond are rare.
 CORNER = 8
+#: Phrases of the most frequent ranks that every task has: 16 MB. The others are joined.
+HEAD = 1 << 20
 #: Bits of the bitmap of known phrases and of a piece of it, as powers of two.
 BITMAP_BITS, BITMAP_PIECE = 28, 17
 #: Rows that a task hands on at once.
@@ -187,15 +189,25 @@ def phrase_counts(read: DataFrame, n_words: int) -> DataFrame:
     return read.select("ids", "heads").mapInPandas(rows, "code long, f long").groupBy("code").agg(F.sum("f").alias("f"))
 
 
-def listed_phrases(read: DataFrame, n_words: int, bits) -> DataFrame:
+def in_head(head, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which ``codes`` are among the most frequent phrases, and the ids of those."""
+    known, ids = head.value
+    at = np.searchsorted(known, codes)
+    found = at < len(known)
+    found[found] = known[at[found]] == codes[found]
+    return found, ids[at[found]]
+
+
+def listed_phrases(read: DataFrame, n_words: int, bits, head) -> DataFrame:
     """``chunk, place, code``: each chunk's distinct phrases, with their places
-    in that list, as far as ``bits`` doesn't rule them out."""
+    in that list, but for the most frequent ones and those that ``bits`` rules
+    out."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for row in b.itertuples():
                 codes, _ = grown(row, n_words)
-                place = np.flatnonzero(maybe(bits.value, mixed(codes)))
+                place = np.flatnonzero(maybe(bits.value, mixed(codes)) & ~in_head(head, codes)[0])
                 for at in range(0, len(place), BATCH_ROWS):
                     some = place[at : at + BATCH_ROWS]
                     yield pd.DataFrame({"chunk": row.chunk, "place": some.astype(np.int32), "code": codes[some]})
@@ -225,13 +237,15 @@ def word_ids(row, place: np.ndarray, number: np.ndarray) -> tuple[bytes, None]:
     return ids[kept].astype(np.int32).tobytes(), None
 
 
-def phrase_ids(n_words: int):
+def phrase_ids(n_words: int, head):
     """Heads one word longer: phrases of ``n_words`` words."""
 
     def step(row, place: np.ndarray, number: np.ndarray) -> tuple[bytes, bytes]:
         codes, _ = grown(row, n_words)
         lookup = np.full(len(codes), -1, np.int64)
         lookup[place] = number
+        frequent, number = in_head(head, codes)
+        lookup[frequent] = number
         _, heads, behind, both = heads_and_words(row, n_words)
         out = np.full(len(heads), -1, np.int64)
         out[both] = lookup[np.searchsorted(codes, heads[both] << 32 | behind[both])]
@@ -304,9 +318,12 @@ def phrases(docs: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST) ->
         known = staged(longer.select("lang", F.concat_ws(" ", "head", "word").alias("phrase"), "f", "id", "code"), "phrases-ids")
         found.append(known)
         if n_words < max_words:
-            bits = spark.sparkContext.broadcast(bitmap(known.select("code").mapInPandas(hashed, "h long"), known.count()))
-            names = listed_phrases(read, n_words, bits).join(known.select("code", "id"), "code").select("chunk", "place", "id")
-            read = by_chunk(read, names, phrase_ids(n_words))
+            first = known.where(F.col("id") < HEAD).select("code", "id").toPandas().sort_values("code")
+            head = spark.sparkContext.broadcast((first["code"].to_numpy(np.int64), first["id"].to_numpy(np.int64)))
+            rest = known.where(F.col("id") >= HEAD).select("code", "id")
+            bits = spark.sparkContext.broadcast(bitmap(rest.select("code").mapInPandas(hashed, "h long"), rest.count()))
+            names = listed_phrases(read, n_words, bits, head).join(rest, "code").select("chunk", "place", "id")
+            read = by_chunk(read, names, phrase_ids(n_words, head))
             if n_words + 1 < max_words:  # else it is used once
                 read = staged(read, "phrases-sequences")
             discard(spark)
