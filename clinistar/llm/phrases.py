@@ -44,8 +44,8 @@ CHUNK = 1 << 20
 TILE, DENSE = 1024, 1 / 16
 #: Tiles per side that may be dense: ids beyond are rare.
 CORNER = 8
-#: Phrases of the most frequent ranks that every task has: 16 MB. The others are joined.
-HEAD = 1 << 20
+#: Phrases of the most frequent ranks that every task has: 8 MB. The others are joined.
+HEAD = 1 << 19
 #: Bits of the bitmap of known phrases and of a piece of it, as powers of two.
 BITMAP_BITS, BITMAP_PIECE = 28, 17
 #: Rows that a task hands on at once.
@@ -318,8 +318,10 @@ def phrases(docs: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST) ->
         known = staged(longer.select("lang", F.concat_ws(" ", "head", "word").alias("phrase"), "f", "id", "code"), "phrases-ids")
         found.append(known)
         if n_words < max_words:
-            first = known.where(F.col("id") < HEAD).select("code", "id").toPandas().sort_values("code")
-            head = spark.sparkContext.broadcast((first["code"].to_numpy(np.int64), first["id"].to_numpy(np.int64)))
+            first = known.where(F.col("id") < HEAD).select("code", "id").mapInPandas(packed, "codes binary, ids binary").collect()
+            codes, ids = (np.frombuffer(b"".join(r[k] for r in first), np.int64) for k in range(2))
+            order = np.argsort(codes)
+            head = spark.sparkContext.broadcast((codes[order], ids[order]))
             rest = known.where(F.col("id") >= HEAD).select("code", "id")
             bits = spark.sparkContext.broadcast(bitmap(rest.select("code").mapInPandas(hashed, "h long"), rest.count()))
             names = listed_phrases(read, n_words, bits, head).join(rest, "code").select("chunk", "place", "id")
@@ -331,6 +333,11 @@ def phrases(docs: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST) ->
     return reduce(DataFrame.unionByName, every), totals
 
 
+def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield pd.DataFrame([[b[c].to_numpy(np.int64).tobytes() for c in ("code", "id")]], columns=["codes", "ids"])
+
+
 def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         yield pd.DataFrame({"h": mixed(b["code"].to_numpy())})
