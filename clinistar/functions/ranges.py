@@ -29,9 +29,14 @@ def with_range(distinct: DataFrame, by: str, range_col: str = "_range", ranges:
     bounds = lowest.agg(F.array_sort(F.collect_list("_b")).alias("_s")).select(
         F.filter(every, lambda b, i: (i > 0) & (i % step == 0)).alias("_bounds")
     )
-    # the subquery's one value becomes a column: a lambda can't hold a subquery
-    below = F.filter("_bounds", lambda b: b <= F.col(by))
-    return distinct.withColumn("_bounds", bounds.scalar()).withColumn(range_col, F.greatest(F.lit(0), F.size(below))).drop("_bounds")
+    # how many bounds are not above, by bisection: a step per power of two,
+    # not one per bound; each is a projection, which is compiled, as a lambda
+    # is not. A NULL bound, one past the end, and a NULL value are not reached.
+    out = distinct.withColumn("_bounds", bounds.scalar()).withColumn(range_col, F.lit(0))
+    for half in (1 << k for k in reversed(range(ranges.bit_length()))):
+        ahead = F.get("_bounds", F.col(range_col) + (half - 1)) <= F.col(by)
+        out = out.withColumn(range_col, F.col(range_col) + F.when(ahead, half).otherwise(0))
+    return out.drop("_bounds")
 
 
 def starts(sizes: DataFrame, size_col: str, out_col: str, range_col: str = "_range", keys: tuple[str, ...] = (), descending: bool = False) -> DataFrame:

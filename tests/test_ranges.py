@@ -84,3 +84,16 @@ def test_top_rows_of_any_length(spark, n):
     got = ranges.top_rows(df, F.struct((-F.col("m")).alias("m"), "id"), n)
     assert got.columns == ["id", "m"]
     assert bag(got) == bag(df.orderBy(F.desc("m"), "id").limit(n))
+
+
+def test_a_range_is_found_by_bisection(spark):
+    """Lambdas sort and pick the bounds; none runs over all of them for each row."""
+    rows = [(v,) for v in [None, float("nan"), float("-inf"), 0.0, -0.0] + [i / 8 for i in range(-300, 300)] * 2]
+    df = ranges.with_range(spark.createDataFrame(rows, "v double").repartition(3), "v")
+    assert df._jdf.queryExecution().analyzed().toString().count("lambdafunction(") == 2
+    got = sorted(((r["v"] is not None, r["v"] != r["v"], r["v"]), r["_range"]) for r in df.collect() if r["v"] is None or r["v"] == r["v"])
+    assert [k for _, k in got] == sorted(k for _, k in got) and got[0][1] == 0
+    every = {k for _, k in got}
+    assert every == set(range(max(every) + 1)) and 8 <= len(every) <= 17  # no range is skipped
+    same = {v: k for (_, _, v), k in got}
+    assert all(same[v] == k for (_, _, v), k in got)
