@@ -13,9 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 
 # D1 -----------------------------------------------------------------------
@@ -214,91 +216,106 @@ def _entities(rules: Sequence[Rule]) -> dict[Role, int]:
 def rule_report(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
     """One row per rule: ``rule``, ``violations``; one lazy plan.
 
-    Every table is read once. A row gives one small record per role it plays:
-    the entity, the key's value, and what rules need of it (a day, whether it
-    is allowed); and one per row rule it breaks. Records are counted by value
-    before they move, so a key with a third of all rows is a few records a
-    task: as many as it has distinct days. What meets per key is those
-    counts, and all rules about the key are answered from them. So all foreign
-    keys to one parent, its uniqueness and its limits share one shuffle.
+    Every table is read once. A row gives one small record per role it plays,
+    the entity and the key's value; one per day that a rule compares; and one
+    per row rule it breaks. Keys keep their types: whole numbers are not
+    made text. Three aggregates follow:
+
+    1. records by key (and day): how often each role names it, and whether it
+       is barred. They are counted before they move, so a key with a third of
+       all rows is one record a task, or as many as it has distinct days;
+    2. what each rule finds at a key, added up per entity before it moves; only
+       days stay apart;
+    3. behind a window over the days of a key, which adds up the children
+       before each parent's day, a row per entity with the sums of all rules.
     """
     entity = _entities(rules)
-    # facets: what is recorded of a role, by (role, day)
-    facets: dict[tuple[Role, Expression | None], int] = {}
+    roles: dict[int, list[Role]] = {}
+    for role, no in entity.items():
+        roles.setdefault(no, []).append(role)
+    slot = {role: i for of in roles.values() for i, role in enumerate(of)}
     flags: dict[Role, Expression] = {}
     for r in rules:
-        if isinstance(r, NotBefore):
-            facets.setdefault((r.child, r.day), len(facets))
-            facets.setdefault((r.parent, r.since), len(facets))
-        if isinstance(r, OnlyWhen):
-            if flags.setdefault(r.parent, r.allowed) is not r.allowed:
-                raise ValueError(f"two conditions on {r.parent}")
-    for role in entity:
-        if not any(of == role for of, _ in facets):
-            facets[role, None] = len(facets)
-    counted_by = {role: min(n for (of, _), n in facets.items() if of == role) for role in entity}
-
-    def record(entity_no: int, key: Column, facet: int, day: Column | None = None, barred: Column | None = None) -> Column:
+        if isinstance(r, OnlyWhen) and flags.setdefault(r.parent, r.allowed) is not r.allowed:
+            raise ValueError(f"two conditions on {r.parent}")
+
+    # columns of a key: whole numbers in n0, n1, ..., all others as text in s0, s1, ...
+    columns: dict[int, list[str]] = {}
+    for no, of in roles.items():
+        whole = [all(isinstance(tables[r.table].schema[c].dataType, IntegralType) for r, c in zip(of, same)) for same in zip(*(r.columns for r in of))]
+        columns[no] = [f"n{sum(whole[:k])}" if w else f"s{k - sum(whole[:k])}" for k, w in enumerate(whole)]
+    keys = sorted({c for of in columns.values() for c in of})
+    kind = {c: "long" if c[0] == "n" else "string" for c in keys}
+
+    first = max(entity.values(), default=-1) + 1  # compared days have numbers of their own, row rules those below 0
+    own = {i: first + i if isinstance(r, NotBefore) else -1 - i for i, r in enumerate(rules) if isinstance(r, NotBefore | Row)}
+
+    def record(no: int, place: int, role: Role | None = None, day: Column | None = None, barred: Column | None = None) -> Column:
+        key = dict(zip(columns[entity[role]], role.columns)) if role else {}
         return F.struct(
-            F.lit(entity_no).alias("entity"), key.alias("key"), F.lit(facet).alias("facet"),
-            (F.lit(None) if day is None else day).cast("date").alias("day"),
+            F.lit(no).alias("entity"), *[(F.col(key[c]) if c in key else F.lit(None)).cast(kind[c]).alias(c) for c in keys],
+            (F.lit(None).cast("int") if day is None else day).alias("day"), F.lit(place).alias("slot"),
             (F.lit(False) if barred is None else barred).alias("barred"),
         )
 
+    def dated(i: int, place: int, role: Role, day: Column, days: int) -> Column:
+        day = F.unix_date(day.cast("date")) + days
+        judged = reduce(Column.__and__, (F.col(c).isNotNull() for c in role.columns), day.isNotNull())
+        return F.when(judged, record(own[i], place, role, day))
+
     parts = []
     for name in dict.fromkeys([*(role.table for role in entity), *(r.table for r in rules if isinstance(r, Row))]):
-        records = []
-        for (role, day), facet in facets.items():
-            if role.table == name:
-                key = F.array(*[F.col(c).cast("string") for c in role.columns])
-                barred = ~F.coalesce(flags[role](), F.lit(False)) if role in flags else None
-                records.append(record(entity[role], key, facet, None if day is None else day(), barred))
+        records = [
+            record(no, slot[role], role, barred=~F.coalesce(flags[role](), F.lit(False)) if role in flags else None)
+            for role, no in entity.items() if role.table == name
+        ]
         for i, r in enumerate(rules):
             if isinstance(r, Row) and r.table == name:
-                records.append(F.when(r.bad(), record(-1, F.array(F.lit(str(i))), -1)))
-        parts.append(tables[name].select(F.explode(F.array_compact(F.array(*records))).alias("r")).select("r.*"))
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionAll(p)
-    counts = every.groupBy("entity", "key", "facet", "day", "barred").agg(F.count(F.lit(1)).alias("n"))
-
-    dated = sorted({facets[x] for r in rules if isinstance(r, NotBefore) for x in ((r.child, r.day), (r.parent, r.since))})
-    aggregates = [F.sum("n").alias("rows")]
-    aggregates += [F.coalesce(F.sum(F.when(F.col("facet") == f, F.col("n"))), F.lit(0)).alias(f"n{f}") for f in sorted(set(counted_by.values()))]
-    aggregates += [F.coalesce(F.max(F.when(F.col("facet") == counted_by[role], F.col("barred"))), F.lit(False)).alias(f"barred{counted_by[role]}") for role in flags]
-    aggregates += [F.collect_list(F.when((F.col("facet") == f) & F.col("day").isNotNull(), F.struct("day", "n"))).alias(f"days{f}") for f in dated]
-    per_key = counts.groupBy("entity", "key").agg(*aggregates).withColumn("whole", ~F.exists("key", lambda k: k.isNull()))
-
-    n = lambda role: F.col(f"n{counted_by[role]}")
-    found = []
+                records.append(F.when(r.bad(), record(own[i], 0)))
+            if isinstance(r, NotBefore) and r.child.table == name:
+                records.append(dated(i, 0, r.child, r.day(), 0))
+            if isinstance(r, NotBefore) and r.parent.table == name:
+                records.append(dated(i, 1, r.parent, r.since(), r.min_days))
+        parts.append(tables[name].select(F.explode(F.array(*records)).alias("r")).where("r is not null").select("r.*"))
+    every = reduce(DataFrame.unionAll, parts)
+    slots = range(max(2, *map(len, roles.values())))
+    counts = every.groupBy("entity", *keys, "day").agg(
+        *[F.count_if(F.col("slot") == k).alias(f"_{k}") for k in slots], F.max("barred").alias("barred")
+    )
+
+    # what rules ask of a key: the same question has the same column, whatever the entity
+    lacks = [F.col("entity").isin([no for no, of in columns.items() if c in of]) & F.col(c).isNull() for c in keys]
+    counts = counts.withColumn("whole", ~reduce(Column.__or__, lacks))
+    asked: dict[str, Column] = {"rows": F.col("_0"), "pairs": F.lit(0).cast("long")}
+    answer: list[tuple[int, str]] = []
     for i, r in enumerate(rules):
-        if isinstance(r, Row):
+        if isinstance(r, Row | NotBefore):
+            answer.append((own[i], "rows" if isinstance(r, Row) else "pairs"))
             continue
-        if isinstance(r, Unique):
-            broken = F.when(n(r.role) > 1, 1)
-        elif isinstance(r, AtMost):
-            broken = F.when(n(r.child) > r.n, 1)
+        child = slot[r.role if isinstance(r, Unique) else r.child]
+        n = F.col(f"_{child}")
+        if isinstance(r, Unique | AtMost):
+            most = 1 if isinstance(r, Unique) else r.n
+            question, found = f"over {most}: {child}", (n > most).cast("long")
         elif isinstance(r, References):
-            broken = F.when(F.col("whole") & (n(r.parent) == 0), n(r.child))
-        elif isinstance(r, OnlyWhen):
-            broken = F.when(F.col("whole") & F.col(f"barred{counted_by[r.parent]}"), n(r.child))
+            question, found = f"{child} without {slot[r.parent]}", F.when(F.col("whole") & (F.col(f"_{slot[r.parent]}") == 0), n)
         else:
-            days, since = F.col(f"days{facets[r.child, r.day]}"), F.col(f"days{facets[r.parent, r.since]}")
-            zero = F.lit(0).cast("long")
-
-            def early(p: Column, r: NotBefore = r, days: Column = days, zero: Column = zero) -> Column:
-                before = lambda c: F.datediff(c["day"], p["day"]) < r.min_days
-                return F.aggregate(F.filter(days, before), zero, lambda total, c: total + c["n"] * p["n"])
-
-            pairs = F.aggregate(since, zero, lambda total, p: total + early(p))  # noqa: B023
-            broken = F.when(F.col("whole"), pairs)
-        home = entity[r.role if isinstance(r, Unique) else r.child]
-        found.append(F.when((F.col("entity") == home) & (broken > 0), F.struct(F.lit(i).alias("no"), broken.cast("long").alias("n"))))
-    found.append(F.when(F.col("entity") == -1, F.struct(F.try_element_at("key", F.lit(1)).try_cast("int").alias("no"), F.col("rows").alias("n"))))
-    broken = per_key.select(F.explode(F.array_compact(F.array(*found))).alias("b")).groupBy("b.no").agg(F.sum("b.n").alias("n"))
+            question, found = f"{child} barred", F.when(F.col("whole") & F.col("barred"), n)
+        asked[question] = found
+        answer.append((entity[r.role if isinstance(r, Unique) else r.child], question))
+    number = {question: k for k, question in enumerate(asked)}
+    has_day = F.col("entity") >= first
+    sums = counts.groupBy("entity", *[F.when(has_day, F.col(c)).alias(c) for c in keys], "day").agg(
+        *[F.sum(found).alias(f"q{k}") for k, found in enumerate(asked.values())], F.sum("_0").alias("children"), F.sum("_1").alias("parents")
+    )
+    before = Window.partitionBy(*keys, "entity").orderBy("day").rangeBetween(Window.unboundedPreceding, -1)
+    pairs = F.when(has_day, F.col("parents") * F.sum("children").over(before))
+    found = sums.withColumn(f"q{number['pairs']}", pairs).groupBy("entity").agg(F.array(*[F.sum(f"q{k}") for k in number.values()]).alias("found"))
+
     spark = next(iter(tables.values())).sparkSession
-    names = spark.createDataFrame([(i, r.name) for i, r in enumerate(rules)], "no int, rule string")
-    return names.join(broken, "no", "left").select("rule", F.coalesce("n", F.lit(0)).cast("long").alias("violations"))
+    names = spark.createDataFrame([(r.name, no, number[question]) for r, (no, question) in zip(rules, answer)], "rule string, entity int, question int")
+    n = F.get("found", F.col("question"))
+    return names.join(found, "entity", "left").select("rule", F.coalesce(n, F.lit(0)).cast("long").alias("violations"))
 
 
 # ---------------------------------------------------------------------------
