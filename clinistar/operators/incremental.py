@@ -61,8 +61,11 @@ class SummaryState:
         bases = self._parts("base", ("patients", "treatments"))
         if bases and load <= bases[-1]:
             raise ValueError(f"load {load} is part of base {bases[-1]}")
-        A.appointments_per_patient(facts).write.mode("overwrite").parquet(self._folder("load", load, "patients"))
-        A.treatments_per_patient(facts).write.mode("overwrite").parquet(self._folder("load", load, "treatments"))
+        # one pass over the facts: the counts per patient are sums of those per treatment
+        treatments = self._folder("load", load, "treatments")
+        A.treatments_per_patient(facts, cancelled=True).write.mode("overwrite").parquet(treatments)
+        patients = self.spark.read.parquet(treatments).groupBy(*PATIENT).agg(F.sum("_n").alias("_total"), F.sum("_cancelled").alias("_cancelled"))
+        patients.write.mode("overwrite").parquet(self._folder("load", load, "patients"))
 
     def patients(self, only: DataFrame | None = None) -> DataFrame:
         """PatientID, ``_total``, ``_cancelled`` of all loads (``only``: of these patients)."""

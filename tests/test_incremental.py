@@ -57,3 +57,20 @@ def test_an_unfinished_load_does_not_count(spark, tmp_path):
     state.add(1, wh.fact())
     A.appointments_per_patient(wh.fact()).write.parquet(f"{tmp_path}/state/load-000000002/patients")  # no treatments
     assert bag(state.patients()) == bag(A.appointments_per_patient(wh.fact()))
+
+
+def test_a_load_reads_its_facts_once(spark, tmp_path):
+    """Both tables of a load come from one pass, NULLs and appointments without lines included."""
+    rows = [(1, 1, 1, 1, "Cancelled"), (1, 1, 1, 2, None), (None, 1, 2, 2, "Cancelled"), (2, None, 1, 1, "Scheduled"), (3, 2, None, None, "Cancelled"), (4, 2, 1, 1, "Cancelled")] * 2
+    facts, read = spark.createDataFrame(rows, "AppointmentID long, PatientID long, DiagnosisID long, MedicationID long, Status string"), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    state = SummaryState(spark, f"{tmp_path}/state")
+    state.add(0, facts.mapInPandas(counted, facts.schema))
+    assert read.value == len(rows)
+    assert bag(state.patients()) == bag(A.appointments_per_patient(facts))
+    assert bag(state.treatments()) == bag(A.treatments_per_patient(facts))
