@@ -8,6 +8,11 @@ time they are equal (exponential probing), and so jumps the whole stretch. At
 the first difference it steps the side that is behind until both ends meet:
 that is an irregular group, after which the shift is a new one.
 
+Both tokenizers encode the words of a text alone, and where a word ends a token
+of each ends. A word's groups are therefore the same wherever it stands: the
+walk goes over the new words of a batch, one behind the other, and what it finds
+is remembered per word. A text's groups and links are those of its words.
+
 How many documents of the corpus link a pair of ids, and whether that is the
 most of its A id, needs all documents. Documents are therefore put into chunks
 of bounded size, and only a chunk's distinct pairs are counted and joined, not
@@ -24,10 +29,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -40,12 +44,14 @@ from clinistar.llm.common import staged, table
 
 #: Distinct pairs of the documents of a chunk together, about; a longer document is a chunk.
 CHUNK = 1 << 21
-#: Words (and one-to-one groups) that are remembered.
-REMEMBERED = 1 << 19
+#: Words (and one-to-one groups) that are remembered, and the longest of them in characters.
+REMEMBERED, REMEMBERED_CHARS = 1 << 19, 256
 #: Words that are encoded together.
 TOGETHER = 512
 #: What stands for a space in sentence pieces (fixed value of that kind of vocabulary).
 SPACE = "\u2581"
+#: In a link ``a_id << 32 | b_id``: the first of its A token (sign bit), the first of its B token.
+FIRST_A, FIRST_B = -1 << 63, 1 << 31
 #: Put before a word that doesn't start with a space: no merge joins it to white space.
 START = "\n"
 
@@ -54,33 +60,35 @@ START = "\n"
 class Tokens:
     """Ids to bytes, lengths and decimal strings. ``of`` encodes many words,
     each alone. ``inner`` is the white space before which a text can't be cut,
-    None if it can't be cut at all. ``together``: many words cost less as one."""
+    None if it can't be cut at all."""
 
-    def __init__(self, pieces: list[bytes], of: Callable[[list[str]], list[list[int]]], inner: set[str] | None, together: bool = False):
-        self.bytes, self.of, self.inner, self.together = pieces, of, inner, together and inner is not None
+    def __init__(self, pieces: list[bytes], of: Callable[[list[str]], list[list[int]]], inner: set[str] | None):
+        self.bytes, self.of, self.inner = pieces, of, inner
         self.length = np.array([len(p) for p in pieces], np.int64)
         self.decimal = [str(k) for k in range(len(pieces))]
 
-    def encode(self, words: list[str], utf8: list[bytes]) -> Iterator[bytes | None]:
-        """The ids of each word as packed int32, None if they don't give its
+    def encode(self, words: list[str], utf8: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all words, how many each has, and whether they give its
         bytes (``utf8``) back. Words that may stand one behind the other are
-        encoded together and cut by their bytes."""
-        for at in range(0, len(words), TOGETHER):
-            some, want = words[at : at + TOGETHER], utf8[at : at + TOGETHER]
-            joined = self.of(["".join(some)])[0] if self.together else []
-            ids, word_ends = np.array(joined, np.int32), np.cumsum(list(map(len, want)))
-            ends = self.length[ids].cumsum()
-            cuts = np.searchsorted(ends, word_ends, "right")
-            if b"".join(map(self.bytes.__getitem__, joined)) == b"".join(want) and (ends[cuts - 1] == word_ends).all():
-                packed = ids.tobytes()
-                yield from (packed[x:y] for x, y in pairwise([0, *(4 * cuts).tolist()]))
-            else:  # a word that doesn't come back, or stands only at the end of a text
-                yield from self.alone(some, want)
-
-    def alone(self, words: list[str], utf8: list[bytes]) -> Iterator[bytes | None]:
-        piece = self.bytes.__getitem__
-        for want, ids in zip(utf8, self.of(words)):
-            yield array("i", ids).tobytes() if b"".join(map(piece, ids)) == want else None
+        encoded together, which costs less, and cut by their bytes: where a
+        token ends with the word, no merge has crossed."""
+        whole, word_ends = b"".join(utf8), np.cumsum(list(map(len, utf8)))
+        if self.inner is not None:
+            joined = self.of(["".join(words)])[0]
+            ids = np.array(joined, np.int32)
+            cuts = np.searchsorted(self.length[ids].cumsum(), word_ends, "right")
+            if self.back(joined, ids, cuts, whole, word_ends):
+                return ids, np.diff(cuts, prepend=0), np.ones(len(words), bool)
+        each = self.of(words)  # or a word doesn't come back, or stands only at the end of a text
+        joined, counts = list(chain.from_iterable(each)), np.array(list(map(len, each)), np.int64)
+        ids = np.array(joined, np.int32)
+        if self.back(joined, ids, counts.cumsum(), whole, word_ends):
+            return ids, counts, np.ones(len(words), bool)
+        return ids, counts, np.array([b"".join(map(self.bytes.__getitem__, got)) == want for want, got in zip(utf8, each)], bool)
+
+    def back(self, joined: list[int], ids: np.ndarray, cuts: np.ndarray, whole: bytes, word_ends: np.ndarray) -> bool:
+        """Whether the ids, cut there, give each word's bytes."""
+        return b"".join(map(self.bytes.__getitem__, joined)) == whole and bool((self.length[ids].cumsum()[cuts - 1] == word_ends).all())
 
 
 def byte_level(path: str) -> Tokens:
@@ -97,7 +105,7 @@ def byte_level(path: str) -> Tokens:
     byte = {letter: k for k, letter in enumerate(merges.byte_letters())}
     names = [lib.id_to_token(k) or "" for k in range(lib.get_vocab_size())]
     pieces = [bytes([byte[c] for c in t]) if all(c in byte for c in t) else t.encode() for t in names]
-    return Tokens(pieces, lambda words: [e.ids for e in lib.encode_batch_fast(words, add_special_tokens=False)], set() if lib.normalizer is None else None, together=True)
+    return Tokens(pieces, lambda words: [e.ids for e in lib.encode_batch_fast(words, add_special_tokens=False)], set() if lib.normalizer is None else None)
 
 
 def sentence_pieces(path: str) -> Tokens:
@@ -135,36 +143,59 @@ def words(*inner: set[str] | None) -> Callable[[str], list[str]]:
 
 
 class Pair:
-    """Both tokenizers, and the ids of the words they were given, in a
+    """Both tokenizers, and the groups of the words they were given, in a
     dictionary of bounded size."""
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = byte_level(path_a), sentence_pieces(path_b)
         self.words = words(self.a.inner, self.b.inner)
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        #: Per word its links and the text of its groups, packed. One whose tokens don't give it back isn't kept.
+        self.known: dict[str, tuple[bytes, bytes]] = {}
 
-    def encode(self, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """The ids of each text with a space before it; none if they don't give its bytes back."""
-        none = np.empty(0, np.int32), np.empty(0, np.int32)
+    def read(self, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, bytes]]:
+        """The links of each text with a space before it, marked as ``linked``
+        does, and the text of its groups; none if its tokens don't give its
+        bytes back."""
         cut = [self.words(f" {t}") if t else [] for t in texts]
-        used = set().union(*cut)
-        new = list(used - self.known.keys())
+        found = [list(map(self.known.get, words)) for words in cut]
+        new = list({w for words, got in zip(cut, found) for w, g in zip(words, got) if g is None})
         new.sort(key=str.isspace)  # white space alone ends a text: nothing may stand behind it
-        utf8 = [w.encode("utf-8", "replace") for w in new]
-        fresh = zip(self.a.encode(new, utf8), self.b.encode(new, utf8))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {w: self.known[w] for w in used if w in self.known}
-        self.known.update(zip(new, (None if None in got else got for got in fresh)))
-        known = self.known.__getitem__
-        for words in cut:
-            got = list(map(known, words))
+        fresh: dict[str, tuple[bytes, bytes] | None] = {}
+        for at in range(0, len(new), TOGETHER):
+            some = new[at : at + TOGETHER]
+            fresh.update(zip(some, self.aligned_words(some)))
+        if len(self.known) + len(fresh) > REMEMBERED:
+            self.known = {w: g for words, got in zip(cut, found) for w, g in zip(words, got) if g}
+        if len(self.known) + len(fresh) <= REMEMBERED:  # before any yield: a caller may not ask for more than it needs
+            self.known.update((w, g) for w, g in fresh.items() if g and len(w) <= REMEMBERED_CHARS)
+        for words, got in zip(cut, found):
+            got = [g or fresh[w] for w, g in zip(words, got)]
             if not got or None in got:
-                yield none
+                yield np.empty(0, np.int64), b""
             else:
-                a, b = zip(*got)
-                yield np.frombuffer(b"".join(a), np.int32), np.frombuffer(b"".join(b), np.int32)
-        if len(self.known) > REMEMBERED:
-            self.known = {}
+                links, groups = zip(*got)
+                yield np.frombuffer(b"".join(links), np.int64), b";".join(groups)
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The ids of each text with a space before it; none if they don't give its bytes back."""
+        for links, _ in self.read(texts):
+            ids_a, ids_b = (links >> 32 & 0x7FFFFFFF).astype(np.int32), (links & 0x7FFFFFFF).astype(np.int32)
+            yield ids_a[links < 0], ids_b[links & FIRST_B != 0]
+
+    def aligned_words(self, words: list[str]) -> Iterator[tuple[bytes, bytes] | None]:
+        """The links and the groups' text of each word, by one walk over all."""
+        utf8 = [w.encode("utf-8", "replace") for w in words]
+        (ids_a, n_a, back_a), (ids_b, n_b, back_b) = self.a.encode(words, utf8), self.b.encode(words, utf8)
+        back = back_a & back_b
+        if not back.all():
+            ids_a, ids_b = ids_a[np.repeat(back, n_a)], ids_b[np.repeat(back, n_b)]
+        links, groups = linked(ids_a, ids_b, self.a, self.b)
+        first_a, starts = links < 0, np.cumsum(n_a[back]) - n_a[back]
+        at = np.append(np.flatnonzero(first_a)[starts], len(links))
+        group = np.append(0, np.cumsum(first_a & (links & FIRST_B != 0)))[at].tolist()
+        packed, at = links.tobytes(), (8 * at).tolist()
+        found = ((packed[x:y], ";".join(groups[g:h]).encode()) for (x, y), (g, h) in zip(pairwise(at), pairwise(group)))
+        return (next(found) if ok else None for ok in back.tolist())
 
 
 @lru_cache(2)
@@ -243,10 +274,11 @@ def irregular(ids_a: bytes, ids_b: bytes, tokens_a: Tokens, tokens_b: Tokens) ->
     return group
 
 
-def alignment(ids_a: np.ndarray, ids_b: np.ndarray, tokens_a: Tokens, tokens_b: Tokens) -> tuple[int, str, np.ndarray]:
-    """Groups, the digest of their ids, and the links as ``a_id << 32 | b_id``."""
+def linked(ids_a: np.ndarray, ids_b: np.ndarray, tokens_a: Tokens, tokens_b: Tokens) -> tuple[np.ndarray, list[str]]:
+    """The links as ``a_id << 32 | b_id``, the first of each token marked with
+    ``FIRST_A`` and ``FIRST_B`` (both where a group starts), and the groups' texts."""
     if not len(ids_a):
-        return 0, "", np.empty(0, np.int64)
+        return np.empty(0, np.int64), []
     packed_a, packed_b, known = ids_a.tobytes(), ids_b.tobytes(), _groups.get
     rise_a, rise_b, parts = [], [], []
     for i, i_end, j, j_end, single in aligned(tokens_a.length[ids_a].cumsum().tolist(), tokens_b.length[ids_b].cumsum().tolist()):
@@ -261,16 +293,17 @@ def alignment(ids_a: np.ndarray, ids_b: np.ndarray, tokens_a: Tokens, tokens_b:
             rise_a.append(group[0])
             rise_b.append(group[1])
             parts.append(group[2:])
-    at_a, at_b = (np.frombuffer(b"".join(r), np.uint8).cumsum(dtype=np.int64) - 1 for r in (rise_a, rise_b))
+    first_a, first_b = (np.frombuffer(b"".join(r), np.uint8) for r in (rise_a, rise_b))
+    at_a, at_b = (r.cumsum(dtype=np.int64) - 1 for r in (first_a, first_b))
     links = ids_a[at_a].astype(np.int64) << 32 | ids_b[at_b]
-    every, words, at = links.tolist(), [], 0
+    every, groups, at = links.tolist(), [], 0
     for text, n in parts:
         if text is None:
-            words += map(_names.__getitem__, every[at : at + n])
+            groups += map(_names.__getitem__, every[at : at + n])
         else:
-            words.append(text)
+            groups.append(text)
         at += n
-    return len(words), hashlib.sha256(";".join(words).encode()).hexdigest(), links
+    return links | np.where(first_a, FIRST_A, 0) | np.where(first_b, FIRST_B, 0), groups
 
 
 # --- chunks ------------------------------------------------------------------
@@ -294,10 +327,11 @@ def chunks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             return pd.DataFrame(out, columns=names).astype({"doc_id": "object", **dict.fromkeys(names[2:6], "Int64")})
 
         for b in batches:
-            for doc_id, (x, y) in zip(b["doc_id"], lib.encode(b["text"])):
-                groups, digest, linked = alignment(x, y, lib.a, lib.b)
-                codes, t = np.unique(linked, return_counts=True)
-                rows.append((doc_id, len(x), len(y), groups, len(linked), digest))
+            for doc_id, (links, groups) in zip(b["doc_id"], lib.read(b["text"])):
+                first_a, first_b = links < 0, links & FIRST_B != 0
+                codes, t = np.unique(links & ~(FIRST_A | FIRST_B), return_counts=True)
+                figures = [int(np.count_nonzero(x)) for x in (first_a, first_b, first_a & first_b)]
+                rows.append((doc_id, *figures, len(links), hashlib.sha256(groups).hexdigest() if groups else ""))
                 distinct.append(codes)
                 times.append(t.astype(np.int32))
                 n += len(codes) + 1

@@ -246,6 +246,21 @@ def test_words_are_encoded_as_in_the_whole_text(monkeypatch):
         assert (a.tolist(), b.tolist()) == want, text
 
 
+def test_a_word_is_walked_once(monkeypatch):
+    walked, walk = [], align.aligned
+    monkeypatch.setattr(align, "aligned", lambda a, b: walked.append(len(a)) or walk(a, b))
+    long = "x" * (align.REMEMBERED_CHARS + 1)
+    texts = [prose(k, 300, 40) for k in range(6)] + [f"{long} {long}", "a\u2581b w1", "", None]
+    lib = align.Pair(*PATHS)
+    once = [(links.tolist(), groups) for _, (links, groups) in zip(texts, lib.read(texts))]  # the last one isn't asked for more
+    used = {w for t in texts if t for w in lib.words(f" {t}")}
+    assert sum(walked) == sum(len(lib.a.of([w])[0]) for w in used if "\u2581" not in w)
+    walked.clear()
+    assert [(links.tolist(), groups) for links, groups in lib.read(texts)] == once
+    assert sum(walked) == len(lib.a.of([f" {long}"])[0]), "only words that are too long are forgotten"
+    assert all(got == ([], b"") for got in once[-3:]) and not any(got == ([], b"") for got in once[:-3])
+
+
 def test_runs_are_skipped_wherever_they_end():
     rng = random.Random(4)
     for _ in range(300):
